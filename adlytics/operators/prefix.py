@@ -18,29 +18,47 @@ from pyspark.sql import functions as F
 
 
 def range_bucket(value: str, bounds: list[float]):
-    """Index of the range a value falls in: number of bounds <= value."""
+    """Index of the range a value falls in: number of bounds <= value.
+
+    Never NULL, so joining on it adds no inferred not-null filter (which Catalyst would push
+    below the aggregate with the value's whole defining expression inlined)."""
     if not bounds:
         return F.lit(0)
-    return reduce(lambda x, y: x + y, [(F.col(value) >= F.lit(b)).cast("int") for b in bounds])
+    return F.coalesce(reduce(lambda x, y: x + y, [(F.col(value) >= F.lit(b)).cast("int") for b in bounds]),
+                      F.lit(-1))
 
 
 def prefix_sums(df: DataFrame, value: str, sums: list[str], by: list[str] | None = None,
-                buckets: int = 64, descending: bool = False, accuracy: int = 10000) -> DataFrame:
+                buckets: int = 64, descending: bool = False, accuracy: int = 10000,
+                bounds: list[float] | None = None, unit_buckets: int | None = None) -> DataFrame:
     """Adds ``cum_<s>`` = sum of s over rows of the same group with value <= this value
-    (>= when ``descending``), inclusive. One row per (by..., value) is expected."""
+    (>= when ``descending``), inclusive. One row per (by..., value) is expected.
+
+    ``bounds`` (in the value's own scale) skips the quantile pass when the value range is known;
+    ``unit_buckets`` = B does the same for values in [0, 1] with the cheaper bucket floor(v B).
+    Any bucketing that is monotone in the value gives the exact result."""
     by = list(by or [])
     v = value
     src = df
     if descending:
         src = df.withColumn("_ord", -F.col(value))
         v = "_ord"
-    probs = [i / buckets for i in range(1, buckets)]
-    if buckets > 1:
+    if unit_buckets is not None:
+        b = src.withColumn("_bucket", F.coalesce(F.floor(F.col(v) * float(unit_buckets)).cast("int"), F.lit(-1)))
+        return _finish(df, b, v, sums, by)
+    if bounds is not None:
+        bounds = sorted(set((-b if descending else b) for b in bounds))
+    elif buckets > 1:
+        probs = [i / buckets for i in range(1, buckets)]
         q = src.agg(F.percentile_approx(v, probs, accuracy).alias("q")).first()["q"] or []
         bounds = sorted(set(x for x in q if x is not None))
     else:
         bounds = []
     b = src.withColumn("_bucket", range_bucket(v, bounds))
+    return _finish(df, b, v, sums, by)
+
+
+def _finish(df, b, v, sums, by):
     key = by + ["_bucket"]
     totals = b.groupBy(*key).agg(*[F.sum(s).alias(f"_tot_{s}") for s in sums])
     wt = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
