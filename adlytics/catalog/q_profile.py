@@ -158,16 +158,20 @@ def _mean_of(exprs):
     return f"({num}) / ({den})"
 
 
+_S_COLS = [c for c in LN_COLS if c != "id"]
+_S_NUM = [c for c in LN_NUM if c != "id"]
+
+
 @register("d07_summarize_dataset", f"""WITH ln AS {LN}, a AS (SELECT count(*) AS n_rows,
-  CAST({_nulls_sum(LN_COLS)} AS BIGINT) AS n_nulls,
-  {', '.join(f'avg({c}) AS m_{c}' for c in LN_NUM)}, {', '.join(f'stddev_samp({c}) AS s_{c}' for c in LN_NUM)},
+  CAST({_nulls_sum(_S_COLS)} AS BIGINT) AS n_nulls,
+  {', '.join(f'avg({c}) AS m_{c}' for c in _S_NUM)}, {', '.join(f'stddev_samp({c}) AS s_{c}' for c in _S_NUM)},
   count(DISTINCT l_returnflag) AS d0 FROM ln)
-SELECT n_rows, {len(LN_COLS)} AS n_cols, {len(LN_NUM)} AS n_numeric, 1 AS n_text, n_nulls,
-  {r6(f'n_nulls * 100.0 / ({len(LN_COLS)} * n_rows)')} AS null_pct,
-  {r6(_mean_of([f'm_{c}' for c in LN_NUM]))} AS mean_of_means,
-  {r6(_mean_of([f's_{c}' for c in LN_NUM]))} AS mean_of_stds, {r6('d0')} AS mean_distinct_text FROM a""")
+SELECT n_rows, {len(_S_COLS)} AS n_cols, {len(_S_NUM)} AS n_numeric, 1 AS n_text, n_nulls,
+  {r6(f'n_nulls * 100.0 / ({len(_S_COLS)} * n_rows)')} AS null_pct,
+  {r6(_mean_of([f'm_{c}' for c in _S_NUM]))} AS mean_of_means,
+  {r6(_mean_of([f's_{c}' for c in _S_NUM]))} AS mean_of_stds, {r6('d0')} AS mean_distinct_text FROM a""")
 def d07(spark, sf_dir):
-    return P.summarize_dataset(T.lineitem_nulls(spark, sf_dir))
+    return P.summarize_dataset(T.lineitem_nulls(spark, sf_dir).drop("id"))
 
 
 @register("d29_summary_statistics", f"""WITH dw AS {DW}

@@ -22,13 +22,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --------------------------------------------------------------------------------------------
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "price_unit"]
 
+# (l_orderkey, l_linenumber, l_partkey, l_suppkey) is the unique row key of the test lineitem;
+# packed into one integer (l_partkey < 2^21, l_suppkey < 2^14 at the test scales).
+LINE_ID_SQL = "((l_orderkey * 8 + l_linenumber) * 2097152 + l_partkey) * 16384 + l_suppkey"
+
+
+def line_id():
+    return ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 2097152 + F.col("l_partkey")) * 16384 \
+        + F.col("l_suppkey")
+
 
 def lineitem_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     null = F.lit(None).cast("double")
     return li.select(
-        (k * 8 + F.col("l_linenumber")).alias("id"),
+        line_id().alias("id"),
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
         F.col("l_returnflag"),
         F.when(k % 4 == 0, null).otherwise(F.col("l_quantity")).alias("l_quantity"),
@@ -40,7 +49,7 @@ def lineitem_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LINEITEM_NULLS_SQL = """(SELECT l_orderkey * 8 + l_linenumber AS id,
+LINEITEM_NULLS_SQL = f"""(SELECT {LINE_ID_SQL} AS id,
   CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,
   l_returnflag,
   CASE WHEN l_orderkey % 4 = 0 THEN NULL ELSE l_quantity END AS l_quantity,
@@ -156,14 +165,15 @@ SCORE_MODELS = [
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+        line_id().alias("id"),
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"))
     models = F.array(*[F.struct(F.lit(i).alias("imputation"), F.lit(m).alias("model"),
                                 F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"),
                                 F.lit(s).cast("long").alias("seed"))
                        for i, m, a, b, c, s in SCORE_MODELS])
-    u = F.pmod((F.col("id") + F.col("m.seed")) * HASH_MULT, F.lit(HASH_MOD)) / float(HASH_MOD)
-    su = F.pmod((F.col("id") + 7) * HASH_MULT, F.lit(HASH_MOD)) / float(HASH_MOD)
+    k = F.pmod(F.col("id"), F.lit(HASH_MOD))
+    u = F.pmod((k + F.col("m.seed")) * HASH_MULT, F.lit(HASH_MOD)) / float(HASH_MOD)
+    su = F.pmod((k + 7) * HASH_MULT, F.lit(HASH_MOD)) / float(HASH_MOD)
     z = F.col("m.a") + F.col("m.b") * (F.col("y") - 0.5) + F.col("m.c") * (u - 0.5)
     return (li.select("id", "y", F.explode(models).alias("m"))
             .select("id",
@@ -176,11 +186,11 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scores_sql() -> str:
     vals = ", ".join(f"('{i}', '{m}', {a}, {b}, {c}, {s})" for i, m, a, b, c, s in SCORE_MODELS)
     return f"""(SELECT id,
-  CASE WHEN ((id + 7) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} < 0.6 THEN 'train'
-       WHEN ((id + 7) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} < 0.8 THEN 'val'
+  CASE WHEN ((id % {HASH_MOD} + 7) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} < 0.6 THEN 'train'
+       WHEN ((id % {HASH_MOD} + 7) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} < 0.8 THEN 'val'
        ELSE 'test' END AS split,
   imputation, 'full' AS version, model, y,
-  round(1.0 / (1.0 + exp(-(a + b * (y - 0.5) + c * (((id + seed) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} - 0.5)))), 4) AS p
-FROM (SELECT l_orderkey * 8 + l_linenumber AS id,
+  round(1.0 / (1.0 + exp(-(a + b * (y - 0.5) + c * (((id % {HASH_MOD} + seed) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} - 0.5)))), 4) AS p
+FROM (SELECT {LINE_ID_SQL} AS id,
              CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem) li
 CROSS JOIN (VALUES {vals}) AS m(imputation, model, a, b, c, seed))"""

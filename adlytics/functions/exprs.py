@@ -27,8 +27,11 @@ def r6(c) -> Column:
 
 
 def portable_hash(key, seed: int = 42) -> Column:
-    """Deterministic pseudo-random integer in [0, 2^31-1) from an integer key."""
-    return F.pmod((col(key).cast("long") + F.lit(seed)) * F.lit(HASH_MULT), F.lit(HASH_MOD))
+    """Deterministic pseudo-random integer in [0, 2^31-1) from an integer key.
+
+    The key is reduced modulo 2^31-1 first, so no product overflows whatever the key."""
+    k = F.pmod(col(key).cast("long"), F.lit(HASH_MOD))
+    return F.pmod((k + F.lit(seed)) * F.lit(HASH_MULT), F.lit(HASH_MOD))
 
 
 def portable_unit(key, seed: int = 42) -> Column:

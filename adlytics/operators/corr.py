@@ -26,10 +26,9 @@ def target_correlations(df: DataFrame, cols: list[str], target: str = "y") -> Da
     """(column, r, abs_r, rank): Pearson (= point-biserial for 0/1 columns) with the target.
 
     Ranked by |r| descending, ties by column name; constant columns have r NULL and rank last."""
-    r = melt(df, cols, keep=[target]).groupBy("column").agg(safe_corr(F.col("value"), col(target)).alias("r"))
+    r = melt(df, cols, keep=[target]).groupBy("column").agg(r6(safe_corr(F.col("value"), col(target))).alias("r"))
     w = Window.orderBy(F.abs("r").desc_nulls_last(), F.col("column"))
-    return r.select("column", r6("r").alias("r"), r6(F.abs("r")).alias("abs_r"),
-                    F.row_number().over(w).alias("rank"))
+    return r.select("column", "r", F.abs("r").alias("abs_r"), F.row_number().over(w).alias("rank"))
 
 
 def top_target_correlations(df: DataFrame, cols: list[str], target: str = "y", n: int = 10,
@@ -41,21 +40,28 @@ def top_target_correlations(df: DataFrame, cols: list[str], target: str = "y", n
 
 
 # ----------------------------------------------------------------------------------- C3, C4, C18
-def corr_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(var1, var2, r) for every pair var1 < var2 of a few (continuous) columns, pairwise-complete.
+def corr_pairs(df: DataFrame, cols: list[str], gram_min: int = 12) -> DataFrame:
+    """(var1, var2, r) for every pair var1 < var2, pairwise-complete (as pandas ``corr``).
 
-    One aggregate of d(d-1)/2 covariance expressions; for many columns use ``gram_corr_pairs``."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if not pairs:
+    One cheap pass counts NULLs per column. Pairs of null-free columns (when there are at least
+    ``gram_min`` of them) come from the Gram-matrix aggregate of ``gram_corr_pairs``; the pairs
+    that involve a nullable column come from one aggregate of covariance expressions."""
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
-    out = None
-    for block in chunks(list(enumerate(pairs)), 200):
+    nn = df.agg(*[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    nullable = {c for i, c in enumerate(cols) if nn[i] > 0}
+    free = [c for c in cols if c not in nullable]
+    use_gram = len(free) >= gram_min
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]
+             if not (use_gram and a not in nullable and b not in nullable)]
+    out = gram_corr_pairs(df, free) if use_gram else None
+    for block in chunks(list(enumerate(pairs)), 600):
         a = df.agg(*[safe_corr(x, y).alias(f"p{i}") for i, (x, y) in block])
         long = a.select(F.explode(F.array(*[
-            F.struct(F.lit(min(x, y)).alias("var1"), F.lit(max(x, y)).alias("var2"), F.col(f"p{i}").alias("r"))
+            F.struct(F.lit(min(x, y)).alias("var1"), F.lit(max(x, y)).alias("var2"), r6(F.col(f"p{i}")).alias("r"))
             for i, (x, y) in block])).alias("m")).select("m.*")
         out = long if out is None else out.unionByName(long)
-    return out.select("var1", "var2", r6("r").alias("r"))
+    return out
 
 
 def high_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -74,6 +80,8 @@ def gram_corr_pairs(df: DataFrame, cols: list[str], threshold: float | None = No
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
 
+    import numpy as np
+
     spark = df.sparkSession
     blocks = list(chunks(cols, block))
     rows = []
@@ -83,18 +91,17 @@ def gram_corr_pairs(df: DataFrame, cols: list[str], threshold: float | None = No
             va = VectorAssembler(inputCols=names, outputCol="_v", handleInvalid="error")
             vec = va.transform(df.select(*[col(c).cast("double").alias(c) for c in names])).select("_v")
             m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()
-            k = len(names)
-            for i in range(k):
-                for j in range(i + 1, k):
-                    if bi != bj and (i >= len(blocks[bi]) or j < len(blocks[bi])):
-                        continue
-                    r = float(m[i, j])
-                    if math.isnan(r):
-                        r = None
-                    if threshold is not None and (r is None or abs(r) <= threshold):
-                        continue
-                    a, b = names[i], names[j]
-                    rows.append((min(a, b), max(a, b), None if r is None else round(r, 6) + 0.0))
+            nb = len(blocks[bi])
+            if bi == bj:
+                ii, jj = np.triu_indices(len(names), k=1)
+            else:
+                ii, jj = np.meshgrid(np.arange(nb), np.arange(nb, len(names)), indexing="ij")
+                ii, jj = ii.ravel(), jj.ravel()
+            vals = m[ii, jj]
+            keep = np.ones(len(vals), bool) if threshold is None else (np.abs(np.nan_to_num(vals)) > threshold)
+            for i, j, r in zip(ii[keep], jj[keep], vals[keep]):
+                a, b = names[i], names[j]
+                rows.append((min(a, b), max(a, b), None if np.isnan(r) else round(float(r), 6) + 0.0))
     return spark.createDataFrame(rows, PAIR_SCHEMA)
 
 
