@@ -126,13 +126,6 @@ def m09(spark, sf_dir):
     return M.route_by_null_rate(T.lineitem_nulls(spark, sf_dir), LNF)
 
 
-def _cond_sql():
-    rate = {c: f"(SELECT avg(CAST({c} IS NULL AS DOUBLE)) FROM ln)" for c in LNF}
-    # the column set depends on the data: emit each column with its routed value; the dropped
-    # ones are reported as a NULL-valued marker, then removed by the comparison on names below
-    return rate
-
-
 @register("m09_conditional_impute")
 def m09c(spark, sf_dir):
     return M.conditional_impute(T.lineitem_nulls(spark, sf_dir), LNF)
@@ -202,8 +195,9 @@ def m14(spark, sf_dir):
 
 
 def _ks_p(lam):
-    terms = " + ".join(f"{2.0 * (-1) ** (j - 1)} * exp({-2.0 * j * j} * {lam} * {lam})" for j in range(1, 101))
-    return f"CASE WHEN {lam} < 1e-3 THEN 1.0 ELSE least(1.0, greatest(0.0, {terms})) END"
+    terms = " + ".join(f"{2.0 * (-1) ** (j - 1)} * exp({-2.0 * j * j} * {lam} * {lam})"
+                       for j in range(1, M.KS_TERMS + 1))
+    return f"CASE WHEN {lam} < {M.KS_SMALL} THEN 1.0 ELSE least(1.0, greatest(0.0, {terms})) END"
 
 
 @register("m11_ks_two_sample", f"""WITH {_VARIANTS_SQL},
