@@ -1 +1,246 @@
-"""Queries (filled in as operators land)."""
+"""Source/sink (S1-S15) and cleaning (P1-P17) queries.
+
+Delimited-text queries first write a dirty copy of the wide document table (quoted names,
+'?' for NULL, a duplicated ``.1`` column, label text) into a fresh folder under the shared
+checkpoint folder, then read it back through the library's readers and cleaners.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from adlytics.catalog import tables as T
+from adlytics.catalog.registry import register
+from adlytics.catalog.sqlgen import r6
+from adlytics.operators import clean as P
+from adlytics.operators import missing as M
+from adlytics.session import scratch_path
+from adlytics.sources import io as S
+
+DW = T.doc_wide_sql()
+BIN = T.doc_binary_cols()
+CONT = T.DOC_CONT
+FEATS = CONT + ["X4"] + BIN
+TYPES = {"doc_id": "bigint", "y": "int", **{c: "double" for c in CONT}, **{c: "int" for c in ["X4"] + BIN}}
+
+
+def _fresh(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:10]}")
+
+
+def _dirty(spark, sf_dir):
+    """Dirty text version: quoted header names, label text, X2 duplicated as X2.1 (dropped on
+    read), the last flag renamed with a .1 suffix (promoted back on read)."""
+    dw = T.doc_wide(spark, sf_dir)
+    last = BIN[-1]
+    cols = [F.col("doc_id").alias('"doc_id"'),
+            F.when(F.col("y") == 1, F.lit(" Ad. ")).otherwise(F.lit("noad.")).alias("outcome")]
+    cols += [F.col(c).alias(f'"{c}"') for c in FEATS if c != last]
+    cols += [F.col("X2").alias("X2.1"), F.col(last).alias(f"{last}.1")]
+    return dw.select(*cols)
+
+
+def _typed(df):
+    return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in TYPES.items()])
+
+
+_DW_SQL = f"SELECT * FROM {DW} d"
+
+
+@register("s01_read_delimited_sep_fallback", _DW_SQL)
+def s01(spark, sf_dir):
+    path = _fresh(spark, "s01")
+    _dirty(spark, sf_dir).write.option("header", True).option("escape", '"').option("nullValue", "?").csv(path)  # comma
+    df = S.read_delimited(spark, path, null_value="?")          # tab tried first, then comma
+    df = S.require_columns(df, ["outcome"])
+    return _typed(P.encode_target(df, "outcome", "y"))
+
+
+@register("s02_read_test_file", f"SELECT * EXCLUDE (y) FROM {DW} d")
+def s02(spark, sf_dir):
+    path = _fresh(spark, "s02")
+    _dirty(spark, sf_dir).drop("outcome").write.option("header", True).option("escape", '"').option("sep", "\t") \
+        .option("nullValue", "?").csv(path)
+    df = S.read_delimited(spark, path, null_value="?", malformed="DROPMALFORMED")
+    return _typed(df.withColumn("y", F.lit(0))).drop("y")
+
+
+@register("s03_row_ids")
+def s03(spark, sf_dir):
+    path = _fresh(spark, "s03")
+    _dirty(spark, sf_dir).drop("outcome").write.option("header", True).option("escape", '"').option("sep", "\t") \
+        .option("nullValue", "?").csv(path)
+    return S.with_row_ids(S.read_delimited(spark, path, null_value="?"), "ID", 1).select("ID", "doc_id")
+
+
+@register("s05_shape_report", f"""SELECT count(*) AS n_rows, {len(TYPES)} AS n_cols, count(*) = 399 AS matches
+FROM {DW} d""")
+def s05(spark, sf_dir):
+    return S.shape_report(T.doc_wide(spark, sf_dir), 399, len(TYPES))
+
+
+@register("s06_variant_partitions", """SELECT doc_id, toxic AS y, 'median' AS variant FROM labels
+  JOIN documents USING (doc_id)""")
+def s06(spark, sf_dir):
+    dw = T.doc_wide(spark, sf_dir)
+    root = _fresh(spark, "s06")
+    both = dw.select("doc_id", "y", F.lit("raw").alias("variant")).unionByName(
+        M.median_fill(dw, CONT).select("doc_id", "y", F.lit("median").alias("variant")))
+    S.write_table(both, root, "parquet", partition_by=["variant"])
+    return S.discover_variants(spark, root).filter(F.col("variant") == "median").select("doc_id", "y", "variant")
+
+
+@register("s07_s08_s10_roundtrip", f"SELECT doc_id, y, X1, X2, X3 FROM {DW} d")
+def s07(spark, sf_dir):
+    dw = T.doc_wide(spark, sf_dir).select("doc_id", "y", *CONT)
+    base = _fresh(spark, "s07")
+    pq = S.write_table(dw, os.path.join(base, "t.parquet"))
+    cs = S.write_table(S.read_table(spark, pq), os.path.join(base, "t.csv"))
+    js = S.write_table(S.read_table(spark, cs), os.path.join(base, "t.json"))
+    back = S.read_table(spark, js)
+    return back.select(F.col("doc_id").cast("bigint"), F.col("y").cast("int"),
+                       *[F.col(c).cast("double") for c in CONT])
+
+
+@register("s09_export_formats")
+def s09(spark, sf_dir):
+    dw = T.doc_wide(spark, sf_dir)
+    listing = S.export_formats({"wide": dw, "wide_median": M.median_fill(dw, CONT)}, _fresh(spark, "s09"))
+    return listing.select("dataset", "format")
+
+
+@register("s11_s12_thresholds_json")
+def s11(spark, sf_dir):
+    """Threshold results written as a JSON map per variant, read back as tagged rows."""
+    from adlytics.operators import metrics as E
+    s = T.scores(spark, sf_dir).filter(F.col("split") == "val")
+    th = E.exact_threshold_search(s, ["imputation", "model"])
+    base = _fresh(spark, "s11")
+    out = None
+    for imp in ("knn", "mice"):
+        m = th.filter(F.col("imputation") == imp).agg(F.map_from_entries(F.collect_list(F.struct(
+            "model", F.struct("threshold", "f1", "precision", "recall")))).alias("m"))
+        path = os.path.join(base, imp)
+        m.select(F.to_json("m").alias("value")).coalesce(1).write.text(path)
+        r = S.read_thresholds_json(spark, path, imp, "full")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("s13_comparison_table")
+def s13(spark, sf_dir):
+    from adlytics.operators import metrics as E
+    s = T.scores(spark, sf_dir)
+    base = _fresh(spark, "s13")
+    paths = []
+    for split in ("val", "test"):
+        m = E.metrics_at_threshold(s.filter(F.col("split") == split), 0.5, ["imputation", "model"])
+        p = os.path.join(base, split)
+        S.write_results_json(m.withColumnRenamed("f1", f"{split}_f1"), p)
+        paths.append(p)
+    details = spark.createDataFrame([("none", "no label")], "file string, label string")
+    return S.comparison_from_files(spark, paths, details).select("imputation", "model", "label", "score")
+
+
+@register("s15_batch_process")
+def s15(spark, sf_dir):
+    dw = T.doc_wide(spark, sf_dir)
+    ok = lambda d: M.median_fill(d, CONT)
+    outs, status = S.batch_process({"wide": dw, "no_x1": dw.drop("X1")},
+                                   lambda d: ok(P.strict_align(d, FEATS, ["doc_id", "y"])))
+    return status
+
+
+# ------------------------------------------------------------------ P
+@register("p02_clean_strings", r"""SELECT conv_id, turn, role,
+  regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), '"', '', 'g') AS text FROM conversations""")
+def p02(spark, sf_dir):
+    return P.clean_string_values(T.read(spark, sf_dir, "conversations"))
+
+
+_LABEL_TXT = "CASE WHEN toxic = 1 THEN ' Ad. ' ELSE 'noad.' END"
+
+
+@register("p04_encode_label", "SELECT doc_id, CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS y FROM labels")
+def p04(spark, sf_dir):
+    lab = T.read(spark, sf_dir, "labels").select(
+        "doc_id", F.when(F.col("toxic") == 1, F.lit(" Ad. ")).otherwise(F.lit("noad.")).alias("outcome"))
+    return P.encode_target(lab, "outcome", "y")
+
+
+@register("p05_decode_label", "SELECT doc_id, toxic AS y, CASE WHEN toxic = 1 THEN 'ad.' ELSE 'noad.' END AS label FROM labels")
+def p05(spark, sf_dir):
+    return P.decode_target(T.read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("y")), "y", "label")
+
+
+@register("p06_coerce_numeric", """SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, CAST(0.0 AS DOUBLE) AS p_name FROM part""")
+def p06(spark, sf_dir):
+    part = T.read(spark, sf_dir, "part").select(
+        "p_partkey", F.concat(F.lit("\""), F.col("p_size").cast("string"), F.lit("'")).alias("p_size"),
+        F.col("p_name"))
+    return P.coerce_numeric(part, ["p_size", "p_name"], fill=0.0)
+
+
+@register("p07_align_columns", f"SELECT doc_id, X1, X5, 0 AS X999, X4 FROM {DW} d")
+def p07(spark, sf_dir):
+    return P.align_columns(T.doc_wide(spark, sf_dir), ["X1", "X5", "X999", "X4"], fill=0, keep=["doc_id"])
+
+
+@register("p08_keep_present", f"SELECT X1, X4 FROM {DW} d")
+def p08(spark, sf_dir):
+    return P.keep_present(T.doc_wide(spark, sf_dir), ["X1", "X0", "X4", "X998"])
+
+
+@register("p09_strict_align", f"SELECT doc_id, y, {', '.join(FEATS)} FROM {DW} d")
+def p09(spark, sf_dir):
+    return P.strict_align(T.doc_wide(spark, sf_dir), FEATS, keep=["doc_id", "y"])
+
+
+@register("p10_to_int_if_binary", f"SELECT doc_id, X4 FROM {DW} d")
+def p10(spark, sf_dir):
+    d = T.doc_wide(spark, sf_dir).select("doc_id", F.col("X4").cast("double").alias("X4"))
+    return P.to_int_if_binary(d, "X4")
+
+
+@register("p11_median_fill_int", f"""WITH d AS {DW}
+SELECT doc_id, CAST(trunc(coalesce(CAST(X4 AS DOUBLE), (SELECT quantile_cont(X4, 0.5) FROM d))) AS INTEGER) AS X4 FROM d""")
+def p11(spark, sf_dir):
+    return M.median_fill_int(T.doc_wide(spark, sf_dir).select("doc_id", "X4"), "X4")
+
+
+@register("p12_finalize_transformed", f"SELECT doc_id, {r6('ln(1 + X1)')} AS X1, X2 FROM {DW} d")
+def p12(spark, sf_dir):
+    d = T.doc_wide(spark, sf_dir).select("doc_id", "X1", "X2")
+    d = d.withColumn("X1_trans", F.round(F.log1p("X1"), 6) + 0.0)
+    return P.finalize_transformed(d, ["X1"], "_trans", rename=True)
+
+
+@register("p13_reorder_priority", f"SELECT X4, y, doc_id, X1 FROM {DW} d")
+def p13(spark, sf_dir):
+    return P.reorder_priority(T.doc_wide(spark, sf_dir).select("doc_id", "X1", "y", "X4"), ["X4"], "y")
+
+
+@register("p14_dedupe_columns")
+def p14(spark, sf_dir):
+    d = T.doc_wide(spark, sf_dir).select("doc_id", "X1", "X2")
+    return P.dedupe_columns(d.toDF("doc_id", "X1", "X1"))
+
+
+@register("p15_mask_selector", f"SELECT doc_id, {', '.join(c for i, c in enumerate(BIN) if i % 3 == 0)} FROM {DW} d")
+def p15(spark, sf_dir):
+    sel = P.ColumnMaskSelector(inputCols=BIN, mask=[i % 3 == 0 for i in range(len(BIN))], keep=["doc_id"])
+    return sel.transform(T.doc_wide(spark, sf_dir))
+
+
+@register("p16_sanitize_numeric", f"SELECT doc_id, {', '.join(f'coalesce({c}, 0.0) AS {c}' for c in CONT)} FROM {DW} d")
+def p16(spark, sf_dir):
+    return P.sanitize_numeric(T.doc_wide(spark, sf_dir).select("doc_id", *CONT))
+
+
+@register("p17_predict_at_threshold", f"""SELECT id, imputation, model, CAST(p >= 0.5 AS INTEGER) AS pred
+FROM {T.scores_sql()} s""")
+def p17(spark, sf_dir):
+    return P.predict_at(T.scores(spark, sf_dir), "p", 0.5).select("id", "imputation", "model", "pred")
