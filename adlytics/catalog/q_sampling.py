@@ -70,7 +70,7 @@ _MASK_COLS = T.LINE_FEATURES
 
 
 @register("r08_cell_mask", f"""SELECT id,
-  {', '.join(f"((((id % {HASH_MOD}) * 131 + {j}) % {HASH_MOD} + 42) * {HASH_MULT}) % {HASH_MOD} < {int(0.2 * HASH_MOD)} AS {c}_masked" for j, c in enumerate(_MASK_COLS))}
+  {', '.join(f"(({_h()} + {j * R.CELL_STRIDE}) * {HASH_MULT}) % {HASH_MOD} < {int(0.2 * HASH_MOD)} AS {c}_masked" for j, c in enumerate(_MASK_COLS))}
 FROM {LN} ln""")
 def r08(spark, sf_dir):
     ln = T.lineitem_nulls(spark, sf_dir)

@@ -177,3 +177,105 @@ def ks_two_sample(a: DataFrame, b: DataFrame, cols: list[str], alpha: float = 0.
     p = F.when(lam < KS_SMALL, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
     return d.select("column", F.col("na").alias("n_a"), F.col("nb").alias("n_b"), r6("d").alias("d"),
                     r6(p).alias("p_value"), (p < alpha).alias("different"))
+
+
+# ----------------------------------------------------------------------------------- M4, M5
+def _ridge_fit(df: DataFrame, target: str, feats: list[str], reg: float) -> list[float]:
+    """Least squares with intercept from one aggregate of cross-products (sum x x', sum x y):
+    (p+1)^2 numbers reach the driver, the solve is a (p+1) x (p+1) system."""
+    import numpy as np
+    xs = [F.lit(1.0)] + [col(f).cast("double") for f in feats]
+    y = col(target).cast("double")
+    p = len(xs)
+    aggs = [F.sum(xs[i] * xs[j]).alias(f"a{i}_{j}") for i in range(p) for j in range(i, p)]
+    aggs += [F.sum(xs[i] * y).alias(f"b{i}") for i in range(p)]
+    r = df.agg(*aggs).first()
+    A = np.zeros((p, p))
+    for i in range(p):
+        for j in range(i, p):
+            A[i, j] = A[j, i] = r[f"a{i}_{j}"] or 0.0
+    b = np.array([r[f"b{i}"] or 0.0 for i in range(p)])
+    A[1:, 1:] += reg * np.eye(p - 1)
+    return [float(v) for v in np.linalg.lstsq(A, b, rcond=None)[0]]
+
+
+def mice_fit_transform(df: DataFrame, cols: list[str], id_col: str, max_iter: int = 50, tol: float = 1e-3,
+                       reg: float = 1e-6, min_complete: int = 10):
+    """Chained-equation imputation (M4). Returns (imputed DataFrame, fitted steps).
+
+    Missing cells start at the column mean; each round regresses every column (ascending null
+    count) on the others over its observed rows and replaces its missing cells by the prediction.
+    A round is checkpointed (lineage stays short); the loop stops when the largest change of an
+    imputed cell is below tol x the largest observed |value|. ``steps`` = (means, [(column,
+    coefficients)...]) replays the same sequence on new data."""
+    complete = df.na.drop(subset=cols).limit(min_complete).count()
+    if complete < min_complete:
+        raise ValueError("not enough complete rows for chained-equation imputation")
+    stats = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                   *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.max(F.abs(col(c))).alias(f"x{i}") for i, c in enumerate(cols)]).first()
+    means = {c: stats[f"m{i}"] for i, c in enumerate(cols)}
+    order = sorted(cols, key=lambda c: (stats[f"n{cols.index(c)}"], cols.index(c)))
+    order = [c for c in order if stats[f"n{cols.index(c)}"] > 0]
+    scale = max([stats[f"x{i}"] or 0.0 for i in range(len(cols))] + [1e-12])
+    cur = df.select("*", *[col(c).isNull().alias(f"_miss_{c}") for c in cols])
+    cur = cur.select(*[F.coalesce(col(c), F.lit(means[c])).alias(c) if c in cols else col(c) for c in cur.columns])
+    steps = []
+    for _ in range(max_iter):
+        prev = cur.select("*", *[col(c).alias(f"_prev_{c}") for c in order])
+        nxt = prev
+        for c in order:
+            feats = [f for f in cols if f != c]
+            coef = _ridge_fit(nxt.filter(~F.col(f"_miss_{c}")), c, feats, reg)
+            steps.append((c, coef))
+            pred = F.lit(coef[0])
+            for w, f in zip(coef[1:], feats):
+                pred = pred + F.lit(w) * col(f)
+            nxt = nxt.withColumn(c, F.when(F.col(f"_miss_{c}"), pred).otherwise(col(c)))
+        from adlytics.session import cut_lineage
+        nxt = cut_lineage(nxt)
+        change = nxt.agg(F.max(F.greatest(*[F.abs(col(c) - F.col(f"_prev_{c}")) for c in order]
+                                          + [F.lit(0.0)]))).first()[0] or 0.0
+        cur = nxt.drop(*[f"_prev_{c}" for c in order])
+        if change < tol * scale:
+            break
+    out = cur.drop(*[f"_miss_{c}" for c in cols])
+    return out, {"means": means, "steps": steps, "cols": cols}
+
+
+def mice_transform(df: DataFrame, fitted: dict) -> DataFrame:
+    """Replay a fitted chained-equation sequence on new data: expressions only (M4)."""
+    cols = fitted["cols"]
+    miss = {c: col(c).isNull() for c in cols}
+    cur = {c: F.coalesce(col(c), F.lit(fitted["means"][c])) for c in cols}
+    out = df.select("*", *[m.alias(f"_miss_{c}") for c, m in miss.items()])
+    out = out.select(*[cur[c].alias(c) if c in cols else col(c) for c in out.columns])
+    for i, (c, coef) in enumerate(fitted["steps"]):
+        feats = [f for f in cols if f != c]
+        pred = F.lit(coef[0])
+        for w, f in zip(coef[1:], feats):
+            pred = pred + F.lit(w) * col(f)
+        out = out.withColumn(c, F.when(F.col(f"_miss_{c}"), pred).otherwise(col(c)))
+        if (i + 1) % 30 == 0:
+            from adlytics.session import cut_lineage
+            out = cut_lineage(out)
+    return out.drop(*[f"_miss_{c}" for c in cols])
+
+
+def impute_with_fallback(df: DataFrame, cols: list[str], id_col: str, method: str = "knn", k: int = 5,
+                         backup: str = "median"):
+    """Model-based imputation of MAR columns with a reported median fallback (M2, M5).
+
+    Returns (DataFrame, status) where status names the method actually used; only a failure of
+    the imputation itself switches to the backup, and the switch is reported, never silent."""
+    from adlytics.operators.knn import knn_impute
+    try:
+        if method == "knn":
+            return knn_impute(df, cols, id_col, k), f"knn_k{k}"
+        if method == "mice":
+            return mice_fit_transform(df, cols, id_col)[0], "mice"
+        raise ValueError(f"unknown method {method!r}")
+    except ValueError as e:
+        if "unknown method" in str(e):
+            raise
+        return median_fill(df, cols), f"{backup}_backup"
