@@ -1 +1,222 @@
-"""Queries (filled in as operators land)."""
+"""Training / ensembling / selection queries (L-1 ... L-22, C16, R6).
+
+Model fitting is iterative and randomised, so most of these are rows-only here (invariants in
+tests/); the ensembling rules on the score table have DuckDB oracles.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from adlytics.catalog import tables as T
+from adlytics.catalog.q_metrics import F_SQL, P_SQL, R_SQL
+from adlytics.catalog.registry import register
+from adlytics.catalog.sqlgen import r6
+from adlytics.operators import metrics as E
+from adlytics.operators import train as L
+from adlytics.operators.sampling import stratified_folds, stratified_split
+from adlytics.plans import prep as PP
+from adlytics.session import scratch_path
+
+CONT = T.DOC_CONT
+BIN = T.doc_binary_cols()
+S = T.scores_sql()
+MEMBERS = ["gradboost", "randforest", "svm", "mlp", "xgboost"]
+
+
+def _prepared(spark, sf_dir):
+    """Prepared wide table with a split and training folds; features exclude id, target, split."""
+    dw = T.doc_wide(spark, sf_dir)
+    out, prep = PP.fit_prep(dw, "doc_id", "y", CONT, BIN, protected="X4", impute="median", poly=True)
+    feats = [c for c in out.columns if c not in ("doc_id", "y")]
+    sp = stratified_split(out, "doc_id", "y").withColumn("label", F.col("y").cast("double"))
+    sp = stratified_folds(sp, "doc_id", "y", 3)
+    return sp, feats
+
+
+def _parts(spark, sf_dir):
+    sp, feats = _prepared(spark, sf_dir)
+    return (sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "val"),
+            sp.filter(F.col("split") == "test"), feats)
+
+
+@register("l01_model_families_scores")
+def l01(spark, sf_dir):
+    train, _, test, feats = _parts(spark, sf_dir)
+    out = []
+    for fam in MEMBERS + ["lr"]:
+        m = L.pipeline(feats, fam).fit(train)
+        out.append(L.score(m, test, "doc_id", fam, {"model": fam}))
+    return L.union_all(out)
+
+
+@register("l05_tune_evaluate")
+def l05(spark, sf_dir):
+    train, val, _, feats = _parts(spark, sf_dir)
+    model, cv_f1 = L.tune(train, feats, "lr")
+    s = L.score(model, val, "doc_id", "lr", {"model": "lr"})
+    m = E.metrics_at_threshold(s, 0.5, ["model"])
+    return m.join(E.auc(s, ["model"]), "model").withColumn("cv_f1", F.lit(cv_f1)) \
+        .withColumn("gap", F.col("cv_f1") - F.col("f1"))
+
+
+@register("l06_evaluate_all_families")
+def l06(spark, sf_dir):
+    train, val, _, feats = _parts(spark, sf_dir)
+    res, _, _ = L.evaluate_all(train, val, feats, ["lr", "svm", "randforest", "gradboost", "mlp"], "doc_id")
+    return res.drop("seconds")
+
+
+@register("l07_clean_params")
+def l07(spark, sf_dir):
+    best = {"clf__maxDepth": 5, "clf__stepSize": 0.1, "clf__min_samples_leaf": 3, "maxIter": 20}
+    cleaned = L.clean_params(best, {"maxDepth", "stepSize", "maxIter"})
+    est = L.make_estimator("gradboost", 10).setParams(**cleaned)
+    train, _, _, feats = _parts(spark, sf_dir)
+    m = L.pipeline(feats, "gradboost")
+    m.getStages()[-1].setParams(**cleaned)
+    fitted = m.fit(train)
+    return spark.createDataFrame([(k, str(v)) for k, v in cleaned.items()], "param string, value string") \
+        .withColumn("n_trees", F.lit(fitted.stages[-1].getNumTrees)).withColumn("max_depth", F.lit(est.getMaxDepth()))
+
+
+_MP_SQL = f"""SELECT id, imputation, max(y) AS y, {r6('avg(p)')} AS p FROM {S} s
+WHERE model IN ({', '.join(f"'{m}'" for m in MEMBERS)}) GROUP BY id, imputation"""
+
+
+@register("l08_mean_probability", _MP_SQL)
+def l08(spark, sf_dir):
+    return L.mean_probability(T.scores(spark, sf_dir), MEMBERS, ["imputation"])
+
+
+_M6 = MEMBERS + ["lr"]
+
+
+@register("l09_mean_probability_missing_half", f"""SELECT id, imputation, max(y) AS y,
+  {r6(f'(sum(p) + 0.5 * ({len(_M6)} - count(p))) / {float(len(_M6))}')} AS p FROM {S} s
+WHERE model IN ({', '.join(f"'{m}'" for m in _M6)}) GROUP BY id, imputation""")
+def l09(spark, sf_dir):
+    return L.mean_probability(T.scores(spark, sf_dir), _M6, ["imputation"], missing=0.5)
+
+
+@register("l10_stack_no_refit", f"""WITH s AS {S}, mp AS (SELECT id, split, imputation, max(y) AS y, round(avg(p), 6) + 0.0 AS p
+  FROM s WHERE model IN ({', '.join(f"'{m}'" for m in MEMBERS)}) GROUP BY id, split, imputation),
+g AS (SELECT CAST(i AS DOUBLE) / CAST(100 AS DOUBLE) AS threshold FROM range(20, 81) r(i)),
+cc AS (SELECT imputation, threshold, count_if(p >= threshold AND y = 1) AS tp, count_if(p >= threshold AND y = 0) AS fp,
+  count_if(p < threshold AND y = 1) AS fn FROM mp, g WHERE split = 'val' GROUP BY 1, 2),
+cur AS (SELECT imputation, threshold, {r6(F_SQL)} AS f1 FROM cc),
+best AS (SELECT imputation, threshold FROM (SELECT *, row_number() OVER (PARTITION BY imputation ORDER BY f1 DESC, threshold) AS rn FROM cur) WHERE rn = 1),
+t AS (SELECT imputation, threshold, count_if(p >= threshold AND y = 1) AS tp, count_if(p >= threshold AND y = 0) AS fp,
+  count_if(p < threshold AND y = 1) AS fn, count_if(p < threshold AND y = 0) AS tn
+  FROM mp JOIN best USING (imputation) WHERE split = 'test' GROUP BY 1, 2)
+SELECT imputation, tp, fp, fn, tn, {r6(P_SQL)} AS precision, {r6(R_SQL)} AS recall, {r6(F_SQL)} AS f1,
+  {r6('CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn)')} AS accuracy, threshold FROM t""")
+def l10(spark, sf_dir):
+    return L.stack_no_refit(T.scores(spark, sf_dir), MEMBERS, ["imputation"])
+
+
+@register("l11_oof_stacking")
+def l11(spark, sf_dir):
+    train, _, test, feats = _parts(spark, sf_dir)
+    scored, weights = L.oof_stack(train, test, feats, ["lr", "randforest"], "doc_id", folds=3)
+    return scored
+
+
+@register("l12_cross_variant_stacking")
+def l12(spark, sf_dir):
+    """Meta-model over every (model, imputation) score column, fitted on val, scored on test."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    s = T.scores(spark, sf_dir).withColumn("key", F.concat_ws("_", "model", "imputation"))
+    keys = [f"{m}_{i}" for i, m, *_ in T.SCORE_MODELS]
+    wide = s.groupBy("id", "split", "y").pivot("key", keys).agg(F.first("p"))
+    va = VectorAssembler(inputCols=keys, outputCol="features")
+    tr = va.transform(wide.filter(F.col("split") == "val")).withColumn("label", F.col("y").cast("double"))
+    meta = LogisticRegression(maxIter=50).fit(tr)
+    te = meta.transform(va.transform(wide.filter(F.col("split") == "test")).withColumn("label", F.col("y").cast("double")))
+    return te.select("id", "y", F.round(vector_to_array("probability")[1], 6).alias("p"))
+
+
+@register("l13_rfecv")
+def l13(spark, sf_dir):
+    train, _, _, feats = _parts(spark, sf_dir)
+    tab, best, _ = L.rfecv(train, feats, "randforest", step=0.3, min_features=4, folds=3)
+    return tab.withColumn("selected", F.col("n_features") == len(best))
+
+
+@register("l14_apply_selected_columns")
+def l14(spark, sf_dir):
+    sp, feats = _prepared(spark, sf_dir)
+    train = sp.filter(F.col("split") == "train")
+    _, best, _ = L.rfecv(train, feats, "lr", step=0.5, min_features=4, folds=3)
+    return sp.select("doc_id", "split", "label", *best)
+
+
+@register("l15_l21_permutation_importance")
+def l15(spark, sf_dir):
+    train, val, _, feats = _parts(spark, sf_dir)
+    m = L.pipeline(feats, "lr").fit(train)
+    return L.permutation_importance(m, val, feats, "lr", repeats=2, id_col="doc_id").limit(10)
+
+
+@register("l16_l17_importance_summary")
+def l16(spark, sf_dir):
+    train, _, _, feats = _parts(spark, sf_dir)
+    imp = L.importances(L.pipeline(feats, "randforest").fit(train), feats)
+    t = spark.createDataFrame(list(zip(feats, imp)), "feature string, importance double")
+    return t.agg(F.count(F.lit(1)).alias("n"), F.max("importance").alias("max_importance"),
+                 F.min("importance").alias("min_importance"),
+                 F.max_by("feature", "importance").alias("best"))
+
+
+@register("l18_linear_attribution")
+def l18(spark, sf_dir):
+    sp, feats = _prepared(spark, sf_dir)
+    return L.linear_attribution(sp, feats, "label", "doc_id")
+
+
+@register("l19_timed_runs")
+def l19(spark, sf_dir):
+    dw = T.doc_wide(spark, sf_dir)
+    runs = {f"t={t}": (lambda t=t: PP.fit_prep(dw, "doc_id", "y", CONT, BIN, protected="X4", corr_threshold=t)[0])
+            for t in (0.85, 0.9, 0.95)}
+    return L.timed_runs(runs, spark).drop("seconds")
+
+
+@register("l20_two_variants_thresholds")
+def l20(spark, sf_dir):
+    dw = T.doc_wide(spark, sf_dir)
+    out = []
+    for imp in ("median", "mice"):
+        prepared, _ = PP.fit_prep(dw, "doc_id", "y", CONT, BIN, protected="X4", impute=imp)
+        feats = [c for c in prepared.columns if c not in ("doc_id", "y")]
+        sp = stratified_split(prepared, "doc_id", "y").withColumn("label", F.col("y").cast("double"))
+        m = L.pipeline(feats, "lr").fit(sp.filter(F.col("split") == "train"))
+        out.append(L.score(m, sp.filter(F.col("split") == "val"), "doc_id", "lr", {"model": "lr", "variant": imp}))
+    return E.exact_threshold_search(L.union_all(out), ["variant", "model"])
+
+
+@register("l22_load_pipeline")
+def l22(spark, sf_dir):
+    train, _, test, feats = _parts(spark, sf_dir)
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex[:8]}")
+    L.pipeline(feats, "lr").fit(train).write().overwrite().save(path)
+    reg = spark.createDataFrame([("lr", "median", "reduced", path)], "model string, imputation string, version string, path string")
+    m = L.load_pipeline(reg, "lr", "median", "full")
+    return L.score(m, test, "doc_id", "lr", {"model": "lr"})
+
+
+@register("c16_combined_importance")
+def c16(spark, sf_dir):
+    sp, feats = _prepared(spark, sf_dir)
+    return L.combined_importance(sp, feats, "label", 20)
+
+
+@register("r06_borderline_smote")
+def r06(spark, sf_dir):
+    train, _, _, feats = _parts(spark, sf_dir)
+    out = L.borderline_smote(train.select("doc_id", "label", *feats), feats, "doc_id", "label")
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
