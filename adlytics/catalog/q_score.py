@@ -1 +1,122 @@
-"""Queries (filled in as operators land)."""
+"""Scoring queries (B2-B12) with DuckDB oracles for the rules on the score table."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from adlytics.catalog import tables as T
+from adlytics.catalog.q_train import MEMBERS, _prepared
+from adlytics.catalog.registry import register
+from adlytics.catalog.sqlgen import r6
+from adlytics.operators import metrics as E
+from adlytics.operators import train as L
+from adlytics.plans import prep as PP
+from adlytics.plans import scoring as B
+from adlytics.session import scratch_path
+
+CONT = T.DOC_CONT
+BIN = T.doc_binary_cols()
+S = T.scores_sql()
+DW = T.doc_wide_sql()
+
+
+def _fit_models(spark, sf_dir, families=("lr", "randforest")):
+    dw = T.doc_wide(spark, sf_dir)
+    from adlytics.operators.sampling import stratified_split
+    sp = stratified_split(dw, "doc_id", "y", (0.8, 0.2), ("train", "test"))
+    train, test = sp.filter(F.col("split") == "train").drop("split"), sp.filter(F.col("split") == "test").drop("split")
+    prepared, prep = PP.fit_prep(train, "doc_id", "y", CONT, BIN, protected="X4", impute="median")
+    feats = [c for c in prep.columns if c not in ("doc_id", "y")]
+    tr = prepared.withColumn("label", F.col("y").cast("double"))
+    models = {f: L.pipeline(feats, f).fit(tr) for f in families}
+    return prep, models, test
+
+
+@register("b02_b03_end_to_end_predict")
+def b02(spark, sf_dir):
+    prep, models, test = _fit_models(spark, sf_dir)
+    return B.predict(test.drop("y"), prep, models, "doc_id", 0.5)
+
+
+@register("b04_b08_single_model_saved_threshold")
+def b04(spark, sf_dir):
+    prep, models, test = _fit_models(spark, sf_dir, ("lr",))
+    th = spark.createDataFrame([("randforest", 0.4)], "model string, threshold double")
+    t = B.saved_threshold(th, "lr", B.CHALLENGE_THRESHOLD)
+    return B.predict(test.drop("y"), prep, models, "doc_id", t)
+
+
+@register("b05_submission_file")
+def b05(spark, sf_dir):
+    prep, models, test = _fit_models(spark, sf_dir)
+    pred = B.predict(test.drop("y"), prep, models, "doc_id", 0.5)
+    path = B.write_submission(pred, scratch_path(spark, f"submission-{uuid.uuid4().hex[:8]}"),
+                              expected_rows=test.count())
+    return spark.read.csv(path).withColumnRenamed("_c0", "label")
+
+
+_MP = f"""mp AS (SELECT id, split, imputation, max(y) AS y, round(avg(p), 6) + 0.0 AS p FROM s
+  WHERE model IN ({', '.join(f"'{m}'" for m in MEMBERS)}) GROUP BY id, split, imputation)"""
+
+
+@register("b06_prediction_stats", f"""WITH s AS {S}, {_MP}
+SELECT imputation, count(*) AS n, count_if(p >= 0.5) AS n_positive, {r6('avg(CAST(p >= 0.5 AS DOUBLE))')} AS positive_rate,
+  {r6('avg(p)')} AS mean_probability, 0.5 AS threshold FROM mp WHERE split = 'test' GROUP BY imputation""")
+def b06(spark, sf_dir):
+    mp = L.mean_probability(T.scores(spark, sf_dir), MEMBERS, ["split", "imputation"]).filter(F.col("split") == "test")
+    pred = mp.withColumn("prediction", (F.col("p") >= 0.5).cast("int")).withColumnRenamed("p", "probability")
+    out = None
+    for imp in ("knn", "mice"):
+        st = B.prediction_stats(pred.filter(F.col("imputation") == imp), threshold=0.5).withColumn("imputation", F.lit(imp))
+        out = st if out is None else out.unionByName(st)
+    return out
+
+
+@register("b09_side_by_side_variants", f"""WITH s AS {S}, {_MP},
+g AS (SELECT CAST(i AS DOUBLE) / CAST(100 AS DOUBLE) AS threshold FROM range(1, 100) r(i)),
+cc AS (SELECT imputation, threshold, count_if(p >= threshold AND y = 1) AS tp, count_if(p >= threshold AND y = 0) AS fp,
+  count_if(p < threshold AND y = 1) AS fn FROM mp, g WHERE split = 'val' GROUP BY 1, 2),
+cur AS (SELECT imputation, threshold, round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END, 6) AS f1 FROM cc),
+best AS (SELECT imputation, threshold FROM (SELECT *, row_number() OVER (PARTITION BY imputation ORDER BY f1 DESC, threshold) AS rn FROM cur) WHERE rn = 1),
+t AS (SELECT id, imputation, p, CAST(p >= threshold AS INTEGER) AS pred FROM mp JOIN best USING (imputation) WHERE split = 'test')
+SELECT id, max(CASE WHEN imputation = 'knn' THEN pred END) AS knn_pred, max(CASE WHEN imputation = 'knn' THEN p END) AS knn_p,
+  max(CASE WHEN imputation = 'mice' THEN pred END) AS mice_pred, max(CASE WHEN imputation = 'mice' THEN p END) AS mice_p
+FROM t GROUP BY id""")
+def b09(spark, sf_dir):
+    mp = L.mean_probability(T.scores(spark, sf_dir), MEMBERS, ["split", "imputation"])
+    th = E.grid_threshold_search(mp.filter(F.col("split") == "val"), ["imputation"]).select("imputation", "threshold")
+    return B.side_by_side(mp.filter(F.col("split") == "test"), th, "imputation")
+
+
+@register("b10_best_stack_prediction")
+def b10(spark, sf_dir):
+    s = T.scores(spark, sf_dir)
+    mp = L.mean_probability(s, MEMBERS, ["split", "imputation"])
+    best = E.grid_threshold_search(mp.filter(F.col("split") == "val"), ["imputation"]).collect()
+    f1 = {r["imputation"]: r["f1"] for r in best}
+    th = {r["imputation"]: r["threshold"] for r in best}
+    pred, info = B.best_stack_prediction(s.filter(F.col("split") == "test"), MEMBERS, f1, th)
+    return pred.withColumn("variant", F.lit(info["variant"])).withColumn("threshold", F.lit(info["threshold"]))
+
+
+@register("b11_rule_baseline", f"""WITH d AS {DW}, m AS (SELECT doc_id AS id, ({' + '.join(f'coalesce(CAST({c} AS DOUBLE), 0.0)' for c in BIN)}) / {len(BIN)} AS rm FROM d),
+q AS (SELECT quantile_cont(rm, 0.7) AS t FROM m)
+SELECT id, {r6('rm')} AS row_mean, CAST(rm >= t AS INTEGER) AS prediction FROM m, q""")
+def b11(spark, sf_dir):
+    return B.rule_baseline(T.doc_wide(spark, sf_dir).withColumnRenamed("doc_id", "id"), BIN, 0.7, "id")
+
+
+@register("b12_stream_scoring")
+def b12(spark, sf_dir):
+    """New rows arrive as Parquet files; the streaming query scores every micro-batch with the
+    frozen preparation and models, appending to a sink that is read back."""
+    from adlytics.streaming.stream import score_stream
+    prep, models, test = _fit_models(spark, sf_dir)
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
+    incoming = test.drop("y")
+    incoming.repartition(3).write.parquet(f"{base}/in")
+    q = score_stream(spark, f"{base}/in", incoming.schema, f"{base}/out", f"{base}/ckpt", prep, models, "doc_id")
+    q.awaitTermination(600)
+    return spark.read.parquet(f"{base}/out")

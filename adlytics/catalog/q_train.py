@@ -18,7 +18,7 @@ from adlytics.operators import metrics as E
 from adlytics.operators import train as L
 from adlytics.operators.sampling import stratified_folds, stratified_split
 from adlytics.plans import prep as PP
-from adlytics.session import scratch_path
+from adlytics.session import cut_lineage, scratch_path
 
 CONT = T.DOC_CONT
 BIN = T.doc_binary_cols()
@@ -33,7 +33,8 @@ def _prepared(spark, sf_dir):
     feats = [c for c in out.columns if c not in ("doc_id", "y")]
     sp = stratified_split(out, "doc_id", "y").withColumn("label", F.col("y").cast("double"))
     sp = stratified_folds(sp, "doc_id", "y", 3)
-    return sp, feats
+    # model fitting passes over the data many times: materialise the prepared table once
+    return cut_lineage(sp), feats
 
 
 def _parts(spark, sf_dir):
