@@ -214,3 +214,16 @@ SELECT "column", CAST(na AS BIGINT) AS n_a, CAST(nb AS BIGINT) AS n_b, {r6('d')}
 def m11(spark, sf_dir):
     v = _variants(spark, sf_dir)
     return M.ks_two_sample(v.filter(F.col("variant") == "raw"), v.filter(F.col("variant") == "median_capped"), LNF)
+
+
+@register("o04_scoring_outlier_switch")
+def o04(spark, sf_dir):
+    """At scoring, rows outside fences saved from the training rows are removed only when the
+    switch is on; with it off the rows pass unchanged."""
+    ln = T.lineitem_nulls(spark, sf_dir)
+    u = portable_unit("id", 42)
+    bounds = O.iqr_bounds(ln.filter(u < 0.8), _KEEP_COLS)
+    new = ln.filter(~(u < 0.8))
+    on = O.remove_outliers(new, _KEEP_COLS, bounds=bounds).withColumn("switch", F.lit("on"))
+    off = new.withColumn("switch", F.lit("off"))
+    return on.unionByName(off).groupBy("switch").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -428,3 +428,9 @@ c AS (SELECT "column", {r6('r')} AS r FROM ({_target_corr_sql('ln', LNF)}))
 SELECT * FROM d JOIN mo USING ("column") JOIN o USING ("column") JOIN c USING ("column")""")
 def d30(spark, sf_dir):
     return P.continuous_report(T.lineitem_nulls(spark, sf_dir), LNF, "y")
+
+
+@register("d04_inspect_datasets")
+def d04(spark, sf_dir):
+    dw = T.doc_wide(spark, sf_dir)
+    return P.inspect_datasets(dw, dw.drop("y"), "y")

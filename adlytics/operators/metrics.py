@@ -135,9 +135,18 @@ def threshold_curve(scores: DataFrame, by: list[str] = (), lo: int = 1, hi: int
 
 
 def best_row(df: DataFrame, by: list[str], metric: str, tie: str = "threshold") -> DataFrame:
-    """The row with the largest metric per group; first (smallest ``tie``) wins on ties."""
-    w = Window.partitionBy(*by).orderBy(F.col(metric).desc(), F.col(tie).asc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """The row with the largest metric per group; first (smallest numeric ``tie``) wins on ties.
+
+    A ``max_by`` aggregate (partial aggregation per partition), so a group with many candidate
+    rows (e.g. every distinct score) is never sorted in one task."""
+    by = list(by)
+    rest = [c for c in df.columns if c not in by]
+    key = F.struct(F.col(metric), -F.col(tie))
+    if not by:
+        agg = df.agg(F.max_by(F.struct(*rest), key).alias("_b"))
+    else:
+        agg = df.groupBy(*by).agg(F.max_by(F.struct(*rest), key).alias("_b"))
+    return agg.select(*by, "_b.*")
 
 
 def grid_threshold_search(scores: DataFrame, by: list[str] = (), metric: str = "f1", lo: int = 1,
@@ -164,7 +173,7 @@ def _keyed(scores: DataFrame, by):
 
 
 def pr_points(scores: DataFrame, by: list[str] = (), score: str = "p", label: str = "y",
-              buckets: int = 64) -> DataFrame:
+              buckets: int = 1024) -> DataFrame:
     """(by..., threshold, tp, fp, precision, recall): one point per distinct score."""
     scores, by, drop = _keyed(scores, by)
     g = _score_counts(scores, by, score, label)
@@ -177,7 +186,7 @@ def pr_points(scores: DataFrame, by: list[str] = (), score: str = "p", label: st
 
 
 def exact_threshold_search(scores: DataFrame, by: list[str] = (), score: str = "p", label: str = "y",
-                           buckets: int = 64) -> DataFrame:
+                           buckets: int = 1024) -> DataFrame:
     """(by..., threshold, f1, precision, recall): best F1 over every distinct score, with
     f1 = 2pr / (p + r + 1e-9); first (lowest threshold) wins on ties (E3, E5, E6)."""
     by = list(by)
@@ -190,7 +199,7 @@ def exact_threshold_search(scores: DataFrame, by: list[str] = (), score: str = "
 
 
 def roc_points(scores: DataFrame, by: list[str] = (), score: str = "p", label: str = "y",
-               buckets: int = 64) -> DataFrame:
+               buckets: int = 1024) -> DataFrame:
     """(by..., threshold, fpr, tpr): one ROC point per distinct score."""
     pts = pr_points(scores, by, score, label, buckets)
     return pts.select(*by, "threshold", r6(_div0(F.col("fp"), F.col("N"))).alias("fpr"),
@@ -198,7 +207,7 @@ def roc_points(scores: DataFrame, by: list[str] = (), score: str = "p", label: s
 
 
 def auc(scores: DataFrame, by: list[str] = (), score: str = "p", label: str = "y",
-        buckets: int = 64) -> DataFrame:
+        buckets: int = 1024) -> DataFrame:
     """(by..., auc): area under the ROC curve, Mann-Whitney with ties counted half.
 
     Equals the trapezoid area under ``roc_points``; each distinct score contributes
@@ -212,7 +221,7 @@ def auc(scores: DataFrame, by: list[str] = (), score: str = "p", label: str = "y
 
 
 def roc_trapezoid_auc(scores: DataFrame, by: list[str] = (), score: str = "p", label: str = "y",
-                      buckets: int = 64) -> DataFrame:
+                      buckets: int = 1024) -> DataFrame:
     """(by..., auc_trapezoid): trapezoid rule over the ROC points, starting at (0, 0).
 
     The step at each point is (neg/N) x (tpr_before + tpr_after)/2 with tpr_before =
@@ -250,7 +259,7 @@ def default_vs_optimised(scores: DataFrame, by: list[str], tune_split: str = "va
 
 # ----------------------------------------------------------------------------------- E13, E14
 def evaluate_at_thresholds(scores: DataFrame, thresholds: DataFrame, by: list[str], split: str | None = "test",
-                           split_col: str = "split", buckets: int = 64) -> DataFrame:
+                           split_col: str = "split", buckets: int = 1024) -> DataFrame:
     """(by..., threshold, f1, precision, recall, auc) at saved per-group thresholds.
 
     Groups without a saved threshold are skipped (inner join); see ``missing_thresholds``."""

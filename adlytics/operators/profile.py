@@ -516,3 +516,20 @@ def continuous_report(df: DataFrame, cols: list[str], target: str = "y", m: floa
     o = outlier_report(df, cols, m).select("column", "n_outliers", "pct_outliers")
     c = target_correlations(df, cols, target).select("column", "r")
     return d.join(mo, "column").join(o, "column").join(c, "column")
+
+
+# ----------------------------------------------------------------------------------- D4
+def inspect_datasets(train: DataFrame, test: DataFrame, target: str = "y") -> DataFrame:
+    """Train and test inspected together (D4): column kinds of both, schema agreement and the
+    target check, as one long table (section, name, value)."""
+    kinds = classify_columns(train, exclude=[target]).select(
+        F.lit("kind").alias("section"), "column", "kind").withColumnRenamed("column", "name") \
+        .withColumnRenamed("kind", "value")
+    sch = compare_schemas(train, test).select(
+        F.lit("schema").alias("section"), F.col("column").alias("name"),
+        F.when(F.col("type_match"), "same").when(F.col("in_a") & ~F.col("in_b"), "train_only")
+        .when(~F.col("in_a") & F.col("in_b"), "test_only").otherwise("type_differs").alias("value"))
+    tgt = validate_target(train, target).select(
+        F.lit("target").alias("section"), F.lit(target).alias("name"),
+        F.col("target_valid").cast("string").alias("value"))
+    return kinds.unionByName(sch).unionByName(tgt)
