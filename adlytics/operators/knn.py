@@ -54,6 +54,8 @@ def nearest(queries: DataFrame, donors: DataFrame, coords: list[str], k: int, qi
                        *[col(c).cast("double").alias(f"q_{c}") for c in coords])
     D = donors.select(col(did).alias("_did"), *[col(e).alias(f"dx_{e}") for e in d_extra],
                       *[col(c).cast("double").alias(f"d_{c}") for c in coords])
+    # every widening round reads both sides: materialise the projected inputs once
+    Q, D = cut_lineage(Q), cut_lineage(D)
     # donors exploded once per present coordinate: (j, value on j)
     Dj = D.select("*", F.explode(F.array(*[F.when(dn[j].isNotNull(), F.struct(F.lit(j).alias("j"), dn[j].alias("xj")))
                                           for j in range(n)])).alias("_e")).filter(F.col("_e").isNotNull()) \
@@ -117,8 +119,8 @@ def knn_neighbours(df: DataFrame, cols: list[str], id_col: str, k: int, donors:
     """(id, target, donor, value, dist, rank): the k nearest donors having a value for each
     missing cell. Searches are per target column so every donor found can give the value."""
     donors = donors if donors is not None else df
-    tasks = impute_tasks(df, cols, id_col)
-    dv = donor_values(donors, cols, id_col)
+    tasks = cut_lineage(impute_tasks(df, cols, id_col))
+    dv = cut_lineage(donor_values(donors, cols, id_col))
     out = None
     for c in cols:
         t = tasks.filter(F.col("target") == c)

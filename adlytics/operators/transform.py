@@ -77,6 +77,9 @@ def _loglik_grid(df: DataFrame, cols: list[str], method: str, grids: dict, shift
 def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson", standardize: bool = True,
               grid: int = 41, refine: int = 2) -> dict[str, PowerFit]:
     """Maximum-likelihood lambda per column, 1 + ``refine`` aggregate passes."""
+    from adlytics.session import cut_lineage
+    # several passes read the same columns: materialise just those once
+    df = cut_lineage(df.select(*[col(c).cast("double").alias(c) for c in cols]))
     shifts = {c: 0.0 for c in cols}
     if method == "box-cox":
         mins = df.agg(*[F.min(col(c)).alias(c) for c in cols]).first()

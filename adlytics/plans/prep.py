@@ -25,7 +25,7 @@ from adlytics.operators import missing as M
 from adlytics.operators import outliers as O
 from adlytics.operators import transform as TR
 from adlytics.operators.knn import knn_impute
-from adlytics.session import scratch_path
+from adlytics.session import cut_lineage, scratch_path
 
 DEFAULT_STEPS = ("protected", "impute", "power", "cap", "reduce", "poly")
 
@@ -114,7 +114,9 @@ def fit_prep(df: DataFrame, id_col: str, target: str | None, continuous: list[st
     spark = df.sparkSession
     prep = FittedPrep(id_col=id_col, target=target, continuous=list(continuous), binary=list(binary),
                       protected=protected, impute=impute, k=k, steps=list(steps))
-    out = df
+    # every fitting step scans its input several times: materialise it once, and again after
+    # the imputation and transform steps (lineage stays short)
+    out = cut_lineage(df)
     for step in steps:
         if step == "protected" and protected and protected in out.columns:
             prep.protected_median = M.fit_medians(out, [protected]).get(protected)
@@ -132,6 +134,7 @@ def fit_prep(df: DataFrame, id_col: str, target: str | None, continuous: list[st
                 out = knn_impute(out, continuous, id_col, k, donors=spark.read.parquet(path))
             else:
                 raise ValueError(f"unknown imputation {impute!r}")
+            out = cut_lineage(out)
         elif step == "power" and power:
             if isinstance(power, str):
                 fits = TR.fit_power(out, continuous, power, standardize=True)
