@@ -112,8 +112,11 @@ def doc_wide(spark: SparkSession, sf_dir: str, n_tokens: int = N_TOKENS) -> Data
         F.when(k % 97 == 0, F.lit(None).cast("int"))
          .otherwise((F.col("lang") == "en").cast("int")).alias("X4"),
     ]
+    # one hash-based pass over each document's tokens keeps only the top ones, then the flags
+    # test membership in that short array
+    docs = docs.withColumn("top", F.array_intersect("tokens", F.array(*[F.lit(t) for t in toks])))
     for i, t in enumerate(toks):
-        cols.append(F.array_contains("tokens", t).cast("int").alias(f"X{5 + i}"))
+        cols.append(F.array_contains("top", t).cast("int").alias(f"X{5 + i}"))
     return docs.select(*cols)
 
 

@@ -24,6 +24,10 @@ from adlytics.functions.exprs import col
 from adlytics.session import cut_lineage
 
 
+def _row_count(df: DataFrame) -> int:
+    return df.count()
+
+
 def _first_shared(q_present: list, d_present: list, n: int):
     """Index of the first coordinate present in both, or -1."""
     e = F.lit(-1)
@@ -46,7 +50,11 @@ def nearest(queries: DataFrame, donors: DataFrame, coords: list[str], k: int, qi
                      *[F.max(col(c)).alias(f"hi{j}") for j, c in enumerate(coords)]).first()
     spans = [(rng[f"hi{j}"] - rng[f"lo{j}"]) if rng[f"hi{j}"] is not None else 0.0 for j in range(n)]
     full = max(spans + [1e-12])
-    eps = eps0 or max(full / 1024.0, 1e-9)
+    if eps0 is None:
+        # start near the expected k-th neighbour distance of evenly spread donors
+        n_donors = max(_row_count(donors), 1)
+        eps0 = full * min(1.0, (k / n_donors) ** (1.0 / max(n, 1))) / 2
+    eps = max(eps0, 1e-9)
 
     qn = [F.col(f"q_{c}") for c in coords]
     dn = [F.col(f"d_{c}") for c in coords]
