@@ -247,27 +247,31 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
                            repeats: int = 5, id_col: str = "id", seed: int = SEED) -> DataFrame:
     """F1 drop when one feature's values are permuted across rows (L-15).
 
-    The permutation pairs each row's rank in one hash order with the row of equal rank in another
-    hash order: two rank columns and an equi-join, computed with the bucketed ranks of
-    ``sampling.class_rank`` (no single-partition window)."""
+    A permutation pairs each row's rank in one hash order with the row of equal rank in another
+    hash order (bucketed ranks of ``sampling.class_rank``: no single-partition window). It does
+    not depend on the feature, so each repeat builds it once, attaches every partner value and
+    materialises the result; each feature's score then swaps in one column."""
     from adlytics.operators.sampling import class_rank
+    from adlytics.session import cut_lineage
     ev = MulticlassClassificationEvaluator(labelCol="label", metricName="fMeasureByLabel", metricLabel=1.0)
     base = ev.evaluate(model.transform(df))
     one = df.withColumn("_all", F.lit(0))
+    drops = {f: [] for f in features}
+    for r in range(repeats):
+        a = class_rank(one, id_col, "_all", seed + 2 * r).select(col(id_col), F.col("_rank").alias("_ra"))
+        b = class_rank(one, id_col, "_all", seed + 2 * r + 1).select(
+            F.col("_rank").alias("_ra"), *[col(f).alias(f"_pv_{i}") for i, f in enumerate(features)])
+        pj = cut_lineage(df.join(a, id_col).join(b, "_ra").drop("_ra"))
+        for i, f in enumerate(features):
+            perm = pj.withColumn(f, F.col(f"_pv_{i}"))
+            drops[f].append(base - ev.evaluate(model.transform(perm)))
     rows = []
     for f in features:
-        drops = []
-        for r in range(repeats):
-            a = class_rank(one, id_col, "_all", seed + 2 * r).select(col(id_col), F.col("_rank").alias("_ra"))
-            b = class_rank(one, id_col, "_all", seed + 2 * r + 1).select(F.col("_rank").alias("_ra"),
-                                                                          col(f).alias("_pv"))
-            perm = df.join(a, id_col).join(b, "_ra").withColumn(f, F.col("_pv")).drop("_ra", "_pv")
-            drops.append(base - ev.evaluate(model.transform(perm)))
-        mean = sum(drops) / len(drops)
-        std = (sum((d - mean) ** 2 for d in drops) / max(len(drops) - 1, 1)) ** 0.5
+        d = drops[f]
+        mean = sum(d) / len(d)
+        std = (sum((x - mean) ** 2 for x in d) / max(len(d) - 1, 1)) ** 0.5
         rows.append((f, mean, std))
-    spark = df.sparkSession
-    return spark.createDataFrame(rows, "feature string, mean_drop double, std_drop double") \
+    return df.sparkSession.createDataFrame(rows, "feature string, mean_drop double, std_drop double") \
         .orderBy(F.col("mean_drop").desc(), "feature")
 
 

@@ -1,6 +1,6 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare rows, columns, values.
 
-usage: python tools/oracle_check.py [sf_dir] [name-prefix ...]
+usage: python tools/oracle_check.py [sf_dir] [name-prefix ...] [--oracle-only]
 """
 
 from __future__ import annotations
@@ -66,7 +66,8 @@ def main():
     from adlytics.catalog import registry
     from adlytics.session import get_spark
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    prefixes = sys.argv[2:]
+    prefixes = [a for a in sys.argv[2:] if not a.startswith("--")]
+    oracle_only = "--oracle-only" in sys.argv
     spark = get_spark(master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     queries, oracles = registry.load_all()
     con = duckdb.connect()
@@ -76,6 +77,8 @@ def main():
     for name, fn in queries.items():
         if prefixes and not any(name.startswith(p) for p in prefixes):
             continue
+        if oracle_only and name not in oracles:
+            continue
         try:
             msg, ok = compare(name, fn(spark, sf_dir), con, oracles.get(name))
         except Exception as e:  # report and continue
