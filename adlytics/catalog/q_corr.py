@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from adlytics.catalog import tables as T
 from adlytics.catalog.registry import register
 from adlytics.catalog.sqlgen import melt_sql, r6
+from adlytics.functions.exprs import portable_hash_sql
 from adlytics.operators import corr as C
 
 LN = T.LINEITEM_NULLS_SQL
@@ -102,7 +103,7 @@ def c06(spark, sf_dir):
 pos AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(BIN))}) AS p("column", pos)),
 r AS (SELECT "column", avg(value) AS rate FROM {melt_sql('dw', BIN)} GROUP BY 1),
 b AS (SELECT r."column", rate, pos, ntile(4) OVER (ORDER BY rate, pos) AS bucket FROM r JOIN pos USING ("column")),
-k AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY ((pos + 42) * 48271) % 2147483647, pos) AS pick FROM b)
+k AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY {portable_hash_sql("pos", 42)}, pos) AS pick FROM b)
 SELECT "column", {r6('rate')} AS rate, bucket, pick FROM k WHERE pick <= 5""")
 def c07(spark, sf_dir):
     return C.stratified_column_sample(T.doc_wide(spark, sf_dir), BIN, per_bucket=5)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from adlytics.catalog import tables as T
 from adlytics.catalog.registry import register
 from adlytics.catalog.sqlgen import melt_sql, r6
-from adlytics.functions.exprs import HASH_MOD, HASH_MULT, portable_unit
+from adlytics.functions.exprs import HASH_MOD, portable_hash_sql, portable_unit
 from adlytics.operators import missing as M
 from adlytics.operators import outliers as O
 
@@ -90,7 +90,7 @@ def o05r(spark, sf_dir):
     return O.cap_report(ln, O.iqr_bounds(ln, LNF))
 
 
-_TRAIN = f"((id % {HASH_MOD} + 42) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} < 0.8"
+_TRAIN = f"{portable_hash_sql('id')} / {float(HASH_MOD)} < 0.8"
 
 
 @register("o06_apply_saved_bounds", f"""WITH ln AS {LN}, q AS {_q_sql(f'(SELECT * FROM ln WHERE {_TRAIN})', LNF)}

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from adlytics.catalog import tables as T
 from adlytics.catalog.registry import register
 from adlytics.catalog.sqlgen import r6
-from adlytics.functions.exprs import HASH_MOD, HASH_MULT
+from adlytics.functions.exprs import HASH_MOD, portable_hash_sql
 from adlytics.operators import sampling as R
 
 LN = T.LINEITEM_NULLS_SQL
 
 
 def _h(key="id", seed=42):
-    return f"((({key}) % {HASH_MOD} + {seed}) * {HASH_MULT}) % {HASH_MOD}"
+    return portable_hash_sql(key, seed)
 
 
 _RANK_SQL = f"""ln AS {LN}, r AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY {_h()}, id) AS rk,
@@ -70,7 +70,7 @@ _MASK_COLS = T.LINE_FEATURES
 
 
 @register("r08_cell_mask", f"""SELECT id,
-  {', '.join(f"(({_h()} + {j * R.CELL_STRIDE}) * {HASH_MULT}) % {HASH_MOD} < {int(0.2 * HASH_MOD)} AS {c}_masked" for j, c in enumerate(_MASK_COLS))}
+  {', '.join(f"{_h(seed=42 + R.CELL_STRIDE * (j + 1))} < {int(0.2 * HASH_MOD)} AS {c}_masked" for j, c in enumerate(_MASK_COLS))}
 FROM {LN} ln""")
 def r08(spark, sf_dir):
     ln = T.lineitem_nulls(spark, sf_dir)

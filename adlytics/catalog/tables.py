@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlytics.functions.exprs import HASH_MOD, HASH_MULT
+from adlytics.functions.exprs import HASH_MOD, portable_hash, portable_hash_sql
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,7 +81,7 @@ EVENTS_TARGET_SQL = """(SELECT event_id AS id, user_id,
 # y = toxic. Nulls induced on X1..X4 by key rules.
 # --------------------------------------------------------------------------------------------
 N_TOKENS = 40
-TOKEN_RE = "[a-z]+"
+TOKEN_RE = r"\p{L}+"
 
 
 def doc_tokens(docs: DataFrame) -> DataFrame:
@@ -171,9 +171,8 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"),
                                 F.lit(s).cast("long").alias("seed"))
                        for i, m, a, b, c, s in SCORE_MODELS])
-    k = F.pmod(F.col("id"), F.lit(HASH_MOD))
-    u = F.pmod((k + F.col("m.seed")) * HASH_MULT, F.lit(HASH_MOD)) / float(HASH_MOD)
-    su = F.pmod((k + 7) * HASH_MULT, F.lit(HASH_MOD)) / float(HASH_MOD)
+    u = portable_hash("id", F.col("m.seed")) / float(HASH_MOD)
+    su = portable_hash("id", 7) / float(HASH_MOD)
     z = F.col("m.a") + F.col("m.b") * (F.col("y") - 0.5) + F.col("m.c") * (u - 0.5)
     return (li.select("id", "y", F.explode(models).alias("m"))
             .select("id",
@@ -186,11 +185,11 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scores_sql() -> str:
     vals = ", ".join(f"('{i}', '{m}', {a}, {b}, {c}, {s})" for i, m, a, b, c, s in SCORE_MODELS)
     return f"""(SELECT id,
-  CASE WHEN ((id % {HASH_MOD} + 7) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} < 0.6 THEN 'train'
-       WHEN ((id % {HASH_MOD} + 7) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} < 0.8 THEN 'val'
+  CASE WHEN {portable_hash_sql('id', 7)} / {float(HASH_MOD)} < 0.6 THEN 'train'
+       WHEN {portable_hash_sql('id', 7)} / {float(HASH_MOD)} < 0.8 THEN 'val'
        ELSE 'test' END AS split,
   imputation, 'full' AS version, model, y,
-  round(1.0 / (1.0 + exp(-(a + b * (y - 0.5) + c * (((id % {HASH_MOD} + seed) * {HASH_MULT}) % {HASH_MOD} / {float(HASH_MOD)} - 0.5)))), 4) AS p
+  round(1.0 / (1.0 + exp(-(a + b * (y - 0.5) + c * ({portable_hash_sql('id', 'seed')} / {float(HASH_MOD)} - 0.5)))), 4) AS p
 FROM (SELECT {LINE_ID_SQL} AS id,
              CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem) li
 CROSS JOIN (VALUES {vals}) AS m(imputation, model, a, b, c, seed))"""

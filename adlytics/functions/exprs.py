@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Portable hash used for seeded splits, folds and masks (Park-Miller
-# minimal standard generator), identical in Spark and in any SQL engine.
-HASH_MULT = 48271
+# Portable hash used for seeded splits, folds and masks: three rounds of
+# xor-shift and modular multiplication (multipliers of minimal standard generators), identical
+# in Spark and in any SQL engine. Every product stays below 2^48.
 HASH_MOD = 2147483647
+HASH_SEED_STEP = 1000003
+HASH_ROUNDS = [(15, 48271), (13, 69621), (16, 40692)]
 
 
 def col(c) -> Column:
@@ -29,9 +31,24 @@ def r6(c) -> Column:
 def portable_hash(key, seed: int = 42) -> Column:
     """Deterministic pseudo-random integer in [0, 2^31-1) from an integer key.
 
-    The key is reduced modulo 2^31-1 first, so no product overflows whatever the key."""
-    k = F.pmod(col(key).cast("long"), F.lit(HASH_MOD))
-    return F.pmod((k + F.lit(seed)) * F.lit(HASH_MULT), F.lit(HASH_MOD))
+    The key is reduced modulo 2^31-1 first, so no product overflows whatever the key. The seed
+    (a number, or a column) enters before the first and after the second xor-shift, so two seeds
+    give unrelated orders and not a rotation of one."""
+    s = seed if isinstance(seed, Column) else F.lit(seed).cast("long")
+    h = F.pmod(F.pmod(col(key).cast("long"), F.lit(HASH_MOD)) + s * HASH_SEED_STEP, F.lit(HASH_MOD))
+    for i, (shift, mult) in enumerate(HASH_ROUNDS):
+        h = h.bitwiseXOR(F.shiftright(h, shift)) * mult
+        h = F.pmod(h + s if i == 1 else h, F.lit(HASH_MOD))
+    return h
+
+
+def portable_hash_sql(key: str, seed: int | str = 42) -> str:
+    """SQL twin of ``portable_hash`` for non-negative keys (``seed``: a number or a column)."""
+    h = f"((({key}) % {HASH_MOD} + CAST({seed} AS BIGINT) * {HASH_SEED_STEP}) % {HASH_MOD})"
+    for i, (shift, mult) in enumerate(HASH_ROUNDS):
+        h = f"xor({h}, {h} >> {shift}) * {mult}"
+        h = f"(({h} + {seed}) % {HASH_MOD})" if i == 1 else f"(({h}) % {HASH_MOD})"
+    return h
 
 
 def portable_unit(key, seed: int = 42) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.ml import Transformer
+from pyspark.ml.param import Param, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -154,19 +155,20 @@ class ColumnMaskSelector(Transformer, HasInputCols, HasOutputCol, DefaultParamsR
 
     def __init__(self, inputCols=None, mask=None, keep=None):
         super().__init__()
-        self._mask = list(mask or [])
-        self._keep = list(keep or [])
-        if inputCols is not None:
-            self._set(inputCols=inputCols)
+        self.mask = Param(self, "mask", "whether each input column is kept", TypeConverters.toList)
+        self.keep = Param(self, "keep", "columns that always pass", TypeConverters.toListString)
+        self._setDefault(mask=[], keep=[])
+        self._set(mask=[bool(m) for m in mask] if mask is not None else None, keep=keep, inputCols=inputCols)
 
     def selected(self) -> list[str]:
         cols = self.getInputCols()
-        if len(cols) != len(self._mask):
+        mask = self.getOrDefault(self.mask)
+        if len(cols) != len(mask):
             raise ValueError("mask length differs from the number of input columns")
-        return [c for c, m in zip(cols, self._mask) if m]
+        return [c for c, m in zip(cols, mask) if m]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.select(*[col(c) for c in self._keep], *[col(c) for c in self.selected()])
+        return dataset.select(*[col(c) for c in self.getOrDefault(self.keep)], *[col(c) for c in self.selected()])
 
 
 def valid_identifier(name: str) -> bool:

@@ -55,13 +55,3 @@ def chunks(seq, n):
     for i in range(0, len(seq), n):
         yield seq[i:i + n]
 
-
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked size: the side is counted (bounded by ``limit``, so
-    the check itself stops early) and hinted only when it has at most ``max_rows`` rows;
-    otherwise the planner's shuffle join is kept."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -40,18 +40,18 @@ def top_target_correlations(df: DataFrame, cols: list[str], target: str = "y", n
 
 
 # ----------------------------------------------------------------------------------- C3, C4, C18
-def corr_pairs(df: DataFrame, cols: list[str], gram_min: int = 12) -> DataFrame:
+def corr_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """(var1, var2, r) for every pair var1 < var2, pairwise-complete (as pandas ``corr``).
 
-    One cheap pass counts NULLs per column. Pairs of null-free columns (when there are at least
-    ``gram_min`` of them) come from the Gram-matrix aggregate of ``gram_corr_pairs``; the pairs
-    that involve a nullable column come from one aggregate of covariance expressions."""
+    One cheap pass counts NULLs per column. Pairs of null-free columns come from the Gram-matrix
+    aggregate of ``gram_corr_pairs``; the pairs that involve a nullable column come from one
+    aggregate of covariance expressions."""
     if len(cols) < 2:
         return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
     nn = df.agg(*[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     nullable = {c for i, c in enumerate(cols) if nn[i] > 0}
     free = [c for c in cols if c not in nullable]
-    use_gram = len(free) >= gram_min
+    use_gram = len(free) >= 2
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]
              if not (use_gram and a not in nullable and b not in nullable)]
     out = gram_corr_pairs(df, free) if use_gram else None
@@ -101,8 +101,8 @@ def gram_corr_pairs(df: DataFrame, cols: list[str], threshold: float | None = No
             keep = np.ones(len(vals), bool) if threshold is None else (np.abs(np.nan_to_num(vals)) > threshold)
             for i, j, r in zip(ii[keep], jj[keep], vals[keep]):
                 a, b = names[i], names[j]
-                rows.append((min(a, b), max(a, b), None if np.isnan(r) else round(float(r), 6) + 0.0))
-    return spark.createDataFrame(rows, PAIR_SCHEMA)
+                rows.append((min(a, b), max(a, b), None if np.isnan(r) else float(r)))
+    return spark.createDataFrame(rows, PAIR_SCHEMA).withColumn("r", r6("r"))
 
 
 def redundancy_degree(pairs: DataFrame, n: int = 10) -> DataFrame:
@@ -249,7 +249,7 @@ def bivariate_report(df: DataFrame, target: str, continuous: list[str], binary:
     tc = target_correlations(df, continuous + binary, target).select(
         F.lit("target").alias("kind"), F.col("column").alias("var1"), F.lit(target).alias("var2"), "r")
     cp = high_pairs(corr_pairs(df, continuous), t_cont).select(F.lit("continuous").alias("kind"), "var1", "var2", "r")
-    bp = high_pairs(gram_corr_pairs(df.na.drop(subset=binary), binary, t_bin), t_bin).select(
+    bp = high_pairs(corr_pairs(df, binary), t_bin).select(
         F.lit("binary").alias("kind"), "var1", "var2", "r")
     return tc.unionByName(cp).unionByName(bp)
 
@@ -260,13 +260,12 @@ def full_correlation_report(df: DataFrame, target: str, binary: list[str], conti
     correlations, binary pairs > .95 -> redundancy degree. Returns named DataFrames."""
     sample = [r[0] for r in stratified_column_sample(df, binary, per_bucket).select("column").collect()]
     feats = continuous + binary
-    sub = df.na.drop(subset=sample) if sample else df
-    bin_pairs = gram_corr_pairs(df.na.drop(subset=binary), binary, t_bin)
+    bin_pairs = high_pairs(corr_pairs(df, binary), t_bin)
     return {
         "sample": stratified_column_sample(df, binary, per_bucket),
         "top": top_target_correlations(df, feats, target, 10),
         "bottom": top_target_correlations(df, feats, target, 10, bottom=True),
-        "sample_pairs": high_pairs(gram_corr_pairs(sub, sample, t_sample), t_sample) if sample
+        "sample_pairs": high_pairs(corr_pairs(df, sample), t_sample) if sample
         else df.sparkSession.createDataFrame([], PAIR_SCHEMA),
         "target": target_correlations(df, feats, target),
         "binary_pairs": bin_pairs,

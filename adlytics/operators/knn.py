@@ -6,9 +6,9 @@ undefined (no donor) when nothing is shared.
 
 Search without a cross join and without capping donors: for any shared coordinate j,
 |a_j - b_j| <= dist (as d / m >= 1). Each query task is therefore joined to donors by an
-equi-join on (coordinate j, band of width eps on j) for its first coordinate shared with the
-donor, which finds every donor within distance eps. A task whose k-th distance is <= eps is
-exact; the others are retried with eps x 4 until the band covers the whole value range. Work per
+equi-join on (null pattern of the donor, coordinate j, band of width eps on j), j being the
+shared coordinate of the widest spread, which finds every donor within distance eps. A task whose k-th distance is <= eps is
+exact; the others are retried with eps x 4 until the band covers the values of both sides. Work per
 round is the band contents; candidates are ranked with a window per task (sort-based, spills).
 Donor rows are exploded once per present coordinate (d copies at most).
 """
@@ -24,29 +24,31 @@ from adlytics.functions.exprs import col
 from adlytics.session import cut_lineage
 
 
-def _first_shared(q_present: list, d_present: list, n: int):
-    """Index of the first coordinate present in both, or -1."""
-    e = F.lit(-1)
-    for j in reversed(range(n)):
-        e = F.when(q_present[j] & d_present[j], F.lit(j)).otherwise(e)
-    return e
+def _mask(present: list):
+    """Bit mask of the coordinates that are present."""
+    return reduce(lambda a, b: a + b, [F.when(p, F.lit(1 << j)).otherwise(F.lit(0)) for j, p in enumerate(present)])
 
 
 def nearest(queries: DataFrame, donors: DataFrame, coords: list[str], k: int, qid: str, did: str,
             q_extra: list[str] = (), d_extra: list[str] = (), exclude_self: bool = False,
-            eps0: float | None = None, growth: float = 4.0, max_rounds: int = 12) -> DataFrame:
+            eps0: float | None = None, growth: float = 4.0) -> DataFrame:
     """(qid, q_extra..., did, d_extra..., dist, rank) for the k nearest donors of every query row.
 
     ``queries`` and ``donors`` carry the coordinate columns (NULL = missing); ``q_extra`` /
     ``d_extra`` are carried through (e.g. the target column of the task, the donor's value).
     Ties are broken by donor id. Tasks with no defined distance to any donor return no row."""
     n = len(coords)
-    spark = queries.sparkSession
-    rng = donors.agg(*[F.min(col(c)).alias(f"lo{j}") for j, c in enumerate(coords)],
-                     *[F.max(col(c)).alias(f"hi{j}") for j, c in enumerate(coords)]).first()
-    spans = [(rng[f"hi{j}"] - rng[f"lo{j}"]) if rng[f"hi{j}"] is not None else 0.0 for j in range(n)]
-    full = max(spans + [1e-12])
-    eps = eps0 or max(full / 1024.0, 1e-9)
+    bounds = [F.min(col(c)).alias(f"lo{j}") for j, c in enumerate(coords)] + [F.max(col(c)).alias(f"hi{j}") for j, c in enumerate(coords)]
+    seen = [x for x in (donors.agg(*bounds).first(), queries.agg(*bounds).first())]
+
+    def span(rows, j):
+        lo, hi = [r[f"lo{j}"] for r in rows if r[f"lo{j}"] is not None], [r[f"hi{j}"] for r in rows if r[f"hi{j}"] is not None]
+        return float(max(hi) - min(lo)) if lo else 0.0
+    # bands end when they cover the values of both sides, however far a query lies
+    full = max([span(seen, j) for j in range(n)] + [1e-12])
+    spread = max([span(seen[:1], j) for j in range(n)] + [1e-12])
+    widest_first = sorted(range(n), key=lambda j: (-span(seen[:1], j), j))
+    eps = eps0 or max(spread / 1024.0, 1e-9)
 
     qn = [F.col(f"q_{c}") for c in coords]
     dn = [F.col(f"d_{c}") for c in coords]
@@ -54,27 +56,31 @@ def nearest(queries: DataFrame, donors: DataFrame, coords: list[str], k: int, qi
                        *[col(c).cast("double").alias(f"q_{c}") for c in coords])
     D = donors.select(col(did).alias("_did"), *[col(e).alias(f"dx_{e}") for e in d_extra],
                       *[col(c).cast("double").alias(f"d_{c}") for c in coords])
+    Q, D = Q.withColumn("_qm", _mask([c.isNotNull() for c in qn])), D.withColumn("_dm", _mask([c.isNotNull() for c in dn]))
     # every widening round reads both sides: materialise the projected inputs once
     Q, D = cut_lineage(Q), cut_lineage(D)
+    # which coordinate joins is settled per pair of null patterns before the join: the shared one
+    # with the widest spread, so a pair meets once and on its most selective coordinate
+    patterns = [(a[0], b[0]) for a in Q.select("_qm").distinct().collect() for b in D.select("_dm").distinct().collect()]
+    via = [(a, b, next((j for j in widest_first if a & b & 1 << j), None)) for a, b in patterns]
+    plan = [F.when(F.col("_qm") == a, F.struct(F.lit(b).alias("_dm"), F.lit(j).alias("j"), qn[j].alias("xj")))
+            for a, b, j in via if j is not None] or [F.lit(None).cast("struct<_dm:int,j:int,xj:double>")]
     # donors exploded once per present coordinate: (j, value on j)
     Dj = D.select("*", F.explode(F.array(*[F.when(dn[j].isNotNull(), F.struct(F.lit(j).alias("j"), dn[j].alias("xj")))
                                           for j in range(n)])).alias("_e")).filter(F.col("_e").isNotNull()) \
         .select("*", "_e.j", "_e.xj").drop("_e")
     pending = Q
     results = []
-    for rnd in range(max_rounds):
-        last = eps >= full * 2 or rnd == max_rounds - 1
+    while True:
+        last = eps >= full * 2
         band = F.floor(F.col("xj") / F.lit(eps)).cast("long")
         dj = Dj.withColumn("_band", band)
-        qj = pending.select("*", F.explode(F.array(*[F.when(qn[j].isNotNull(), F.struct(F.lit(j).alias("j"), qn[j].alias("xj")))
-                                                    for j in range(n)])).alias("_e")).filter(F.col("_e").isNotNull()) \
-            .select("*", "_e.j", "_e.xj").drop("_e")
+        qj = pending.select("*", F.explode(F.array(*plan)).alias("_e")).filter(F.col("_e").isNotNull()) \
+            .select("*", "_e._dm", "_e.j", "_e.xj").drop("_e")
         qj = qj.withColumn("_b0", F.floor(F.col("xj") / F.lit(eps)).cast("long")) \
             .select("*", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1)).alias("_band"))
-        pairs = qj.join(dj.drop("xj"), ["j", "_band"])
+        pairs = qj.join(dj.drop("xj"), ["_dm", "j", "_band"])
         shared = [qn[j].isNotNull() & dn[j].isNotNull() for j in range(n)]
-        first = _first_shared([qn[j].isNotNull() for j in range(n)], [dn[j].isNotNull() for j in range(n)], n)
-        pairs = pairs.filter(F.col("j") == first)
         if exclude_self:
             pairs = pairs.filter(F.col("_qid") != F.col("_did"))
         m = reduce(lambda a, b: a + b, [s.cast("int") for s in shared])

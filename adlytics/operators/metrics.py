@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlytics.functions.exprs import col, r6
-from adlytics.operators.common import broadcast_if_small
 from adlytics.operators.prefix import prefix_sums
 
 EPS_F1 = 1e-9
@@ -248,7 +247,7 @@ def default_vs_optimised(scores: DataFrame, by: list[str], tune_split: str = "va
     ev = tune if eval_split is None else scores.filter(col(split_col) == eval_split)
     best = grid_threshold_search(tune, by, metric, lo, hi).select(*by, F.col("threshold").alias("optimal_threshold"))
     d = metrics_at_threshold(ev, default, by).select(*by, F.col("f1").alias("default_f1"))
-    o = metrics_at_threshold(ev.join(broadcast_if_small(best), by), "optimal_threshold", by).select(
+    o = metrics_at_threshold(ev.join(best, by), "optimal_threshold", by).select(
         *by, F.col("f1").alias("optimized_f1"))
     j = best.join(d, by).join(o, by)
     imp = F.col("optimized_f1") - F.col("default_f1")

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlytics.functions.exprs import HASH_MOD, HASH_MULT, col, portable_hash, r6
+from adlytics.functions.exprs import HASH_MOD, col, portable_hash, r6
 
-CELL_STRIDE = 1000003
+CELL_STRIDE = 7919
 
 
 def class_rank(df: DataFrame, id_col: str, target: str, seed: int = 42, buckets: int = 1024) -> DataFrame:
@@ -90,12 +90,9 @@ def class_weights(df: DataFrame, target: str = "y", weight_col: str = "weight")
 def cell_mask(df: DataFrame, id_col: str, cols: list[str], rate: float = 0.2, seed: int = 42,
               suffix: str = "_masked") -> DataFrame:
     """Boolean ``{c}_masked`` per cell: hash(key, column position, seed) below ``rate``."""
-    h1 = portable_hash(id_col, seed)
     out = []
     for j, c in enumerate(cols):
-        # one more generator step after a per-column offset: a large pseudo-random rotation per
-        # column, so the masks of different columns are not aligned
-        h = F.pmod((h1 + F.lit(j * CELL_STRIDE)) * F.lit(HASH_MULT), F.lit(HASH_MOD))
+        h = portable_hash(id_col, seed + CELL_STRIDE * (j + 1))      # a seed of its own per column
         out.append((h < F.lit(int(rate * HASH_MOD))).alias(f"{c}{suffix}"))
     return df.select("*", *out)
 

@@ -337,21 +337,27 @@ def borderline_smote(df: DataFrame, features: list[str], id_col: str, label: str
     n_danger = danger.count()
     if n_danger == 0:
         return df
-    per = -(-need // n_danger)
+    from adlytics.operators.sampling import class_rank
     src = mins.join(danger, id_col, "left_semi")
+    # every danger row makes need / n_danger copies, floored; the first rows in hash order one more
+    order = class_rank(src.select(id_col).withColumn("_all", F.lit(0)), id_col, "_all", seed).select(col(id_col), "_rank")
+    per, more = need // n_danger, need % n_danger
     nn = nearest(src, mins, features, k, id_col, id_col, exclude_self=True)
     donor_id = f"{id_col}_donor"
-    # each danger row makes ``per`` copies; copy c goes toward neighbour (c mod k) + 1
-    copies = src.select(col(id_col), F.explode(F.sequence(F.lit(0), F.lit(per - 1))).alias("copy"))
-    copies = copies.withColumn("rank", F.pmod(F.col("copy"), F.lit(k)) + 1)
+    # copy c goes toward neighbour (c mod the number of neighbours) + 1
+    found = nn.groupBy(id_col).agg(F.max("rank").alias("_found"))
+    number = F.lit(per) + (F.col("_rank") <= more).cast("int")
+    copies = order.join(found, id_col).filter(number > 0).select(
+        col(id_col), "_rank", "_found", F.explode(F.sequence(F.lit(0), number - 1)).alias("copy"))
+    copies = copies.withColumn("rank", F.pmod(F.col("copy"), F.col("_found")) + 1)
     pairs = copies.join(nn.select(id_col, donor_id, "rank"), [id_col, "rank"])
     a = mins.select(col(id_col), *[col(f).alias(f"a_{f}") for f in features])
     b = mins.select(col(id_col).alias(donor_id), *[col(f).alias(f"b_{f}") for f in features])
-    u = portable_unit(F.col(id_col) * 1000 + F.col("copy"), seed)
+    serial = (F.col("_rank").cast("long") - 1) * (per + 1) + F.col("copy")       # unique per copy
+    u = portable_unit(serial, seed)
     syn = pairs.join(a, id_col).join(b, donor_id).select(
-        (-(F.col(id_col) * 1000 + F.col("copy")) - 1).alias(id_col), F.lit(minority).alias(label),
+        (-serial - 1).alias(id_col), F.lit(minority).alias(label),
         *[(F.col(f"a_{f}") + u * (F.col(f"b_{f}") - F.col(f"a_{f}"))).alias(f) for f in features])
-    syn = syn.orderBy(id_col).limit(need)
     keep = [id_col, label, *features]
     return df.select(*keep).unionByName(syn.select(*[col(c).cast(dict(df.dtypes)[c]) for c in keep]))
 

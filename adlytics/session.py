@@ -44,13 +44,15 @@ def get_spark(app: str = "adlytics", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to shared storage; we only create our own when it is unset (tests,
-    local runs), and then in a fresh folder of our own.
+    A cluster must set it to shared storage. Where it is unset we create a fresh folder of our
+    own, in local mode only; elsewhere executors would write to disks that others cannot read.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="adlytics-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adlytics.operators.clean import clean_column_names, clean_string_values, dedupe_columns, promote_suffixed
-from adlytics.operators.common import broadcast_if_small
 from adlytics.session import cut_lineage
 
 
@@ -152,7 +151,7 @@ def comparison_from_files(spark: SparkSession, paths: list[str], details: DataFr
     name (default when absent), test metric preferred over val, sorted desc (S13, J2)."""
     df = spark.read.json(paths).withColumn("file", F.col("_metadata.file_name"))
     if details is not None:
-        df = df.join(broadcast_if_small(details), "file", "left").withColumn(
+        df = df.join(details, "file", "left").withColumn(
             "label", F.coalesce(F.col("label"), F.col("file")))
     cols = set(df.columns)
     score = F.coalesce(*[F.col(c) for c in (f"test_{metric}", f"val_{metric}", metric) if c in cols])

@@ -2,7 +2,8 @@
 
 Rows arriving as files are read with ``readStream``; each micro-batch is a static DataFrame on
 which ``foreachBatch`` runs the frozen preparation (including the kNN donor join, which needs
-the training donors) and the ensemble, appending to a Parquet sink. The query is stateless:
+the training donors) and the ensemble. A batch is written to ``batch_id=<epoch>`` of the sink and
+overwrites what an earlier attempt left, so a retried batch counts once. The query is stateless:
 no watermark or state store is needed; the checkpoint folder makes it restartable.
 """
 
@@ -22,7 +23,7 @@ def score_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source)
 
     def batch(df, epoch_id):
-        predict(df, prep, models, id_col, threshold).write.mode("append").parquet(sink)
+        predict(df, prep, models, id_col, threshold).write.mode("overwrite").parquet(f"{sink}/batch_id={epoch_id}")
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
