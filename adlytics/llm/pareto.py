@@ -30,7 +30,7 @@ from adlytics.llm.common import WORD, saved, sized_broadcast
 WEIGHTS = [5, 2, 1]
 SHARE = 1.5
 MAX_COPIES = 2
-SLICES = 65536
+SLICES = 4096
 MAX_BROADCAST_SOURCES = 50_000     # beyond, sources are joined by shuffle
 
 
