@@ -21,7 +21,7 @@ from adlytics.llm.common import held_out
 from adlytics.llm.textvec import WordHasher, blocks, buffers, plain_strings, word_spans
 
 BITS = 18
-POSITIVES, NEGATIVES = 3000, 5000
+POSITIVES, NEGATIVES = 2000, 3000
 STEPS, RATE, RIDGE = 120, 0.1, 2e-5
 START = -7.0             # bias of a sentence before training
 _U = np.uint64
@@ -99,7 +99,10 @@ class Mil:
 
     def fit(self, feature, sentence, text, y, cost, steps=STEPS, rate=RATE, ridge=RIDGE):
         """Adam over the features that occur; ``text`` maps sentences to bags, ``cost`` weighs bags."""
-        used, code = np.unique(feature, return_inverse=True)
+        used = np.unique(feature)
+        place = np.zeros(1 << BITS, np.int32)
+        place[used] = np.arange(len(used), dtype=np.int32)
+        code = place[feature]
         n_sent, n = len(text), len(y)
         w = np.zeros(len(used) + 1)
         w[-1] = self.bias
@@ -154,14 +157,14 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> Mil:
                                                  names=["doc_id", "y", "feature", "sentence", "n"])
 
     got = rows.select("doc_id", "y", "text").mapInArrow(
-        run, "doc_id long, y int, feature array<int>, sentence array<int>, n int").toArrow().sort_by("doc_id").combine_chunks()
+        run, "doc_id long, y int, feature array<int>, sentence array<int>, n int").orderBy("doc_id").toArrow().combine_chunks()
     y = got["y"].to_numpy()
     if len(set(y.tolist())) < 2:
         return Mil(bias=-50.0)
     n = got["n"].to_numpy().astype(np.int64)
     sizes = np.array(got["feature"].combine_chunks().value_lengths())
-    feature = got["feature"].combine_chunks().flatten().to_numpy().astype(np.int64)
-    sentence = got["sentence"].combine_chunks().flatten().to_numpy() + np.repeat(np.cumsum(n) - n, sizes)
+    feature = got["feature"].combine_chunks().flatten().to_numpy()
+    sentence = got["sentence"].combine_chunks().flatten().to_numpy() + np.repeat((np.cumsum(n) - n).astype(np.int32), sizes)
     cost = np.where(y == 1, counts[1] / max((y == 1).sum(), 1), counts[0] / max((y == 0).sum(), 1))
     return Mil().fit(feature, sentence, np.repeat(np.arange(len(y)), n), y, cost)
 
