@@ -23,6 +23,7 @@ from adlytics.llm.textvec import WordHasher, blocks, buffers, plain_strings, wor
 BITS = 18
 POSITIVES, NEGATIVES = 2000, 3000
 STEPS, RATE, RIDGE = 120, 0.1, 2e-5
+PIECE = 1 << 20          # feature occurrences summed at a time
 START = -7.0             # bias of a sentence before training
 _U = np.uint64
 
@@ -108,14 +109,23 @@ class Mil:
         w[-1] = self.bias
         m, v = np.zeros_like(w), np.zeros_like(w)
         cost = cost / cost.sum()
+        pieces = range(0, len(code), PIECE)
+
+        def summed(values, at, to, size):
+            """Sums of values[at] by ``to``, a piece at a time."""
+            out = np.zeros(size)
+            for i in pieces:
+                out += np.bincount(to[i:i + PIECE], weights=values[at[i:i + PIECE]], minlength=size)
+            return out
+
         for step in range(1, steps + 1):
-            z = w[-1] + np.bincount(sentence, weights=w[code], minlength=n_sent)
+            z = w[-1] + summed(w, code, sentence, n_sent)
             p = 1 / (1 + np.exp(-z))
             bag, _ = noisy_or(z, text, n)
             bag = np.clip(bag, 1e-9, 1)
             pull = np.where(y == 1, -(1 - bag) / bag, 1.0) * cost
             gz = p * pull[text]
-            grad = np.append(np.bincount(code, weights=gz[sentence], minlength=len(used)) + ridge * w[:-1], gz.sum())
+            grad = np.append(summed(gz, sentence, code, len(used)) + ridge * w[:-1], gz.sum())
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
             w -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         self.weights = np.zeros(1 << BITS)
@@ -165,6 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> Mil:
     sizes = np.array(got["feature"].combine_chunks().value_lengths())
     feature = got["feature"].combine_chunks().flatten().to_numpy()
     sentence = got["sentence"].combine_chunks().flatten().to_numpy() + np.repeat((np.cumsum(n) - n).astype(np.int32), sizes)
+    del got
     cost = np.where(y == 1, counts[1] / max((y == 1).sum(), 1), counts[0] / max((y == 0).sum(), 1))
     return Mil().fit(feature, sentence, np.repeat(np.arange(len(y)), n), y, cost)
 
