@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from adlytics.llm.bpe import BLOCK, Bpe, read_ranks
-from adlytics.llm.common import per_worker
+from adlytics.llm.common import per_worker, saved
 from adlytics.llm.textvec import blocks, plain_strings
 
 STRIPE = 256
@@ -88,4 +88,5 @@ def context_limits(docs: DataFrame, path: str, pattern: str, group: str = "sourc
 
     An empty table gives no rows; empty texts count at length 0.
     """
-    return limit_table(length_histogram(encoded_lengths(docs, path, pattern, group)))
+    # stripes and rows both read the histogram: written once, so texts are encoded once
+    return limit_table(saved(length_histogram(encoded_lengths(docs, path, pattern, group))))
