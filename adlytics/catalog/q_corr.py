@@ -109,18 +109,27 @@ def c07(spark, sf_dir):
     return C.stratified_column_sample(T.doc_wide(spark, sf_dir), BIN, per_bucket=5)
 
 
-@register("c08_correlated_groups")
+def _groups_sql(cols):
+    """CTEs m (g, member, no): groups of the columns over T_RED, from a pair table p."""
+    return f"""pos AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(cols))}) AS x("column", pos)),
+e AS (SELECT greatest(a.pos, b.pos) AS g, var1, var2 FROM p JOIN pos a ON a."column" = var1 JOIN pos b ON b."column" = var2
+  WHERE abs(r) > {T_RED}),
+u AS (SELECT g, var1 AS member FROM e UNION SELECT g, var2 FROM e),
+m AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY member) AS no FROM u)"""
+
+
+@register("c08_correlated_groups", f"""WITH p AS ({_RED_PAIRS}), {_groups_sql(RED)}
+SELECT CAST(row_number() OVER (ORDER BY g) - 1 AS INTEGER) AS group_id, min(member) AS head,
+  string_agg(member, ',' ORDER BY member) AS members, CAST(count(*) AS INTEGER) AS size FROM m GROUP BY g""")
 def c08(spark, sf_dir):
-    dw = T.doc_wide(spark, sf_dir)
-    pairs = C.corr_pairs(dw, RED)
-    return C.groups_table(C.correlated_groups(pairs, RED, T_RED), spark)
+    return C.groups_table(C.correlated_groups(C.corr_pairs(T.doc_wide(spark, sf_dir), RED), RED, T_RED))
 
 
-@register("c09_groups_with_protection")
+@register("c09_groups_with_protection", f"""WITH p AS ({_RED_PAIRS}), {_groups_sql([c for c in RED if c != 'X4'])}
+SELECT CAST(g AS INTEGER) AS group_pos, member AS "column" FROM m WHERE no > 1""")
 def c09(spark, sf_dir):
-    dw = T.doc_wide(spark, sf_dir)
-    res = C.groups_and_drops(C.corr_pairs(dw, RED), RED, T_RED, exclude=["y"], protected=["X4"])
-    return spark.createDataFrame([(c,) for c in res["to_drop"]], "column string")
+    pairs = C.corr_pairs(T.doc_wide(spark, sf_dir), RED)
+    return C.group_drops(pairs, RED, T_RED, exclude=["y"], protected=["X4"])
 
 
 _DROP_SQL = f"""WITH p AS ({_RED_PAIRS}), h AS (SELECT * FROM p WHERE abs(r) > {T_RED})
@@ -133,17 +142,19 @@ def c10(spark, sf_dir):
     return C.pairwise_drops(C.corr_pairs(T.doc_wide(spark, sf_dir), RED), T_RED, protected=["X4"])
 
 
-@register("c11_keep_one_per_group")
+_ALL = ["doc_id", "y"] + CONT + ["X4"] + BIN
+_LISTED = [("priority", ["doc_id"], 0), ("target", ["y"], 1), ("extra", CONT, 2), ("protected", ["X4"], 5)]
+
+
+@register("c11_keep_one_per_group", f"""WITH p AS ({_RED_PAIRS}), {_groups_sql(BIN)},
+o AS (SELECT section, rk, place, "column" FROM (VALUES {', '.join(f"('{n}', {k}, {i}, '{c}')" for n, cs, k in _LISTED for i, c in enumerate(cs))}) AS x(section, rk, place, "column")
+  UNION ALL SELECT DISTINCT 'kept', 3, 0, member FROM m WHERE no = 1
+  UNION ALL SELECT 'ungrouped', 4, pos, "column" FROM pos WHERE "column" NOT IN (SELECT member FROM m))
+SELECT CAST(row_number() OVER (ORDER BY rk, place, "column") - 1 AS INTEGER) AS pos, "column", section FROM o""")
 def c11(spark, sf_dir):
     dw = T.doc_wide(spark, sf_dir)
     groups = C.correlated_groups(C.corr_pairs(dw, BIN), BIN, T_RED)
-    res = C.keep_one_per_group(dw.columns, groups, "y", priority=["doc_id"], extra=CONT, protected=["X4"],
-                               binary=BIN)
-    reduced = dw.select(*res["order"])
-    return spark.createDataFrame([(i, c) for i, c in enumerate(reduced.columns)], "pos int, column string")
-
-
-_ALL = ["doc_id", "y"] + CONT + ["X4"] + BIN
+    return C.keep_one_per_group(groups, dw.columns, "y", priority=["doc_id"], extra=CONT, protected=["X4"], binary=BIN)
 
 
 @register("c12_apply_drop_list", f"""WITH d AS ({_DROP_SQL}),

@@ -5,7 +5,7 @@
   covariances; for many binary columns the Gram matrix X'X accumulated by Spark's
   ``ml.stat.Correlation`` (a tree aggregate of d x d partial sums, no pair rows emitted),
   in column blocks so the per-task buffer stays bounded;
-* redundancy decisions (groups, drop lists) run on the pair list, which is metadata-sized.
+* redundancy decisions (groups, drop lists) are joins and windows over the pair table.
 """
 
 from __future__ import annotations
@@ -125,48 +125,40 @@ def stratified_column_sample(df: DataFrame, cols: list[str], per_bucket: int = 1
 
 
 # ----------------------------------------------------------------------------------- C8-C13
-def _abs_pairs(pairs: DataFrame, threshold: float) -> list[tuple[str, str]]:
-    return [(r[0], r[1]) for r in pairs.filter(F.abs("r") > threshold).select("var1", "var2").collect()]
-
-
-def correlated_groups(pairs: DataFrame, columns: list[str], threshold: float) -> list[list[str]]:
-    """Greedy groups over the pair list (C8). Columns are visited in table order; a column not
-    yet visited forms a group with every *earlier* column it exceeds the threshold with; the
-    group is name-sorted and all its members become visited. Groups may overlap."""
-    order = {c: i for i, c in enumerate(columns)}
-    earlier: dict[str, set] = {c: set() for c in columns}
-    for a, b in _abs_pairs(pairs, threshold):
-        if a in order and b in order:
-            lo, hi = (a, b) if order[a] < order[b] else (b, a)
-            earlier[hi].add(lo)
-    groups, visited = [], set()
-    for c in columns:
-        if c in visited or not earlier[c]:
-            continue
-        g = sorted({c} | earlier[c])
-        groups.append(g)
-        visited.update(g)
-    return groups
-
-
-def groups_and_drops(pairs: DataFrame, columns: list[str], threshold: float,
-                     exclude=(), protected=()) -> dict:
-    """Groups over non-excluded, non-protected columns; to_drop = all but the first
-    non-protected member of each group (duplicates kept, in group order)."""
-    skip = set(exclude) | set(protected)
-    cols = [c for c in columns if c not in skip]
-    groups = correlated_groups(pairs, cols, threshold)
-    to_drop = []
-    for g in groups:
-        free = [c for c in g if c not in set(protected)]
-        to_drop.extend(free[1:])
-    return {"groups": groups, "to_drop": [c for c in to_drop if c not in set(protected)],
-            "protected": list(protected)}
-
-
-def groups_table(groups: list[list[str]], spark) -> DataFrame:
-    return spark.createDataFrame([(i, g[0], ",".join(g), len(g)) for i, g in enumerate(groups)],
-                                 "group_id int, head string, members string, size int")
+def _positions(spark, columns) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(columns)), "pos int, column string")
+
+
+def correlated_groups(pairs: DataFrame, columns: list[str], threshold: float) -> DataFrame:
+    """(group_pos, member, member_no): column groups over the pair list.
+
+    Each column that exceeds the threshold with columns before it in table order makes a group
+    with them; ``group_pos`` is its position and ``member_no`` numbers the members by name.
+    Groups may overlap. Pairs with a column that is not listed are ignored."""
+    pos = _positions(pairs.sparkSession, columns)
+    first = pos.select(F.col("column").alias("var1"), F.col("pos").alias("pos1"))
+    second = pos.select(F.col("column").alias("var2"), F.col("pos").alias("pos2"))
+    linked = pairs.filter(F.abs("r") > threshold).select("var1", "var2").join(first, "var1").join(second, "var2")
+    ends = linked.select(F.greatest("pos1", "pos2").alias("group_pos"),
+                         F.explode(F.array("var1", "var2")).alias("member")).distinct()
+    by_name = Window.partitionBy("group_pos").orderBy("member")
+    return ends.withColumn("member_no", F.row_number().over(by_name))
+
+
+def groups_table(groups: DataFrame) -> DataFrame:
+    """(group_id, head, members, size), one row per group, in table order of the groups."""
+    g = groups.groupBy("group_pos").agg(F.min("member").alias("head"), F.count(F.lit(1)).cast("int").alias("size"),
+                                        F.array_join(F.sort_array(F.collect_list("member")), ",").alias("members"))
+    number = F.row_number().over(Window.orderBy("group_pos")) - 1
+    return g.select(number.alias("group_id"), "head", "members", "size")
+
+
+def group_drops(pairs: DataFrame, columns: list[str], threshold: float, exclude=(), protected=()) -> DataFrame:
+    """(group_pos, column): every member but the first of each group over the columns that are
+    neither excluded nor protected; a column is listed once for each such group (C9)."""
+    hidden = {*exclude, *protected}
+    groups = correlated_groups(pairs, [c for c in columns if c not in hidden], threshold)
+    return groups.filter("member_no > 1").select("group_pos", F.col("member").alias("column"))
 
 
 def pairwise_drops(pairs: DataFrame, threshold: float, protected=()) -> DataFrame:
@@ -181,28 +173,35 @@ def pairwise_drops(pairs: DataFrame, threshold: float, protected=()) -> DataFram
         F.col("column").isNotNull()).distinct()
 
 
-def keep_one_per_group(columns: list[str], groups: list[list[str]], target: str | None,
-                       priority=(), extra=(), protected=(), binary: list[str] | None = None) -> dict:
-    """C11: keep the first non-protected member of each group, drop the rest; final order =
-    priority, target, extra, kept, untouched binaries, remaining protected."""
-    to_keep, to_drop = [], []
-    for g in groups:
-        free = [c for c in g if c not in set(protected) and c in columns]
-        if free:
-            to_keep.append(free[0])
-            to_drop.extend(free[1:])
-        for p in g:
-            if p in set(protected) and p not in to_keep:
-                to_keep.append(p)
-    to_drop, to_keep = sorted(set(to_drop)), sorted(set(to_keep))
-    binary = binary if binary is not None else [c for c in columns if c != target]
-    untouched = [c for c in binary if c not in to_drop + to_keep]
-    seen: list[str] = []
-    for part in ([c for c in priority if c in columns], [target] if target in columns else [],
-                 [c for c in extra if c in columns], to_keep, untouched,
-                 [c for c in protected if c in columns]):
-        seen += [c for c in part if c not in seen]
-    return {"to_keep": to_keep, "to_drop": to_drop, "order": [c for c in seen if c in columns]}
+# The sections of a reduced table, in their order.
+SECTIONS = ("priority", "target", "extra", "kept", "ungrouped", "protected")
+
+
+def keep_one_per_group(groups: DataFrame, columns: list[str], target: str | None, priority=(), extra=(),
+                       protected=(), binary: list[str] | None = None) -> DataFrame:
+    """(pos, column, section) of the table reduced to one column per group (C11).
+
+    Within a group the first member by name that is not protected stays, as do all protected
+    ones; a column that stays for one group stays. A column stands in the first section that
+    lists it: priority, target, extra, kept (by name), binary columns of no group, protected."""
+    spark = groups.sparkSession
+    table = _positions(spark, columns).select("column")
+    shield = F.col("member").isin(*protected) if protected else F.lit(False)
+    rank = F.row_number().over(Window.partitionBy("group_pos", "shield").orderBy("member"))
+    fate = groups.join(table, groups["member"] == table["column"]).withColumn("shield", shield) \
+        .withColumn("stays", F.col("shield") | (rank == 1)).groupBy("column").agg(F.max("stays").alias("stays"))
+    listed = {"priority": priority, "target": [target] if target else [], "extra": extra, "protected": protected,
+              "ungrouped": binary if binary is not None else [c for c in columns if c != target]}
+    named = spark.createDataFrame([(SECTIONS.index(k), i, c) for k, cs in listed.items() for i, c in enumerate(cs)],
+                                  "section int, place int, column string").join(table, "column", "left_semi")
+    ungrouped, kept = SECTIONS.index("ungrouped"), SECTIONS.index("kept")
+    named = named.filter(F.col("section") != ungrouped).unionByName(
+        named.filter(F.col("section") == ungrouped).join(fate, "column", "left_anti"))
+    stays = fate.filter("stays").select("column", F.lit(kept).alias("section"), F.lit(0).alias("place"))
+    best = named.unionByName(stays).groupBy("column").agg(F.min(F.struct("section", "place")).alias("at"))
+    order = Window.orderBy("at.section", "at.place", "column")
+    return best.select((F.row_number().over(order) - 1).alias("pos"), "column",
+                       F.element_at(F.array(*map(F.lit, SECTIONS)), F.col("at.section") + 1).alias("section"))
 
 
 def apply_drop_list(df: DataFrame, to_drop: list[str], protected=()) -> DataFrame:

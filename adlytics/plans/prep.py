@@ -16,7 +16,7 @@ import os
 import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adlytics.functions.exprs import col
@@ -150,9 +150,9 @@ def fit_prep(df: DataFrame, id_col: str, target: str | None, continuous: list[st
             out = O.cap(out, {c: tuple(b) for c, b in prep.bounds.items()})
         elif step == "reduce" and corr_threshold is not None and corr_threshold < 1.0 and binary:
             pairs = C.corr_pairs(out, [b for b in binary if b in out.columns])
-            res = C.groups_and_drops(pairs, [b for b in binary if b in out.columns], corr_threshold,
-                                     protected=[protected] if protected else [])
-            prep.drop = sorted(set(res["to_drop"]))
+            drops = C.group_drops(pairs, [b for b in binary if b in out.columns], corr_threshold,
+                                  protected=[protected] if protected else [])
+            prep.drop = sorted(r["column"] for r in drops.select("column").distinct().collect())
             out = C.apply_drop_list(out, prep.drop, [protected] if protected else [])
         elif step == "poly" and poly:
             prep.poly = [f"{c}{prep.suffix}" if prep.power else c for c in continuous]
@@ -202,8 +202,7 @@ def smoke_report(df: DataFrame, id_col: str, target: str, continuous: list[str],
     spark = df.sparkSession
     rep = spark.createDataFrame(rows, "impute string, corr_threshold double, cap boolean, passed boolean, "
                                       "n_rows long, n_cols int, error string")
-    return rep.withColumn("share_passed", F.avg(F.col("passed").cast("double")).over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy()))
+    return rep.withColumn("share_passed", F.avg(F.col("passed").cast("double")).over(Window.partitionBy()))
 
 
 def write_variants(variants: dict[str, DataFrame], root: str) -> str:

@@ -148,11 +148,17 @@ def test_gram_pairs_match_numpy(spark):
 def test_greedy_groups_chain(spark):
     pairs = spark.createDataFrame([("A", "B", 0.99), ("B", "C", 0.99), ("A", "C", 0.1)], C.PAIR_SCHEMA)
     groups = C.correlated_groups(pairs, ["A", "B", "C"], 0.9)
-    assert groups == [["A", "B"], ["B", "C"]]
-    res = C.groups_and_drops(pairs, ["A", "B", "C"], 0.9)
-    assert res["to_drop"] == ["B", "C"]
-    keep = C.keep_one_per_group(["A", "B", "C"], groups, None, binary=["A", "B", "C"])
-    assert keep["to_keep"] == ["A", "B"] and keep["to_drop"] == ["B", "C"]
+    assert [r["members"] for r in C.groups_table(groups).orderBy("group_id").collect()] == ["A,B", "B,C"]
+    drops = C.group_drops(pairs, ["A", "B", "C"], 0.9).orderBy("group_pos").collect()
+    assert [r["column"] for r in drops] == ["B", "C"]
+    keep = C.keep_one_per_group(groups, ["y", "C", "B", "A", "D", "q"], "y", extra=["q"], binary=["A", "B", "C", "D"])
+    assert [(r["column"], r["section"]) for r in keep.orderBy("pos").collect()] == [
+        ("y", "target"), ("q", "extra"), ("A", "kept"), ("B", "kept"), ("D", "ungrouped")]
+    shielded = C.keep_one_per_group(groups, ["A", "B", "C", "D"], None, protected=["A", "D"])
+    assert [(r["column"], r["section"]) for r in shielded.orderBy("pos").collect()] == [
+        ("A", "kept"), ("B", "kept"), ("D", "ungrouped")]
+    none = C.correlated_groups(pairs.limit(0), ["A", "B"], 0.9)
+    assert none.count() == 0 and C.keep_one_per_group(none, ["A", "B"], None).count() == 2
 
 
 def test_pairwise_drop_protects(spark):
