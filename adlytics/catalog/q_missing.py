@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from adlytics.catalog import tables as T
 from adlytics.catalog.registry import register
-from adlytics.catalog.sqlgen import melt_sql, r6
+from adlytics.catalog.sqlgen import melt_sql, r6, significant
 from adlytics.functions.exprs import HASH_MOD, portable_hash_sql, portable_unit
 from adlytics.operators import missing as M
 from adlytics.operators import outliers as O
@@ -152,8 +152,8 @@ v AS (SELECT 'raw' AS variant, * FROM ln UNION ALL SELECT 'median', * FROM med
 
 
 @register("m10_compare_variants", f"""WITH {_VARIANTS_SQL},
-s AS (SELECT variant, "column", count(*) AS n_rows, count_if(value IS NULL) AS n_null, {r6('avg(value)')} AS mean,
-  {r6('stddev_samp(value)')} AS std, {r6('min(value)')} AS min, {r6('max(value)')} AS max
+s AS (SELECT variant, "column", count(*) AS n_rows, count_if(value IS NULL) AS n_null, {significant('avg(value)')} AS mean,
+  {significant('stddev_samp(value)')} AS std, {r6('min(value)')} AS min, {r6('max(value)')} AS max
   FROM {melt_sql('v', LNF, ['variant'])} GROUP BY 1, 2),
 c AS (SELECT variant, count_if(y = 0) AS n0, count_if(y = 1) AS n1 FROM v GROUP BY 1)
 SELECT s.*, n0, n1, {r6('CAST(n0 AS DOUBLE) / n1')} AS imbalance FROM s JOIN c USING (variant)""")

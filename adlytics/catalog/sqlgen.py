@@ -19,5 +19,9 @@ def r6(expr: str) -> str:
     return f"(round(CAST({expr} AS DOUBLE), 6) + 0.0)"
 
 
+def significant(expr: str) -> str:
+    return f"(CAST(printf('%.7e', CAST({expr} AS DOUBLE)) AS DOUBLE) + 0.0)"
+
+
 def lit_list(xs) -> str:
     return ", ".join(f"'{x}'" for x in xs)

@@ -28,6 +28,12 @@ def r6(c) -> Column:
     return F.round(col(c).cast("double"), 6) + F.lit(0.0)
 
 
+def significant(c) -> Column:
+    """Round to eight significant digits, whatever the magnitude; NULL stays NULL."""
+    x = col(c).cast("double")
+    return F.when(x.isNotNull(), F.format_string("%.7e", x).cast("double") + F.lit(0.0))
+
+
 def portable_hash(key, seed: int = 42) -> Column:
     """Deterministic pseudo-random integer in [0, 2^31-1) from an integer key.
 

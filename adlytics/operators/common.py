@@ -34,6 +34,32 @@ def melt(df: DataFrame, cols: list[str], keep: list[str] | None = None,
         casted.unpivot([], [col(c) for c in cols], name, value)
 
 
+def row_sum(values: list):
+    """Sum of many columns of a row, from left to right, whatever their number (a chain of
+    additions over a wide table would be an expression as deep as the table is wide)."""
+    zero = F.lit(0.0)
+    return F.aggregate(F.array(*[v.cast("double") for v in values]), zero, lambda a, x: a + x) if values else zero
+
+
+def null_flags(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
+    """(keep..., column, missing 0/1) of any types, one row per cell. Cells are told apart by
+    position until the caller's grouping; names come from ``name_columns``."""
+    flags = F.array(*[col(c).isNull().cast("int") for c in cols])
+    return df.select(*[col(k) for k in keep or []], F.posexplode(flags).alias("column", "missing"))
+
+
+def name_columns(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The positions in ``column`` replaced by names."""
+    return df.withColumn("column", F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("column") + 1))
+
+
+def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, n_rows, n_missing) by one scan, for any number of columns; no row for an empty table."""
+    g = null_flags(df, cols).groupBy("column").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                   F.sum("missing").alias("n_missing"))
+    return name_columns(g, cols)
+
+
 def one_row(df: DataFrame) -> dict:
     """Collect a one-row aggregate (metadata-sized) as a dict."""
     r = df.collect()

@@ -12,8 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlytics.functions.exprs import col, r6
-from adlytics.operators.common import melt, numeric_columns
+from adlytics.functions.exprs import col, r6, significant
+from adlytics.operators.common import melt, null_counts, numeric_columns
 
 
 # ----------------------------------------------------------------------------------- M1
@@ -53,16 +53,14 @@ def median_fill_int(df: DataFrame, column: str, median: float | None = None) ->
 
 # ----------------------------------------------------------------------------------- M9
 def null_rates(df: DataFrame, cols: list[str]) -> dict:
-    r = df.agg(*[F.avg(col(c).isNull().cast("double")).alias(f"r{i}") for i, c in enumerate(cols)]).first()
-    return {c: r[i] for i, c in enumerate(cols)}
+    rates = {r["column"]: r["n_missing"] / r["n_rows"] for r in null_counts(df, cols).collect()}
+    return {c: rates.get(c, 0.0) for c in cols}
 
 
 def route_by_null_rate(df: DataFrame, cols: list[str], drop_above: float = 0.30,
                        knn_above: float = 0.05) -> DataFrame:
     """(column, null_rate, action): > 30 % drop, > 5 % knn, else median (M9)."""
-    rates = df.agg(*[F.avg(col(c).isNull().cast("double")).alias(f"r{i}") for i, c in enumerate(cols)])
-    long = rates.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("rate"))
-                                            for i, c in enumerate(cols)])).alias("m")).select("m.*")
+    long = null_counts(df, cols).select("column", (F.col("n_missing") / F.col("n_rows")).alias("rate"))
     act = F.when(F.col("rate") > drop_above, "drop").when(F.col("rate") > knn_above, "knn").otherwise("median")
     return long.select("column", r6("rate").alias("null_rate"), act.alias("action"))
 
@@ -85,11 +83,13 @@ def conditional_impute(df: DataFrame, cols: list[str], drop_above: float = 0.30,
 # ----------------------------------------------------------------------------------- M10-M15
 def compare_variants(variants: DataFrame, cols: list[str], target: str = "y",
                      variant_col: str = "variant") -> DataFrame:
-    """Per variant and column: rows, nulls, mean, std, min, max; with class counts and imbalance."""
+    """Per variant and column: rows, nulls, mean, std, min, max; with class counts and imbalance.
+
+    Mean and deviation have eight significant digits, which no summation order changes."""
     v = F.col("value")
     stats = melt(variants, cols, keep=[variant_col]).groupBy(variant_col, "column").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(v.isNull()).alias("n_null"),
-        r6(F.avg(v)).alias("mean"), r6(F.stddev_samp(v)).alias("std"),
+        significant(F.avg(v)).alias("mean"), significant(F.stddev_samp(v)).alias("std"),
         r6(F.min(v)).alias("min"), r6(F.max(v)).alias("max"))
     cls = variants.groupBy(variant_col).agg(F.count_if(col(target) == 0).alias("n0"),
                                             F.count_if(col(target) == 1).alias("n1"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlytics.functions.exprs import col, r6, safe_corr, skew_adjusted
-from adlytics.operators.common import melt, numeric_columns, one_row
+from adlytics.operators.common import melt, name_columns, null_counts, null_flags, numeric_columns, one_row, row_sum
 
 KIND_ORDER = ("continuous", "binary", "integer", "categorical")
 
@@ -127,9 +127,8 @@ def compare_schemas(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def total_nulls(df: DataFrame) -> DataFrame:
     """One row: rows and total NULL cells, in one scan."""
-    exprs = [F.count_if(col(c).isNull()) for c in df.columns]
-    tot = reduce(lambda x, y: x + y, exprs) if exprs else F.lit(0)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), tot.cast("long").alias("n_nulls"))
+    nulls = F.sum(row_sum([col(c).isNull().cast("int") for c in df.columns]))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(nulls, F.lit(0.0)).cast("long").alias("n_nulls"))
 
 
 def compare_frames(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -159,36 +158,26 @@ def summarize_dataset(df: DataFrame) -> DataFrame:
     """One row: shape, dtype counts, nulls, mean of column means and stds, mean distinct of text."""
     num = numeric_columns(df)
     txt = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
-    n_cells = F.lit(df.columns.__len__()) * F.count(F.lit(1))
-    nulls = reduce(lambda x, y: x + y, [F.count_if(col(c).isNull()) for c in df.columns])
-    aggs = [F.count(F.lit(1)).alias("n_rows"), nulls.cast("long").alias("n_nulls"),
-            F.try_divide(nulls * 100.0, n_cells).alias("null_pct")]
-    aggs += [F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(num)]
-    aggs += [F.stddev_samp(col(c)).alias(f"s{i}") for i, c in enumerate(num)]
-    aggs += [F.count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(txt)]
-    a = df.agg(*aggs)
-
-    def mean_of(prefix, k):
-        if k == 0:
-            return F.lit(None).cast("double")
-        terms = [F.col(f"{prefix}{i}") for i in range(k)]
-        s = reduce(lambda x, y: x + F.coalesce(y, F.lit(0.0)), terms[1:], F.coalesce(terms[0], F.lit(0.0)))
-        c = reduce(lambda x, y: x + y, [F.col(f"{prefix}{i}").isNotNull().cast("int") for i in range(k)])
-        return F.try_divide(s, c)
-
-    return a.select("n_rows", F.lit(len(df.columns)).alias("n_cols"),
-                    F.lit(len(num)).alias("n_numeric"), F.lit(len(txt)).alias("n_text"),
-                    "n_nulls", r6("null_pct").alias("null_pct"),
-                    r6(mean_of("m", len(num))).alias("mean_of_means"),
-                    r6(mean_of("s", len(num))).alias("mean_of_stds"),
-                    r6(mean_of("d", len(txt))).alias("mean_distinct_text"))
+    spark = df.sparkSession
+    n_rows, n_nulls = total_nulls(df).first()
+    cells = n_rows * len(df.columns)
+    mom = melt(df, num).groupBy("column").agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s")) \
+        .agg(F.avg("m"), F.avg("s")).first() if num else (None, None)
+    words = df.select(*[col(c) for c in txt]).unpivot([], [col(c) for c in txt], "column", "value") \
+        .groupBy("column").agg(F.count_distinct("value").alias("d")).agg(F.avg("d")).first() if txt else (None,)
+    # one row of totals, already aggregated
+    one = spark.createDataFrame([(n_rows, n_nulls, 100.0 * n_nulls / cells if cells else None, *mom, words[0] if n_rows or not txt else 0.0)],
+                                "n_rows long, n_nulls long, null_pct double, m double, s double, d double")
+    return one.select("n_rows", F.lit(len(df.columns)).alias("n_cols"),
+                      F.lit(len(num)).alias("n_numeric"), F.lit(len(txt)).alias("n_text"),
+                      "n_nulls", r6("null_pct").alias("null_pct"), r6("m").alias("mean_of_means"),
+                      r6("s").alias("mean_of_stds"), r6("d").alias("mean_distinct_text"))
 
 
 def summary_statistics(df: DataFrame, target: str = "y") -> DataFrame:
     """One row: rows, cols, class shares, numeric count, mean per-column null rate %."""
     y = col(target)
-    rates = [F.avg(col(c).isNull().cast("double")) for c in df.columns]
-    mean_rate = reduce(lambda x, z: x + z, rates) / len(df.columns)
+    mean_rate = F.avg(row_sum([col(c).isNull().cast("int") for c in df.columns]) / len(df.columns))
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
                   r6(F.avg((y == 0).cast("double"))).alias("share0"),
                   r6(F.avg((y == 1).cast("double"))).alias("share1"),
@@ -292,12 +281,7 @@ def missing_by_column(df: DataFrame, cols: list[str] | None = None) -> DataFrame
 
     Bands: critical > 50 %, high 30-50 %, medium 10-30 %, low <= 10 %."""
     cols = cols or df.columns
-    n = F.count(F.lit(1))
-    nulls = [F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
-    a = df.agg(n.alias("n_rows"), *nulls)
-    long = a.select("n_rows", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n_missing")) for i, c in enumerate(cols)]))
-        .alias("m")).select("n_rows", "m.*")
+    long = null_counts(df, cols)
     pct = F.col("n_missing") * 100.0 / F.col("n_rows")
     band = (F.when(pct > 50, "critical").when(pct > 30, "high").when(pct > 10, "medium").otherwise("low"))
     return long.filter(F.col("n_missing") > 0).select(
@@ -322,9 +306,8 @@ def missing_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def missing_vs_target(df: DataFrame, cols: list[str], target: str = "y", mar_threshold: float = 0.1) -> DataFrame:
     """(column, r_missing_target, mar): corr(is-null indicator, target), MAR flag |r| > t."""
-    a = df.agg(*[safe_corr(col(c).isNull().cast("double"), col(target)).alias(f"r{i}") for i, c in enumerate(cols)])
-    long = a.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("r"))
-                                        for i, c in enumerate(cols)])).alias("m")).select("m.*")
+    long = null_flags(df, cols, [target]).groupBy("column").agg(safe_corr("missing", target).alias("r"))
+    long = name_columns(long, cols)
     return long.select("column", r6("r").alias("r_missing_target"),
                        F.coalesce(F.abs("r") > mar_threshold, F.lit(False)).alias("mar"))
 
@@ -386,8 +369,8 @@ def presence_rate_summary(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def sparsity(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row: ones, cells, sparsity % = 100 (1 - ones/cells) over binary columns."""
-    ones = reduce(lambda x, y: x + y, [F.count_if(col(c) == 1) for c in cols])
-    a = df.agg(ones.cast("long").alias("n_ones"), F.count(F.lit(1)).alias("n_rows"))
+    ones = F.sum(row_sum([F.coalesce((col(c) == 1).cast("int"), F.lit(0)) for c in cols]))
+    a = df.agg(F.coalesce(ones, F.lit(0.0)).cast("long").alias("n_ones"), F.count(F.lit(1)).alias("n_rows"))
     cells = F.col("n_rows") * F.lit(len(cols))
     return a.select("n_ones", cells.cast("long").alias("n_cells"),
                     r6(F.try_divide(F.lit(100.0) * (cells - F.col("n_ones")), cells)).alias("sparsity_pct"))
