@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,28 +31,34 @@ def melt(df: DataFrame, cols: list[str], keep: list[str] | None = None,
     ``groupBy(column)`` aggregates partially before its (tiny) shuffle.
     """
     keep = list(keep or [])
-    casted = df.select(*[col(k) for k in keep], *[col(c).cast("double").alias(c) for c in cols])
+    casted = df.selectExpr(*[quoted(k) for k in keep], *[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in cols])
     return casted.unpivot(keep or [], [col(c) for c in cols], name, value) if keep else \
         casted.unpivot([], [col(c) for c in cols], name, value)
 
 
-def row_sum(values: list):
-    """Sum of many columns of a row, from left to right, whatever their number (a chain of
-    additions over a wide table would be an expression as deep as the table is wide)."""
-    zero = F.lit(0.0)
-    return F.aggregate(F.array(*[v.cast("double") for v in values]), zero, lambda a, x: a + x) if values else zero
+def quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def row_sum(terms: list[str]):
+    """Sum of many SQL terms of a row, from left to right: one array, as a chain of additions
+    over a wide table would be an expression as deep as the table is wide. The terms are text
+    because a Column object per cell costs more than the job at thousands of columns."""
+    cells = ", ".join(f"CAST({t} AS DOUBLE)" for t in terms)
+    return F.expr(f"aggregate(array({cells}), 0D, (total, cell) -> total + cell)") if terms else F.lit(0.0)
 
 
 def null_flags(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
     """(keep..., column, missing 0/1) of any types, one row per cell. Cells are told apart by
     position until the caller's grouping; names come from ``name_columns``."""
-    flags = F.array(*[col(c).isNull().cast("int") for c in cols])
+    flags = F.expr(f"array({', '.join(f'CAST({quoted(c)} IS NULL AS INT)' for c in cols)})")
     return df.select(*[col(k) for k in keep or []], F.posexplode(flags).alias("column", "missing"))
 
 
 def name_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     """The positions in ``column`` replaced by names."""
-    return df.withColumn("column", F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("column") + 1))
+    names = F.from_json(F.lit(json.dumps(cols)), "array<string>")
+    return df.withColumn("column", F.element_at(names, F.col("column") + 1))
 
 
 def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:

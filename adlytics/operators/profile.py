@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlytics.functions.exprs import col, r6, safe_corr, skew_adjusted
-from adlytics.operators.common import melt, name_columns, null_counts, null_flags, numeric_columns, one_row, row_sum
+from adlytics.operators.common import melt, name_columns, null_counts, null_flags, numeric_columns, one_row, quoted, row_sum
 
 KIND_ORDER = ("continuous", "binary", "integer", "categorical")
 
@@ -127,7 +127,7 @@ def compare_schemas(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def total_nulls(df: DataFrame) -> DataFrame:
     """One row: rows and total NULL cells, in one scan."""
-    nulls = F.sum(row_sum([col(c).isNull().cast("int") for c in df.columns]))
+    nulls = F.sum(row_sum([f"{quoted(c)} IS NULL" for c in df.columns]))
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(nulls, F.lit(0.0)).cast("long").alias("n_nulls"))
 
 
@@ -177,7 +177,7 @@ def summarize_dataset(df: DataFrame) -> DataFrame:
 def summary_statistics(df: DataFrame, target: str = "y") -> DataFrame:
     """One row: rows, cols, class shares, numeric count, mean per-column null rate %."""
     y = col(target)
-    mean_rate = F.avg(row_sum([col(c).isNull().cast("int") for c in df.columns]) / len(df.columns))
+    mean_rate = F.avg(row_sum([f"{quoted(c)} IS NULL" for c in df.columns]) / len(df.columns))
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
                   r6(F.avg((y == 0).cast("double"))).alias("share0"),
                   r6(F.avg((y == 1).cast("double"))).alias("share1"),
@@ -369,7 +369,7 @@ def presence_rate_summary(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def sparsity(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row: ones, cells, sparsity % = 100 (1 - ones/cells) over binary columns."""
-    ones = F.sum(row_sum([F.coalesce((col(c) == 1).cast("int"), F.lit(0)) for c in cols]))
+    ones = F.sum(row_sum([f"coalesce({quoted(c)} = 1, false)" for c in cols]))
     a = df.agg(F.coalesce(ones, F.lit(0.0)).cast("long").alias("n_ones"), F.count(F.lit(1)).alias("n_rows"))
     cells = F.col("n_rows") * F.lit(len(cols))
     return a.select("n_ones", cells.cast("long").alias("n_cells"),
