@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from adlytics.functions.exprs import col, r6, significant
 from adlytics.operators.common import melt, null_counts, numeric_columns
+from adlytics.operators.quantiles import column_quantiles
 
 
 # ----------------------------------------------------------------------------------- M1
 def fit_medians(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 10000) -> dict:
-    """{column: median} from one aggregate over the melted columns (exact by default)."""
-    v = F.col("value")
-    m = F.percentile(v, 0.5) if exact else F.percentile_approx(v, 0.5, accuracy).cast("double")
+    """{column: median} of the melted columns, exact by default; None for a column of NULLs."""
+    if exact:
+        found = column_quantiles(melt(df, cols), [0.5], accuracy)
+        return {c: found.get(c, [None])[0] for c in cols}
+    m = F.percentile_approx("value", 0.5, accuracy).cast("double")
     return {r["column"]: r["m"] for r in melt(df, cols).groupBy("column").agg(m.alias("m")).collect()}
 
 

@@ -1,6 +1,6 @@
 """Outlier operators: IQR fences, reports, removal, capping and frozen bounds.
 
-Fences come from one exact-percentile aggregate (metadata: two numbers per column), are
+Fences come from exact quantiles (metadata: two numbers per column), are
 broadcast as literals and applied as column expressions in a single projection or filter.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from adlytics.functions.exprs import clip, col, r6
 from adlytics.operators.common import melt
 from adlytics.operators.profile import quartile_bounds
+from adlytics.operators.quantiles import column_quantiles
 
 
 def iqr_bounds(df: DataFrame, cols: list[str], m: float = 1.5) -> dict[str, tuple]:
@@ -23,9 +24,8 @@ def iqr_bounds(df: DataFrame, cols: list[str], m: float = 1.5) -> dict[str, tupl
 
 def percentile_bounds(df: DataFrame, cols: list[str], p_lo: float = 0.01, p_hi: float = 0.99) -> dict:
     """{column: (p_lo quantile, p_hi quantile)} for percentile capping."""
-    rows = melt(df, cols).groupBy("column").agg(F.percentile("value", p_lo).alias("lo"),
-                                                F.percentile("value", p_hi).alias("hi")).collect()
-    return {r["column"]: (r["lo"], r["hi"]) for r in rows}
+    found = column_quantiles(melt(df, cols), [p_lo, p_hi])
+    return {c: tuple(found.get(c, (None, None))) for c in cols}
 
 
 def outlier_flags(df: DataFrame, bounds: dict, suffix: str = "_outlier") -> DataFrame:

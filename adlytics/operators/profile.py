@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from adlytics.functions.exprs import col, r6, safe_corr, skew_adjusted
 from adlytics.operators.common import melt, name_columns, null_counts, null_flags, numeric_columns, one_row, quoted, row_sum
+from adlytics.operators.quantiles import column_quantiles, exact_quantiles, with_quantiles
 
 KIND_ORDER = ("continuous", "binary", "integer", "categorical")
+QUARTILES = ["q25", "q50", "q75"]
 
 
 # ----------------------------------------------------------------------------------- D1
@@ -321,15 +323,17 @@ def missing_patterns(df: DataFrame, cols: list[str]) -> DataFrame:
 # ----------------------------------------------------------------------------------- D17-D19
 def describe(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max); exact quartiles by default."""
-    v = F.col("value")
+    v, quartiles = F.col("value"), [0.25, 0.5, 0.75]
+    long = melt(df, cols)
+    approx = [] if exact else [F.percentile_approx(v, quartiles, accuracy).alias("_q")]
+    stats = long.groupBy("column").agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
+        F.max(v).alias("max"), *approx)
     if exact:
-        qs = [F.percentile(v, p) for p in (0.25, 0.5, 0.75)]
+        stats = with_quantiles(stats, ["column"], exact_quantiles(long, ["column"], quartiles, accuracy), QUARTILES)
     else:
-        qs = [F.percentile_approx(v, p, accuracy).cast("double") for p in (0.25, 0.5, 0.75)]
-    return melt(df, cols).groupBy("column").agg(
-        F.count(v).alias("count"), r6(F.avg(v)).alias("mean"), r6(F.stddev_samp(v)).alias("std"),
-        r6(F.min(v)).alias("min"), r6(qs[0]).alias("q25"), r6(qs[1]).alias("q50"), r6(qs[2]).alias("q75"),
-        r6(F.max(v)).alias("max"))
+        stats = stats.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(QUARTILES)])
+    return stats.select("column", "count", *[r6(n).alias(n) for n in ("mean", "std", "min", *QUARTILES, "max")])
 
 
 def moments(df: DataFrame, cols: list[str], alpha: float = 0.01) -> DataFrame:
@@ -403,18 +407,13 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 20, density: bool = Fa
 
 def quartile_bounds(df: DataFrame, cols: list[str], m: float = 1.5,
                     lower_q: float = 0.25, upper_q: float = 0.75) -> dict:
-    """{column: (q_lo, q_hi, lo_fence, hi_fence)} from one exact percentile aggregate."""
-    v = F.col("value")
-    rows = melt(df, cols).groupBy("column").agg(F.percentile(v, lower_q).alias("q1"),
-                                                F.percentile(v, upper_q).alias("q3")).collect()
-    out = {}
-    for r in rows:
-        if r["q1"] is None:
-            out[r["column"]] = (None, None, None, None)
-            continue
-        iqr = r["q3"] - r["q1"]
-        out[r["column"]] = (r["q1"], r["q3"], r["q1"] - m * iqr, r["q3"] + m * iqr)
-    return out
+    """{column: (q_lo, q_hi, lo_fence, hi_fence)} from exact quantiles; Nones for a column of NULLs."""
+    found = column_quantiles(melt(df, cols), [lower_q, upper_q])
+    return {c: _fences(*found[c], m) if c in found else (None, None, None, None) for c in cols}
+
+
+def _fences(q1: float, q3: float, m: float) -> tuple:
+    return q1, q3, q1 - m * (q3 - q1), q3 + m * (q3 - q1)
 
 
 def boxplot_table(df: DataFrame, cols: list[str], m: float = 1.5) -> DataFrame:
@@ -422,19 +421,17 @@ def boxplot_table(df: DataFrame, cols: list[str], m: float = 1.5) -> DataFrame:
 
     Pass 1: exact quartiles (metadata); pass 2: whisker ends and outlier counts."""
     v = F.col("value")
-    q = melt(df, cols).groupBy("column").agg(F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.5).alias("med"),
-                                             F.percentile(v, 0.75).alias("q3"))
-    qd = {r["column"]: r for r in q.collect()}
     from adlytics.operators.common import lit_map
-    lo = {c: r["q1"] - m * (r["q3"] - r["q1"]) for c, r in qd.items() if r["q1"] is not None}
-    hi = {c: r["q3"] + m * (r["q3"] - r["q1"]) for c, r in qd.items() if r["q1"] is not None}
+    found = exact_quantiles(melt(df, cols), ["column"], [0.25, 0.5, 0.75])
+    fences = {c: _fences(q[0], q[2], m) for (c,), q in found.items()}
+    lo, hi = {c: f[2] for c, f in fences.items()}, {c: f[3] for c, f in fences.items()}
     long = melt(df, cols).filter(v.isNotNull()).select(
         "column", "value", F.element_at(lit_map(lo), F.col("column")).alias("lo"),
         F.element_at(lit_map(hi), F.col("column")).alias("hi"))
     w = long.groupBy("column").agg(F.min(F.when(v >= F.col("lo"), v)).alias("lo_whisker"),
                                    F.max(F.when(v <= F.col("hi"), v)).alias("hi_whisker"),
                                    F.count_if((v < F.col("lo")) | (v > F.col("hi"))).alias("n_outliers"))
-    return q.join(w, "column").select("column", r6("q1").alias("q1"), r6("med").alias("median"),
+    return with_quantiles(w, ["column"], found, ["q1", "med", "q3"]).select("column", r6("q1").alias("q1"), r6("med").alias("median"),
                                       r6("q3").alias("q3"), r6(F.col("q3") - F.col("q1")).alias("iqr"),
                                       r6("lo_whisker").alias("lo_whisker"), r6("hi_whisker").alias("hi_whisker"),
                                       "n_outliers")
@@ -443,9 +440,12 @@ def boxplot_table(df: DataFrame, cols: list[str], m: float = 1.5) -> DataFrame:
 def class_profile(df: DataFrame, cols: list[str], target: str = "y") -> DataFrame:
     """(y, column, n, mean, q1, median, q3): continuous columns by class."""
     v = F.col("value")
-    return melt(df, cols, keep=[target]).groupBy(col(target).alias("y"), "column").agg(
-        F.count(v).alias("n"), r6(F.avg(v)).alias("mean"), r6(F.percentile(v, 0.25)).alias("q1"),
-        r6(F.percentile(v, 0.5)).alias("median"), r6(F.percentile(v, 0.75)).alias("q3"))
+    long = melt(df, cols, keep=[target]).select(col(target).alias("y"), "column", "value")
+    stats = long.groupBy("y", "column").agg(F.count(v).alias("n"), F.avg(v).alias("mean"))
+    found = exact_quantiles(long, ["y", "column"], [0.25, 0.5, 0.75])
+    names = ["q1", "median", "q3"]
+    return with_quantiles(stats, ["y", "column"], found, names).select(
+        "y", "column", "n", r6("mean").alias("mean"), *[r6(n).alias(n) for n in names])
 
 
 def class_shares(df: DataFrame, target: str = "y") -> DataFrame:
