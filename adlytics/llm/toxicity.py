@@ -100,16 +100,21 @@ class Mil:
 
     def fit(self, feature, sentence, text, y, cost, steps=STEPS, rate=RATE, ridge=RIDGE):
         """Adam over the features that occur; ``text`` maps sentences to bags, ``cost`` weighs bags."""
-        used = np.unique(feature)
+        pieces = range(0, len(feature), PIECE)
+        seen = np.zeros(1 << BITS, bool)
+        for i in pieces:
+            seen[feature[i:i + PIECE]] = True
+        used = np.flatnonzero(seen)
         place = np.zeros(1 << BITS, np.int32)
         place[used] = np.arange(len(used), dtype=np.int32)
-        code = place[feature]
+        code = np.empty(len(feature), np.int32)
+        for i in pieces:
+            code[i:i + PIECE] = place[feature[i:i + PIECE]]
         n_sent, n = len(text), len(y)
         w = np.zeros(len(used) + 1)
         w[-1] = self.bias
         m, v = np.zeros_like(w), np.zeros_like(w)
         cost = cost / cost.sum()
-        pieces = range(0, len(code), PIECE)
 
         def summed(values, at, to, size):
             """Sums of values[at] by ``to``, a piece at a time."""
@@ -167,15 +172,16 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> Mil:
                                                  names=["doc_id", "y", "feature", "sentence", "n"])
 
     got = rows.select("doc_id", "y", "text").mapInArrow(
-        run, "doc_id long, y int, feature array<int>, sentence array<int>, n int").orderBy("doc_id").toArrow().combine_chunks()
+        run, "doc_id long, y int, feature array<int>, sentence array<int>, n int").orderBy("doc_id").toArrow()
     y = got["y"].to_numpy()
     if len(set(y.tolist())) < 2:
         return Mil(bias=-50.0)
     n = got["n"].to_numpy().astype(np.int64)
     sizes = np.array(got["feature"].combine_chunks().value_lengths())
     feature = got["feature"].combine_chunks().flatten().to_numpy()
-    sentence = got["sentence"].combine_chunks().flatten().to_numpy() + np.repeat((np.cumsum(n) - n).astype(np.int32), sizes)
+    sentence = got["sentence"].combine_chunks().flatten().to_numpy()
     del got
+    sentence = sentence + np.repeat((np.cumsum(n) - n).astype(np.int32), sizes)
     cost = np.where(y == 1, counts[1] / max((y == 1).sum(), 1), counts[0] / max((y == 0).sum(), 1))
     return Mil().fit(feature, sentence, np.repeat(np.arange(len(y)), n), y, cost)
 
