@@ -41,7 +41,7 @@ def buffers(a: pa.Array):
     return d[off[0]:off[-1]], off - off[0]
 
 
-def blocks(a: pa.Array, max_bytes: int = 2 << 20):
+def blocks(a: pa.Array, max_bytes: int = 1 << 20):
     """Cut rows (never texts) into (start, stop) ranges of about ``max_bytes`` bytes."""
     if len(a) == 0:
         return
