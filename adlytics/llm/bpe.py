@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from adlytics.llm.common import per_worker
 from adlytics.llm.textvec import blocks, buffers, plain_strings, space_table
 
-BLOCK = 8 << 20
+BLOCK = 2 << 20          # bytes of text encoded at a time
 POOL = 400_000           # pieces remembered from block to block; the pool starts anew beyond
 # Fixed value: white space as the rank files' library sees it (Unicode White_Space).
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

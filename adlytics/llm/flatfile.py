@@ -24,10 +24,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlytics.llm.bpe import BLOCK, distinct_pieces, gather
+from adlytics.llm.bpe import distinct_pieces, gather
 from adlytics.llm.common import ordered_bucket, per_worker, shared_folder, shuffle_partitions
 from adlytics.llm.textvec import blocks, buffers, plain_strings, space_table
 
+BLOCK = 8 << 20          # bytes of text encoded at a time
 END_ID = 1
 PARTS_PER_TASK = 2
 POOL = 300_000           # pieces remembered from block to block; the pool starts anew beyond

@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adlytics.llm.bpe import BLOCK, Bpe, read_ranks
+from adlytics.llm.bpe import Bpe, read_ranks
 from adlytics.llm.common import per_worker, saved
 from adlytics.llm.textvec import blocks, plain_strings
 
+BLOCK = 8 << 20          # bytes of text encoded at a time
 STRIPE = 256
 
 
