@@ -15,6 +15,7 @@ its own and renames, so retried or duplicated tasks leave the same files.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 
@@ -43,14 +44,22 @@ class PieceTokenizer:
     The tokenizer lower-cases and splits at white space and between letters and punctuation, so a
     text's ids are its pieces' ids one after another. Pieces end at ASCII white space and where
     an ASCII letter or digit meets ASCII punctuation other than an apostrophe; each distinct
-    piece (ASCII letters lower-cased) is encoded by the library once. Strings of special tokens in
-    a text are ordinary text.
+    piece (ASCII letters lower-cased) is encoded by the library once. With ``added``, a string of
+    an added token in a text is that token, as by the library's defaults; without, such strings
+    are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True        # pieces are ordinary text
+        self.added = {}                                    # string of an added token: its id
+        for i, t in self.tokenizer.get_added_tokens_decoder().items() if added else ():
+            if t.normalized or t.lstrip or t.rstrip or t.single_word:
+                raise ValueError(f"added token {t.content!r} is not matched as it stands in the text")
+            self.added[t.content.encode()] = i
+        # As the library takes them: the leftmost, and of those the longest.
+        self.find = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         mark = self.ids([MARK])[0]
@@ -88,18 +97,33 @@ class PieceTokenizer:
             ids.append(flat[flat != self.mark])
         return np.concatenate(ids), np.concatenate(counts)
 
+    def added_spans(self, d, off):
+        """(starts, ends, ids) of the added tokens' strings in the texts."""
+        raw = d.tobytes() if self.added else b""
+        if not any(t in raw for t in self.added):
+            return np.zeros((3, 0), np.int64)
+        found = [(m.start(), m.end(), self.added[m.group()]) for i, j in zip(off[:-1].tolist(), off[1:].tolist())
+                 for m in self.find.finditer(raw, i, j)]
+        return np.array(found, np.int64).reshape(-1, 3).T
+
     def encode(self, a: pa.Array):
         """(ids, ids per text) of a block of texts."""
         d, off = buffers(a)
         if not len(d):
             return np.zeros(0, np.int32), np.zeros(len(a), np.int64)
+        first, last, token = self.added_spans(d, off)
         d = self.lower[d]
         white, kind = space_table()[d], self.kind[d]
         cut = white.copy()                                  # a piece starts with its white space
         cut[1:] &= ~white[:-1]
         cut[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
         cut[off[:-1][off[:-1] < off[1:]]] = True
-        distinct, number, per_text = distinct_pieces(d, off, np.flatnonzero(cut))
+        for i, j in zip(first, last):                       # an added token's string is one piece
+            cut[i:j] = False
+        cut[first] = True
+        cut[last[last < len(d)]] = True
+        starts = np.flatnonzero(cut)
+        distinct, number, per_text = distinct_pieces(d, off, starts)
         if len(self.known) > POOL:
             self.clear()
         names = [p.lstrip(" \t\n\v\f\r") for p in distinct]
@@ -109,14 +133,19 @@ class PieceTokenizer:
             for p in new:
                 self.known[p] = len(self.known)
             self.pool, self.counts = np.concatenate([self.pool, ids]), np.concatenate([self.counts, counts])
-        place = np.array([self.known[p] for p in names], np.int64)
-        return gather(self.pool, self.counts, place[number], per_text)
+        place = np.array([self.known[p] for p in names], np.int64)[number]
+        if not len(token):
+            return gather(self.pool, self.counts, place, per_text)
+        kinds, which = np.unique(token, return_inverse=True)
+        place[np.searchsorted(starts, first)] = len(self.counts) + which
+        return gather(np.concatenate([self.pool, kinds.astype(np.int32)]),
+                      np.concatenate([self.counts, np.ones(len(kinds), np.int64)]), place, per_text)
 
 
 def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
     """(doc_id, n, ids): ids of the whole text (null: empty) and the end id, as packed bytes."""
     def run(batches):
-        tok = per_worker(("pieces", path), lambda: PieceTokenizer(path))
+        tok = per_worker(("pieces", path), lambda: PieceTokenizer(path, added=True))
         kind = np.dtype(f"<u{tok.width}")
         for batch in batches:
             texts = plain_strings(batch.column("text"))

@@ -102,6 +102,25 @@ def test_piece_tokenizer_matches_library():
         assert part.tolist() == t.encode(x, add_special_tokens=False).ids, x
 
 
+def test_added_tokens_in_texts_as_by_library_defaults(spark):
+    from tokenizers import Tokenizer
+    t, rng = Tokenizer.from_file(WORDS), random.Random(5)
+    texts = ["End of it <|endoftext|> next", "<|ENDOFTEXT|> a", "a<|endoftext|><|startoftext|>b", "<|endof", "text|> c",
+             "e<|endoftext|>\u0301", " <|endoftext|> ", "", "<|<|endoftext|>|>", "<|endoftext|>"]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "endoftext", "It's", "\x01", " ", "\n", "É", "«", "!", "<|EndOfText|>"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(1500)]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert want[0] == [806, 539, 585, 49407, 1131]
+    tok = flatfile.PieceTokenizer(WORDS, added=True)
+    for _ in range(2):
+        ids, counts = tok.encode(pa.array(texts, pa.large_string()))
+        for x, part, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), want):
+            assert part.tolist() == own, x
+    got = flatfile.round_trip(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), WORDS).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) \
+        == [(i, len(x) + 1, zlib.crc32(np.array(x + [1], "<u4").tobytes())) for i, x in enumerate(want)]
+
+
 def test_length_histogram(spark):
     enc = library()
     docs = documents(spark, SF_SMALL).unionByName(odd_docs(spark).select("doc_id", "text", "lang", "source"), allowMissingColumns=True)
