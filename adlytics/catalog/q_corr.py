@@ -109,6 +109,16 @@ def c07(spark, sf_dir):
     return C.stratified_column_sample(T.doc_wide(spark, sf_dir), BIN, per_bucket=5)
 
 
+@register("c07_column_sample_ten", f"""WITH dw AS {DW},
+pos AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(BIN))}) AS p("column", pos)),
+r AS (SELECT "column", avg(value) AS rate FROM {melt_sql('dw', BIN)} GROUP BY 1),
+b AS (SELECT r."column", rate, pos, ntile(4) OVER (ORDER BY rate, pos) AS bucket FROM r JOIN pos USING ("column")),
+k AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY {portable_hash_sql("pos", 42)}, pos) AS pick FROM b)
+SELECT "column", {r6('rate')} AS rate, bucket, pick FROM k WHERE pick <= 10""")
+def c07_ten(spark, sf_dir):
+    return C.stratified_column_sample(T.doc_wide(spark, sf_dir), BIN, per_bucket=10)
+
+
 def _groups_sql(cols):
     """CTEs m (g, member, no): groups of the columns over T_RED, from a pair table p."""
     return f"""pos AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(cols))}) AS x("column", pos)),
@@ -197,7 +207,7 @@ def c15(spark, sf_dir):
 @register("c17_full_correlation_report")
 def c17(spark, sf_dir):
     dw = T.doc_wide(spark, sf_dir)
-    parts = C.full_correlation_report(dw, "y", BIN, CONT, per_bucket=5)
+    parts = C.full_correlation_report(dw, "y", BIN, CONT, per_bucket=10)
     out = None
     for name in ("top", "bottom", "target"):
         p = parts[name].select(F.lit(name).alias("part"), F.col("column").alias("var1"),

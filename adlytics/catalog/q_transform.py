@@ -105,6 +105,13 @@ def t07(spark, sf_dir):
     return out.select("doc_id", *[sr6(c).alias(c) for c in BIN[:5]])
 
 
+@register("t07_scale_all_flags", f"""WITH d AS {DW}, s AS (SELECT {', '.join(f'stddev_pop({c}) AS s_{c}' for c in BIN)} FROM d)
+SELECT doc_id, {', '.join(r6(f'CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE {c} END') + f' AS {c}' for c in BIN)} FROM d, s""")
+def t07_all(spark, sf_dir):
+    out = TR.standardize(_dw(spark, sf_dir).select("doc_id", *BIN), BIN, with_mean=False)
+    return out.select("doc_id", *[sr6(c).alias(c) for c in BIN])
+
+
 _Q_NAMES = TR.quadratic_names(CONT)
 
 
@@ -118,7 +125,7 @@ def t08(spark, sf_dir):
 @register("t10_pca_explained_variance")
 def t10(spark, sf_dir):
     emb = T.read(spark, sf_dir, "embeddings")
-    cols = [f"e{i}" for i in range(8)]
+    cols = [f"e{i}" for i in range(emb.agg(F.max(F.size("embedding"))).first()[0] or 0)]
     flat = emb.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
     _, ev = TR.pca(flat, cols, k=2)
     return spark.createDataFrame([(i + 1, round(v, 6)) for i, v in enumerate(ev)], "component int, explained double")
