@@ -31,13 +31,14 @@ from adlytics.llm.textvec import blocks, plain_strings
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MIN_WORDS = 50
-# The transformed statistics: name, smallest spread that counts, grid step, grid range.
+# The transformed statistics: name, smallest spread that counts, grid step. The grid has no bounds: only
+# word_length is open above, and its log adds seven cells where words are twice as long.
 VECTOR = [
-    ("word_length", 0.05, 0.1, (0.5, 3.5)),      # log of code points per word
-    ("symbols", 0.2, 0.25, (0.0, 4.75)),         # log1p of symbols per 100 code points of words
-    ("repeats", 0.1, 0.1, (0.0, 1.0)),           # share of words in repeated windows
-    ("dup_lines", 0.1, 0.1, (0.0, 1.0)),         # share of lines equal to an earlier one
-    ("capitals", 0.3, 0.25, (0.0, 4.75)),        # log1p of ASCII capitals per 100 code points of words
+    ("word_length", 0.05, 0.1),      # log of code points per word
+    ("symbols", 0.2, 0.25),          # log1p of symbols per 100 code points of words
+    ("repeats", 0.1, 0.1),           # share of words in repeated windows
+    ("dup_lines", 0.1, 0.1),         # share of lines equal to an earlier one
+    ("capitals", 0.3, 0.25),         # log1p of ASCII capitals per 100 code points of words
 ]
 DIM = len(VECTOR)
 KEEP = 0.5               # share of a group's documents that the MCD subset holds
@@ -173,8 +174,7 @@ class Mcd:
 def estimates(vectors: DataFrame) -> DataFrame:
     """(level, lang, source, n, mean, inverse): level 0 per (lang, source), 1 per lang, 2 all."""
     names, floors = [v[0] for v in VECTOR], [v[1] for v in VECTOR]
-    cell = F.concat_ws(",", *[F.round(F.least(F.greatest(F.col(n), F.lit(lo)), F.lit(hi)) / step).cast("int").cast("string")
-                              for n, _, step, (lo, hi) in VECTOR])
+    cell = F.concat_ws(",", *[F.round(F.col(n) / step).cast("int").cast("string") for n, _, step in VECTOR])
     pairs = [(i, j) for i in range(DIM) for j in range(i, DIM)]
     sums = [F.count(F.lit(1)).alias("n")] + [F.sum(n).alias(f"a{i}") for i, n in enumerate(names)] \
         + [F.sum(F.col(names[i]) * F.col(names[j])).alias(f"b{i}_{j}") for i, j in pairs]
