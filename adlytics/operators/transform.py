@@ -4,7 +4,8 @@ Lambda search is distributed: the log-likelihood of a power transform is
     l(lambda) = -n/2 log var_pop(f(x, lambda)) + (lambda - 1) S
 with S = sum sign(x) log1p|x| (Yeo-Johnson) or sum log x (Box-Cox), which does not depend on
 lambda. One aggregate over the melted columns evaluates var_pop for a whole lambda grid of every
-column at once; two refinement passes around the best point give lambda to ~1e-4. The fitted
+column at once, and again on wider grids further out while the best point lies on the edge;
+refinement passes around the best point give lambda to ~1e-4. The fitted
 lambdas (a few numbers) are applied as column expressions.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from adlytics.functions.exprs import box_cox, col, r6, skew_adjusted, yeo_johnson
 from adlytics.operators.common import melt
 
-LAMBDA_RANGE = (-2.0, 2.0)   # bracket of the lambda search (as in the common implementations)
+LAMBDA_RANGE = (-2.0, 2.0)   # first grid of the lambda search; it moves outward while the best point is on its edge
 
 
 @dataclass
@@ -68,7 +69,7 @@ def _loglik_grid(df: DataFrame, cols: list[str], method: str, grids: dict, shift
         pts = []
         for k in range(n_grid):
             var = r[f"v{k}"]
-            ll = -np.inf if (var is None or var <= 0) else -n / 2.0 * np.log(var) + (grids[r["column"]][k] - 1) * s
+            ll = -np.inf if (var is None or not 0 < var < np.inf) else -n / 2.0 * np.log(var) + (grids[r["column"]][k] - 1) * s
             pts.append((grids[r["column"]][k], ll))
         out[r["column"]] = pts
     return out
@@ -76,7 +77,8 @@ def _loglik_grid(df: DataFrame, cols: list[str], method: str, grids: dict, shift
 
 def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson", standardize: bool = True,
               grid: int = 41, refine: int = 2) -> dict[str, PowerFit]:
-    """Maximum-likelihood lambda per column, 1 + ``refine`` aggregate passes."""
+    """Maximum-likelihood lambda per column, 1 + ``refine`` aggregate passes, more where
+    lambda lies outside ``LAMBDA_RANGE`` (T1, T2)."""
     from adlytics.session import cut_lineage
     # several passes read the same columns: materialise just those once
     df = cut_lineage(df.select(*[col(c).cast("double").alias(c) for c in cols]))
@@ -86,17 +88,28 @@ def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson", stand
         shifts = {c: (abs(mins[c]) + 1e-6 if mins[c] is not None and mins[c] <= 0 else 0.0) for c in cols}
     lo, hi = LAMBDA_RANGE
     grids = {c: list(np.linspace(lo, hi, grid)) for c in cols}
-    best = {}
-    step = (hi - lo) / (grid - 1)
-    for it in range(refine + 1):
-        ll = _loglik_grid(df, cols, method, grids, shifts)
-        for c in cols:
-            lam, _ = max(ll[c], key=lambda t: t[1])
-            best[c] = lam
-        if it < refine:
-            step = step * 2 / (grid - 1)
-            grids = {c: list(np.linspace(best[c] - step * (grid - 1) / 2, best[c] + step * (grid - 1) / 2, grid))
-                     for c in cols}
+    best, steps = {}, {c: (hi - lo) / (grid - 1) for c in cols}
+    finest = (hi - lo) / (grid - 1) * (2 / (grid - 1)) ** refine
+    todo = cols
+    while todo:                       # until the best point of each column lies inside its grid
+        ll = _loglik_grid(df, todo, method, {c: grids[c] for c in todo}, shifts)
+        moved = []
+        for c in todo:
+            k = max(range(grid), key=lambda i: ll[c][i][1])
+            best[c] = ll[c][k][0]
+            if k in (0, grid - 1) and np.isfinite(ll[c][k][1]):
+                steps[c] *= 2
+                out = steps[c] if k else -steps[c]
+                grids[c] = sorted(best[c] + out * j for j in range(-1, grid - 1))
+                moved.append(c)
+        todo = moved
+    while todo := [c for c in cols if grid > 3 and steps[c] > finest * 1.000001]:
+        for c in todo:
+            grids[c] = list(np.linspace(best[c] - steps[c], best[c] + steps[c], grid))
+            steps[c] *= 2 / (grid - 1)
+        ll = _loglik_grid(df, todo, method, {c: grids[c] for c in todo}, shifts)
+        for c in todo:
+            best[c] = max(ll[c], key=lambda t: t[1])[0]
     fits = {c: PowerFit(method, float(best[c]), shifts[c]) for c in cols}
     if standardize:
         st = df.agg(*[F.avg(fits[c].expr(c)).alias(f"m{i}") for i, c in enumerate(cols)],
