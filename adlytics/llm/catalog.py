@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from adlytics.llm import bagminhash, bpe, flatfile, gbt, lengths, mcd, minhash, pareto, toxicity, urls
+from adlytics.llm import bagminhash, bpe, flatfile, gbt, lengths, mcd, minhash, pareto, simhash, toxicity, urls
 from adlytics.llm.common import documents, labels
 
 WORD_BPE = "word_bpe_49k.json"
@@ -63,9 +63,15 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op11_simhash_trie_join(spark, sf_dir):
+    """SimHash fingerprint and component of each document."""
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_minhash_fingerprints, op3_pareto_mix, op4_length_histogram, op5_mil_toxicity,
-    op6_gbt_quality, op7_bagminhash_near_dups, op8_url_filter, op9_flat_token_files, op10_byte_bpe)}
+    op6_gbt_quality, op7_bagminhash_near_dups, op8_url_filter, op9_flat_token_files, op10_byte_bpe,
+    op11_simhash_trie_join)}
 
 ORACLES = {
     "op3_pareto_mix": pareto.MIX_SQL.format(docs="documents")
