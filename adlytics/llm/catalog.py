@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from adlytics.llm import bagminhash, bpe, flatfile, gbt, lengths, mcd, minhash, pareto, simhash, toxicity, urls
+from adlytics.llm import bagminhash, bpe, fim, flatfile, gbt, lengths, mcd, minhash, pareto, periodic, simhash, toxicity, urls
 from adlytics.llm.common import documents, labels
 
 WORD_BPE = "word_bpe_49k.json"
@@ -68,12 +68,23 @@ def op11_simhash_trie_join(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of all documents, a tenth of them with a period written in."""
+    return periodic.run_digests(periodic.periodic_runs(periodic.planted(documents(spark, sf_dir))))
+
+
+def op13_fim_frames(spark, sf_dir):
+    """Fill-in-the-middle of all documents from compressed frames."""
+    return fim.round_trip(spark, documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_minhash_fingerprints, op3_pareto_mix, op4_length_histogram, op5_mil_toxicity,
     op6_gbt_quality, op7_bagminhash_near_dups, op8_url_filter, op9_flat_token_files, op10_byte_bpe,
-    op11_simhash_trie_join)}
+    op11_simhash_trie_join, op12_periodic_runs, op13_fim_frames)}
 
 ORACLES = {
+    "op13_fim_frames": fim.FIM_SQL,
     "op3_pareto_mix": pareto.MIX_SQL.format(docs="documents")
     + "SELECT doc_id, size, source, source_size, target, copies, copies * size AS taken FROM mixed",
 }
