@@ -1,193 +1,125 @@
-"""Exact k-nearest-neighbour search for imputation and resampling.
-
-Distance is the NaN-Euclidean one: over the coordinates present in both rows,
-    dist = sqrt(d / m * sum (a_j - b_j)^2),   d = all coordinates, m = shared coordinates,
-undefined (no donor) when nothing is shared.
-
-Search without a cross join and without capping donors: for any shared coordinate j,
-|a_j - b_j| <= dist (as d / m >= 1). Each query task is therefore joined to donors by an
-equi-join on (null pattern of the donor, coordinate j, band of width eps on j), j being the
-shared coordinate of the widest spread, which finds every donor within distance eps. A task whose k-th distance is <= eps is
-exact; the others are retried with eps x 4 until the band covers the values of both sides. Work per
-round is the band contents; candidates are ranked with a window per task (sort-based, spills).
-Donor rows are exploded once per present coordinate (d copies at most).
+"""k-nearest-neighbour imputation and the choice of k (M3, M6-M8), on the exact search of ``neighbours``.
+
+One search serves all incomplete columns of a row, and all folds of a cross-validation: donors are
+told apart by the cell they can give, and by the fold they belong to, inside the one join.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlytics.functions.exprs import col
-from adlytics.session import cut_lineage
-
-
-def _mask(present: list):
-    """Bit mask of the coordinates that are present."""
-    return reduce(lambda a, b: a + b, [F.when(p, F.lit(1 << j)).otherwise(F.lit(0)) for j, p in enumerate(present)])
-
-
-def nearest(queries: DataFrame, donors: DataFrame, coords: list[str], k: int, qid: str, did: str,
-            q_extra: list[str] = (), d_extra: list[str] = (), exclude_self: bool = False,
-            eps0: float | None = None, growth: float = 4.0) -> DataFrame:
-    """(qid, q_extra..., did, d_extra..., dist, rank) for the k nearest donors of every query row.
-
-    ``queries`` and ``donors`` carry the coordinate columns (NULL = missing); ``q_extra`` /
-    ``d_extra`` are carried through (e.g. the target column of the task, the donor's value).
-    Ties are broken by donor id. Tasks with no defined distance to any donor return no row."""
-    n = len(coords)
-    bounds = [F.min(col(c)).alias(f"lo{j}") for j, c in enumerate(coords)] + [F.max(col(c)).alias(f"hi{j}") for j, c in enumerate(coords)]
-    seen = [x for x in (donors.agg(*bounds).first(), queries.agg(*bounds).first())]
-
-    def span(rows, j):
-        lo, hi = [r[f"lo{j}"] for r in rows if r[f"lo{j}"] is not None], [r[f"hi{j}"] for r in rows if r[f"hi{j}"] is not None]
-        return float(max(hi) - min(lo)) if lo else 0.0
-    # bands end when they cover the values of both sides, however far a query lies
-    full = max([span(seen, j) for j in range(n)] + [1e-12])
-    spread = max([span(seen[:1], j) for j in range(n)] + [1e-12])
-    widest_first = sorted(range(n), key=lambda j: (-span(seen[:1], j), j))
-    eps = eps0 or max(spread / 1024.0, 1e-9)
-
-    qn = [F.col(f"q_{c}") for c in coords]
-    dn = [F.col(f"d_{c}") for c in coords]
-    Q = queries.select(col(qid).alias("_qid"), *[col(e).alias(f"qx_{e}") for e in q_extra],
-                       *[col(c).cast("double").alias(f"q_{c}") for c in coords])
-    D = donors.select(col(did).alias("_did"), *[col(e).alias(f"dx_{e}") for e in d_extra],
-                      *[col(c).cast("double").alias(f"d_{c}") for c in coords])
-    Q, D = Q.withColumn("_qm", _mask([c.isNotNull() for c in qn])), D.withColumn("_dm", _mask([c.isNotNull() for c in dn]))
-    # every widening round reads both sides: materialise the projected inputs once
-    Q, D = cut_lineage(Q), cut_lineage(D)
-    # which coordinate joins is settled per pair of null patterns before the join: the shared one
-    # with the widest spread, so a pair meets once and on its most selective coordinate
-    patterns = [(a[0], b[0]) for a in Q.select("_qm").distinct().collect() for b in D.select("_dm").distinct().collect()]
-    via = [(a, b, next((j for j in widest_first if a & b & 1 << j), None)) for a, b in patterns]
-    plan = [F.when(F.col("_qm") == a, F.struct(F.lit(b).alias("_dm"), F.lit(j).alias("j"), qn[j].alias("xj")))
-            for a, b, j in via if j is not None] or [F.lit(None).cast("struct<_dm:int,j:int,xj:double>")]
-    # donors exploded once per present coordinate: (j, value on j)
-    Dj = D.select("*", F.explode(F.array(*[F.when(dn[j].isNotNull(), F.struct(F.lit(j).alias("j"), dn[j].alias("xj")))
-                                          for j in range(n)])).alias("_e")).filter(F.col("_e").isNotNull()) \
-        .select("*", "_e.j", "_e.xj").drop("_e")
-    pending = Q
-    results = []
-    while True:
-        last = eps >= full * 2
-        band = F.floor(F.col("xj") / F.lit(eps)).cast("long")
-        dj = Dj.withColumn("_band", band)
-        qj = pending.select("*", F.explode(F.array(*plan)).alias("_e")).filter(F.col("_e").isNotNull()) \
-            .select("*", "_e._dm", "_e.j", "_e.xj").drop("_e")
-        qj = qj.withColumn("_b0", F.floor(F.col("xj") / F.lit(eps)).cast("long")) \
-            .select("*", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1)).alias("_band"))
-        pairs = qj.join(dj.drop("xj"), ["_dm", "j", "_band"])
-        shared = [qn[j].isNotNull() & dn[j].isNotNull() for j in range(n)]
-        if exclude_self:
-            pairs = pairs.filter(F.col("_qid") != F.col("_did"))
-        m = reduce(lambda a, b: a + b, [s.cast("int") for s in shared])
-        ss = reduce(lambda a, b: a + b, [F.when(shared[j], (qn[j] - dn[j]) ** 2).otherwise(0.0) for j in range(n)])
-        pairs = pairs.withColumn("dist", F.sqrt(F.lit(float(n)) / m * ss))
-        w = Window.partitionBy("_qid").orderBy("dist", "_did")
-        ranked = pairs.select("_qid", *[f"qx_{e}" for e in q_extra], "_did", *[f"dx_{e}" for e in d_extra], "dist") \
-            .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        ranked = cut_lineage(ranked)
-        if last:
-            results.append(ranked)
-            break
-        stat = ranked.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_kd"))
-        done = stat.filter((F.col("_n") >= k) & (F.col("_kd") <= eps)).select("_qid")
-        results.append(ranked.join(done, "_qid", "left_semi"))
-        pending = cut_lineage(pending.join(done, "_qid", "left_anti"))
-        if pending.isEmpty():
-            break
-        eps *= growth
-    out = reduce(lambda a, b: a.unionByName(b), results)
-    return out.select(F.col("_qid").alias(qid), *[F.col(f"qx_{e}").alias(e) for e in q_extra],
-                      F.col("_did").alias(did if did != qid else f"{did}_donor"),
-                      *[F.col(f"dx_{e}").alias(e) for e in d_extra], "dist", "rank")
-
-
-def impute_tasks(df: DataFrame, cols: list[str], id_col: str) -> DataFrame:
-    """One row per (row, missing column): (id, target, coordinates...)."""
-    arr = F.array(*[F.when(col(c).isNull(), F.lit(c)) for c in cols])
-    return df.select(col(id_col), *[col(c) for c in cols], F.explode(arr).alias("target")) \
-        .filter(F.col("target").isNotNull())
-
-
-def donor_values(donors: DataFrame, cols: list[str], id_col: str) -> DataFrame:
-    """One row per (donor, column it can give): (id, target, value, coordinates...)."""
-    arr = F.array(*[F.when(col(c).isNotNull(), F.struct(F.lit(c).alias("target"), col(c).cast("double").alias("value")))
-                    for c in cols])
-    return donors.select(col(id_col), *[col(c) for c in cols], F.explode(arr).alias("_t")) \
-        .filter(F.col("_t").isNotNull()).select(col(id_col), *[col(c) for c in cols], "_t.target", "_t.value")
-
-
-def knn_neighbours(df: DataFrame, cols: list[str], id_col: str, k: int, donors: DataFrame | None = None) -> DataFrame:
-    """(id, target, donor, value, dist, rank): the k nearest donors having a value for each
-    missing cell. Searches are per target column so every donor found can give the value."""
-    donors = donors if donors is not None else df
-    tasks = cut_lineage(impute_tasks(df, cols, id_col))
-    dv = cut_lineage(donor_values(donors, cols, id_col))
-    out = None
-    for c in cols:
-        t = tasks.filter(F.col("target") == c)
-        d = dv.filter(F.col("target") == c)
-        # the target coordinate is missing in the query, so only the others can be shared
-        r = nearest(t.withColumn(c, F.lit(None).cast("double")), d, cols, k, id_col, id_col,
-                    q_extra=["target"], d_extra=["value"])
-        out = r if out is None else out.unionByName(r)
-    return out
+from adlytics.functions.exprs import col, portable_unit
+from adlytics.operators.common import melt, null_counts
+from adlytics.operators.neighbours import nearest
+
+__all__ = ["nearest", "knn_neighbours", "knn_impute", "knn_k_search", "quick_k"]
+
+
+def incomplete(df: DataFrame, cols: list[str]) -> list[str]:
+    """The columns that lack a value in some row (one scan)."""
+    lacking = {r["column"] for r in null_counts(df, cols).filter("n_missing > 0").collect()}
+    return [c for c in cols if c in lacking]
+
+
+def named(position: str, cols: list[str]):
+    return F.element_at(F.array(*map(F.lit, cols)), F.col(position).cast("int") + 1)
+
+
+def knn_neighbours(df: DataFrame, cols: list[str], id_col: str, k: int, donors: DataFrame | None = None,
+                   apart: str | None = None) -> DataFrame:
+    """(id, target, id_donor, value, dist, rank): for each missing cell the k nearest donors that
+    have a value there; with ``apart``, not of the row's own value of that column.
+
+    Coordinates are all of ``cols`` (the missing one cannot be shared). A cell without any donor at
+    a defined distance has no row."""
+    donors = df if donors is None else donors
+    lacking = incomplete(df, cols)
+    some = F.lit(False)
+    for c in lacking:
+        some = some | col(c).isNull()
+    found = nearest(df.filter(some), donors, cols, k, id_col, id_col, apart=apart, slots="missing",
+                    q_extra=[apart] if apart else [])
+    return found.withColumn("target", named("slot", cols)).drop("slot")
 
 
 def knn_impute(df: DataFrame, cols: list[str], id_col: str, k: int = 5, donors: DataFrame | None = None) -> DataFrame:
     """kNN imputation (M3): each missing cell = mean of its k nearest donors' values (fewer when
-    fewer exist); a cell with no donor at a defined distance gets the column mean of the donors."""
-    donors = donors if donors is not None else df
-    nb = knn_neighbours(df, cols, id_col, k, donors)
-    fill = nb.groupBy(id_col, "target").agg(F.avg("value").alias("fill"))
-    wide = fill.groupBy(id_col).pivot("target", cols).agg(F.first("fill"))
-    means = donors.agg(*[F.avg(col(c)).alias(c) for c in cols]).first()
-    j = df.join(wide.select(col(id_col), *[col(c).alias(f"_f_{c}") for c in cols]), id_col, "left")
-    return j.select(*[F.coalesce(col(c), F.col(f"_f_{c}"), F.lit(means[c])).alias(c) if c in cols else col(c)
-                      for c in df.columns])
+    fewer exist); a cell with no donor at a defined distance gets the column mean of the donors.
+
+    Columns without missing cells are returned as they are; a column without any donor value keeps
+    its NULLs. Row keys must be unique."""
+    donors = df if donors is None else donors
+    lacking = incomplete(df, cols)
+    if not lacking:
+        return df
+    fills = knn_neighbours(df, cols, id_col, k, donors).groupBy(id_col, "target").agg(F.avg("value").alias("fill")) \
+        .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("target", "fill"))).alias("_fills"))
+    means = {r["column"]: r["m"] for r in melt(donors, lacking).groupBy("column").agg(F.avg("value").alias("m")).collect()}
+    j = df.join(fills, id_col, "left")
+    return j.select(*[F.coalesce(col(c), F.col("_fills")[c], F.lit(means.get(c)).cast("double")).alias(c)
+                      if c in lacking else col(c) for c in df.columns])
+
+
+def _errors(masked: DataFrame, donors: DataFrame, truth: DataFrame, cols, id_col, k_values, apart) -> DataFrame:
+    """(fold, id, target, k, err) of the mean of the first k donors, for every k, from one search."""
+    found = knn_neighbours(masked, cols, id_col, max(k_values), donors, apart=apart)
+    found = found.join(truth, [id_col, "target"])
+    w = Window.partitionBy(id_col, "target").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    est = found.withColumn("est", F.avg("value").over(w))
+    return est.filter(F.col("rank").isin(*k_values)).select(
+        F.col(apart).alias("fold"), col(id_col), "target", F.col("rank").alias("k"), (F.col("est") - F.col("truth")).alias("err"))
+
+
+def _scores(errors: DataFrame, metric: str) -> DataFrame:
+    byfold = errors.groupBy("k", "fold").agg(F.avg(F.col("err") ** 2).alias("mse"), F.avg(F.abs("err")).alias("mae"))
+    res = byfold.groupBy("k").agg(F.avg("mse").alias("mse"), F.stddev_samp("mse").alias("std_mse"),
+                                  F.avg("mae").alias("mae")).withColumn("rmse", F.sqrt("mse"))
+    first = F.first("k").over(Window.orderBy(F.col({"mse": "mse", "rmse": "rmse", "mae": "mae"}[metric]), "k"))
+    return res.withColumn("best", F.col("k") == first)                # one row per k
+
+
+def _masked(rows: DataFrame, cols, id_col, mask_rate, seed):
+    """(rows with the masked cells NULL, truth (id, target, truth))."""
+    from adlytics.operators.sampling import cell_mask
+    m = cell_mask(rows, id_col, cols, mask_rate, seed)
+    gone = [F.when(F.col(f"{c}_masked"), F.lit(None)).otherwise(col(c).cast("double")).alias(c) for c in cols]
+    truth = melt(rows, cols, keep=[id_col], name="target", value="truth")
+    return m.select(id_col, "fold", *gone), truth
 
 
 def knn_k_search(df: DataFrame, cols: list[str], id_col: str, k_values: list[int], folds: int = 5,
                  mask_rate: float = 0.2, seed: int = 42, metric: str = "mse") -> DataFrame:
-    """Choose k by cross-validation (M6): complete rows only; each fold's rows get a share of cells
-    masked (portable hash); masked cells are imputed from the other folds' rows. The k nearest
-    donors are found once for the largest k; the estimate for every k is the mean of the first k
-    ranked donors, so all k are scored in one pass. Returns (k, mse, rmse, mae, std_mse, best)."""
-    from adlytics.operators.sampling import cell_mask, hash_folds
-    complete = df.na.drop(subset=cols).select(id_col, *cols)
-    f = hash_folds(complete, id_col, folds, seed)
-    m = cell_mask(f, id_col, cols, mask_rate, seed)
-    kmax = max(k_values)
-    parts = None
-    for fold in range(folds):
-        test = m.filter(F.col("fold") == fold)
-        train = m.filter(F.col("fold") != fold).select(id_col, *cols)
-        masked = test.select(id_col, *[F.when(F.col(f"{c}_masked"), F.lit(None)).otherwise(col(c)).alias(c) for c in cols])
-        nb = knn_neighbours(masked, cols, id_col, kmax, train).withColumn("fold", F.lit(fold))
-        truth = test.select(id_col, F.explode(F.array(*[F.struct(F.lit(c).alias("target"), col(c).cast("double").alias("truth"))
-                                                          for c in cols])).alias("t")).select(id_col, "t.*")
-        nb = nb.join(truth, [id_col, "target"])
-        parts = nb if parts is None else parts.unionByName(nb)
-    w = Window.partitionBy("fold", id_col, "target").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    cum = parts.withColumn("est", F.avg("value").over(w))
-    per = cum.filter(F.col("rank").isin(*k_values)).withColumnRenamed("rank", "k") \
-        .withColumn("err", F.col("est") - F.col("truth"))
-    byfold = per.groupBy("k", "fold").agg(F.avg(F.col("err") ** 2).alias("mse"), F.avg(F.abs("err")).alias("mae"))
-    res = byfold.groupBy("k").agg(F.avg("mse").alias("mse"), F.stddev_samp("mse").alias("std_mse"),
-                                  F.avg("mae").alias("mae")).withColumn("rmse", F.sqrt("mse"))
-    key = {"mse": "mse", "rmse": "rmse", "mae": "mae"}[metric]
-    best = res.agg(F.min_by("k", F.struct(key, "k")).alias("best")).first()["best"]
-    return res.withColumn("best", F.col("k") == F.lit(best))
-
-
-def quick_k(df: DataFrame, cols: list[str], id_col: str, k_values=(3, 5, 7, 9, 11), min_rows: int = 50) -> int:
-    """Quick k (M7): 70/30 split by hash, 10 % of test cells masked, argmin MSE; small tables -> 5."""
-    n = df.na.drop(subset=cols).limit(min_rows).count()
-    if n < min_rows:
-        return 5
-    res = knn_k_search(df, cols, id_col, list(k_values), folds=3, mask_rate=0.1)
-    return int(res.filter("best").first()["k"])
+    """Choose k by cross-validation (M6): complete rows only; each row loses a share of its cells
+    (portable hash), which are estimated from the rows of the other folds.
+
+    One search for the largest k with donors told apart by fold gives every fold and every k: the
+    number of jobs depends on neither. Returns (k, mse, rmse, mae, std_mse, best)."""
+    from adlytics.operators.sampling import hash_folds
+    from adlytics.session import cut_lineage
+    complete = cut_lineage(hash_folds(df.na.drop(subset=cols).select(id_col, *cols), id_col, folds, seed))
+    masked, truth = _masked(complete, cols, id_col, mask_rate, seed)
+    return _scores(_errors(masked, complete, truth, cols, id_col, k_values, "fold"), metric)
+
+
+QUICK_K = (3, 5, 7, 9, 11)
+QUICK_DEFAULT, QUICK_MIN_ROWS = 5, 50
+
+
+def quick_k_table(df: DataFrame, cols: list[str], id_col: str, k_values=QUICK_K, seed: int = 42,
+                  test_share: float = 0.3, mask_rate: float = 0.1) -> DataFrame:
+    """Quick k (M7): complete rows split 70/30 by hash, a tenth of the test cells masked and
+    estimated from the training rows. Returns (k, mse, rmse, mae, std_mse, best)."""
+    from adlytics.session import cut_lineage
+    test = portable_unit(id_col, seed) < test_share
+    complete = cut_lineage(df.na.drop(subset=cols).select(id_col, *cols, test.cast("int").alias("fold")))
+    masked, truth = _masked(complete.filter("fold = 1"), cols, id_col, mask_rate, seed)
+    return _scores(_errors(masked, complete.filter("fold = 0"), truth, cols, id_col, list(k_values), "fold"), "mse")
+
+
+def quick_k(df: DataFrame, cols: list[str], id_col: str, k_values=QUICK_K, min_rows: int = QUICK_MIN_ROWS) -> int:
+    """The best k of ``quick_k_table``; 5 for a table of fewer than ``min_rows`` complete rows (M7, M8)."""
+    if df.na.drop(subset=cols).limit(min_rows).count() < min_rows:
+        return QUICK_DEFAULT
+    best = quick_k_table(df, cols, id_col, k_values).filter("best").first()
+    return int(best["k"]) if best else QUICK_DEFAULT

@@ -1,35 +1,44 @@
 """Training, tuning, ensembling and feature selection on ``pyspark.ml`` (L-1 ... L-22, C16, R6).
 
-Estimators are Spark's distributed ones; tuning uses ``CrossValidator`` with a stratified fold
-column; every model's output lands in one long score table (id, model, variant, y, p) so the
-evaluation operators work on all models in one job.
+Estimators are Spark's distributed ones. Cross-validation is a loop of its own, as ``CrossValidator``
+cannot resample inside folds: the training rows of every run, with the synthetic minority rows made
+from them (``resample``), are written once, and the fits of all points and folds run as named jobs
+on a bounded pool. Every model's output lands in one long score table (id, model, variant, y, p),
+so the evaluation operators work on all models in one job.
 """
 
 from __future__ import annotations
 
+import itertools
+import json
 import time
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlytics.functions.exprs import col, portable_unit, r6
+from adlytics.functions.exprs import col, r6
 from adlytics.operators import metrics as E
+from adlytics.operators.jobs import materialised, run_jobs, status_table, values
+from adlytics.operators.kernel import FourierFeatures
+from adlytics.operators.resample import ALL, RATIO, FoldFrames, synthetic_rows
+from adlytics.session import cut_lineage
 
 SEED = 42
+FAMILIES = ("gradboost", "randforest", "svm", "mlp", "xgboost")
+TUNE_FOLDS, STACK_FOLDS, PERMUTATIONS = 10, 5, 20
 
 
 # ----------------------------------------------------------------------------------- L-1, L-4
 def make_estimator(family: str, n_features: int, seed: int = SEED, label: str = "label"):
-    """Model family -> Spark estimator (L-1). The kernel SVM is re-aimed as a linear SVM with
-    Platt-calibrated probabilities; the second boosted-tree family is a GBT configuration."""
+    """Model family -> Spark estimator (L-1). The SVM is a linear one with Platt-calibrated
+    probabilities, over random Fourier features where its kernel is "rbf" (see ``pipeline``); the
+    second boosted-tree family is a GBT configuration."""
     if family == "gradboost":
         return GBTClassifier(labelCol=label, featuresCol="features", maxIter=30, maxDepth=4, stepSize=0.1,
                              subsamplingRate=0.8, seed=seed)
@@ -48,18 +57,45 @@ def make_estimator(family: str, n_features: int, seed: int = SEED, label: str =
     raise ValueError(f"unknown family {family!r}")
 
 
-def param_grid(family: str, est):
-    """Small hyper-parameter grids per family (L-4), Spark parameter names."""
-    g = ParamGridBuilder()
-    if family in ("gradboost", "xgboost"):
-        g = g.addGrid(est.maxDepth, [3, 5]).addGrid(est.stepSize, [0.05, 0.1])
-    elif family == "randforest":
-        g = g.addGrid(est.numTrees, [40, 80]).addGrid(est.maxDepth, [6, 10])
-    elif family == "mlp":
-        g = g.addGrid(est.stepSize, [0.03, 0.1])
-    elif family in ("svm", "lr"):
-        g = g.addGrid(est.regParam, [0.001, 0.01, 0.1])
-    return g.build()
+# The grids of the five families, by Spark's parameter names, and one of the
+# logistic regression. ``hidden``, ``kernel``, ``gamma`` and ``positive_weight`` shape the pipeline.
+GRIDS = {
+    "gradboost": {"maxIter": [50, 100, 200], "maxDepth": [3, 4, 5], "stepSize": [0.05, 0.1],
+                  "minInstancesPerNode": [5, 10], "subsamplingRate": [0.7, 0.8]},
+    "randforest": {"numTrees": [50, 100, 200], "maxDepth": [5, 10, 15], "minInstancesPerNode": [5, 10],
+                   "featureSubsetStrategy": ["sqrt", "log2"]},
+    "svm": {"regParam": [0.1, 0.01, 0.001], "kernel": ["rbf", "linear"], "gamma": ["scale", "auto"]},
+    "mlp": {"hidden": [[50], [100]], "maxIter": [50, 100, 200]},
+    "xgboost": {"maxIter": [50, 100, 200], "maxDepth": [3, 4, 5], "stepSize": [0.05, 0.1, 0.15],
+                "subsamplingRate": [0.7, 0.8], "featureSubsetStrategy": ["0.7", "0.8"], "positive_weight": [1.0, 5.0, 10.0]},
+    "lr": {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]},
+}
+# One value or two per parameter, for a first look.
+BRIEF_GRIDS = {
+    "gradboost": {"maxIter": [10], "maxDepth": [2, 3]},
+    "randforest": {"numTrees": [20], "maxDepth": [4, 8]},
+    "svm": {"regParam": [0.01], "kernel": ["rbf", "linear"]},
+    "mlp": {"hidden": [[8], [16]], "maxIter": [40]},
+    "xgboost": {"maxIter": [10], "maxDepth": [2], "positive_weight": [1.0, 5.0]},
+    "lr": {"regParam": [0.01, 0.1]},
+}
+SHAPING = ("hidden", "kernel", "gamma", "positive_weight")
+
+
+def grid_points(family: str, grid: str | dict | list = "full") -> list[dict]:
+    """The points of a family's grid (L-4): "full", "brief", {name: values}, or a list of points.
+    A kernel width without an RBF kernel is no point of its own."""
+    if isinstance(grid, list):
+        return grid
+    axes = grid if isinstance(grid, dict) else (GRIDS if grid == "full" else BRIEF_GRIDS)[family]
+    out = []
+    for values_ in itertools.product(*axes.values()):
+        point = dict(zip(axes, values_))
+        if point.get("kernel", "linear") != "rbf":
+            point.pop("gamma", None)
+        if point not in out:
+            out.append(point)
+    return out
 
 
 def clean_params(params: dict, supported: set[str]) -> dict:
@@ -72,15 +108,40 @@ def clean_params(params: dict, supported: set[str]) -> dict:
     return out
 
 
+def supported_params(family: str) -> set[str]:
+    """The names that ``pipeline`` takes for a family."""
+    shaping = {"mlp": {"hidden"}, "svm": {"kernel", "gamma"}, "xgboost": {"positive_weight"}, "gradboost": {"positive_weight"},
+               "randforest": {"positive_weight"}, "lr": {"positive_weight"}}[family]
+    return {p.name for p in make_estimator(family, 1).params} | shaping
+
+
 # ----------------------------------------------------------------------------------- L-3
-def pipeline(features: list[str], family: str, scale: bool = True, label: str = "label") -> Pipeline:
-    """Assemble -> scale (no centring: keeps sparse vectors sparse) -> classifier (L-3)."""
+def pipeline(features: list[str], family: str, scale: bool = True, label: str = "label", params: dict | None = None) -> Pipeline:
+    """Assemble -> scale (no centring: keeps sparse vectors sparse) -> classifier (L-3).
+
+    Oversampling between scaling and the classifier is a step of the training rows, not of the
+    pipeline (``resample.FoldFrames``), so nothing is resampled at prediction. ``params``: a point of
+    the family's grid."""
+    params = dict(params or {})
+    shape = {k: params.pop(k) for k in SHAPING if k in params}
+    rbf = family == "svm" and shape.get("kernel") == "rbf"
     stages = [VectorAssembler(inputCols=features, outputCol="raw_features", handleInvalid="keep")]
+    wide = "scaled_features" if rbf else "features"
     if scale:
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=False, withStd=True))
+        stages.append(StandardScaler(inputCol="raw_features", outputCol=wide, withMean=False, withStd=True))
     else:
-        stages[0].setOutputCol("features")
+        stages[0].setOutputCol(wide)
+    if rbf:
+        stages.append(FourierFeatures(inputCol=wide, outputCol="features", gamma=shape.get("gamma", "scale"), seed=SEED))
     est = make_estimator(family, len(features), label=label)
+    if "hidden" in shape:
+        est.setLayers([len(features), *shape["hidden"], 2])
+    if shape.get("positive_weight", 1.0) != 1.0:
+        w = float(shape["positive_weight"])
+        stages.append(SQLTransformer(statement=f"SELECT *, CASE WHEN `{label}` = 1 THEN {w}D ELSE 1D END AS row_weight FROM __THIS__"))
+        est.setWeightCol("row_weight")
+    if params:
+        est.setParams(**params)
     stages.append(est)
     if family == "svm":
         # Platt calibration inside the pipeline, fitted on the training rows: the SVM margin
@@ -91,56 +152,82 @@ def pipeline(features: list[str], family: str, scale: bool = True, label: str =
     return Pipeline(stages=stages)
 
 
-def classifier_stage(pipe: Pipeline):
-    """The tunable classifier stage of a pipeline (the SVM, not its calibration)."""
-    kinds = (GBTClassifier, RandomForestClassifier, MultilayerPerceptronClassifier, LinearSVC, LogisticRegression)
-    return [s for s in pipe.getStages() if isinstance(s, kinds)][0]
-
-
 def probability(scored: DataFrame, family: str) -> DataFrame:
     """Positive-class probability column ``p`` (L-1)."""
     return scored.withColumn("p", vector_to_array("probability")[1])
 
 
-def score(model: PipelineModel, df: DataFrame, id_col: str, family: str, tag: dict | None = None) -> DataFrame:
-    """(id, y, p, tags...) for a fitted pipeline."""
+def score(model: PipelineModel, df: DataFrame, id_col: str, family: str, tag: dict | None = None, keep=()) -> DataFrame:
+    """(id, y, p, kept columns..., tags...) for a fitted pipeline."""
     s = probability(model.transform(df), family)
-    return s.select(col(id_col).alias("id"), F.col("label").cast("int").alias("y"), r6("p").alias("p"),
+    return s.select(col(id_col).alias("id"), F.col("label").cast("int").alias("y"), r6("p").alias("p"), *keep,
                     *[F.lit(v).alias(k) for k, v in (tag or {}).items()])
 
 
+def f1_of(scored: DataFrame) -> float:
+    """F1 of class 1 of a frame with ``label`` and ``prediction``; 0 without any positive."""
+    one, hit = F.col("label") == 1, F.col("prediction") == 1
+    r = scored.agg(F.count_if(one & hit).alias("tp"), F.count_if(one != hit).alias("wrong")).first()
+    return 2 * r["tp"] / (2 * r["tp"] + r["wrong"]) if r["tp"] else 0.0
+
+
 # ----------------------------------------------------------------------------------- L-5, L-6
-def tune(train: DataFrame, features: list[str], family: str, fold_col: str = "fold", parallelism: int = 4):
-    """Grid search with a stratified fold column, scored by F1 of the positive class, refit on all
-    training rows (L-5)."""
-    pipe = pipeline(features, family)
-    est = classifier_stage(pipe)
-    ev = MulticlassClassificationEvaluator(labelCol="label", metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=param_grid(family, est), evaluator=ev,
-                        foldCol=fold_col, parallelism=parallelism, seed=SEED)
-    m = cv.fit(train)
-    return m.bestModel, float(max(m.avgMetrics))
-
-
-def evaluate_all(train: DataFrame, val: DataFrame, features: list[str], families: list[str], id_col: str,
-                 fold_col: str = "fold") -> tuple[DataFrame, DataFrame, dict]:
+def cross_validate(frames: FoldFrames, features: list[str], family: str, grid="full", parallelism: int = 4) -> list[dict]:
+    """One row (point, params, mean_f1, std_f1, folds) per point of the grid, best first (L-5):
+    positive-class F1 on each fold's own rows, after training on the run's rows. Ties keep the
+    grid's order."""
+    points = grid_points(family, grid)
+
+    def job(point, fold):
+        model = pipeline(features, family, params=point).fit(frames.training(fold))
+        return f1_of(model.transform(frames.scored(fold)))
+
+    spark = frames.rows.sparkSession
+    done = values(run_jobs(spark, {f"{family}/{i}/{k}": (lambda p=p, k=k: job(p, k)) for i, p in enumerate(points)
+                                   for k in frames.folds}, parallelism))
+    rows = []
+    for i, p in enumerate(points):
+        f1 = [done[f"{family}/{i}/{k}"] for k in frames.folds]
+        mean = sum(f1) / len(f1)
+        std = (sum((x - mean) ** 2 for x in f1) / max(len(f1) - 1, 1)) ** 0.5
+        rows.append({"point": i, "params": p, "mean_f1": mean, "std_f1": std, "folds": len(f1)})
+    return sorted(rows, key=lambda r: (-round(r["mean_f1"], 12), r["point"]))
+
+
+def tune(train: DataFrame, features: list[str], family: str, fold_col: str = "fold", parallelism: int = 4, grid="full",
+         id_col: str = "doc_id", resample: bool = True, frames: FoldFrames | None = None):
+    """(model refitted on all training rows at the best point, its mean F1 over the folds, all
+    points) (L-5). Training rows of every fit get their own synthetic minority rows."""
+    frames = frames or FoldFrames(train, features, id_col, "label", fold_col, resample)
+    rows = cross_validate(frames, features, family, grid, parallelism)
+    model = pipeline(features, family, params=rows[0]["params"]).fit(frames.training(ALL))
+    return model, rows[0]["mean_f1"], rows
+
+
+# Gaps between cross-validated and validation F1 that count as high and moderate.
+HIGH_GAP, MODERATE_GAP = 0.05, 0.03
+
+
+def evaluate_all(train: DataFrame, val: DataFrame, features: list[str], families=FAMILIES, id_col: str = "doc_id",
+                 fold_col: str = "fold", grid="full", resample: bool = True, parallelism: int = 4):
     """Tune every family, score val, and report F1/precision/recall/AUC, CV F1 and the gap with an
     overfit band (> .05 high, > .03 moderate) (L-6). Returns (results, val scores, models)."""
     spark = train.sparkSession
-    rows, scores, models = [], None, {}
+    frames = FoldFrames(train, features, id_col, "label", fold_col, resample)
+    rows, scores, models = [], [], {}
     for fam in families:
         t0 = time.time()
-        model, cv_f1 = tune(train, features, fam, fold_col)
+        model, cv_f1, points = tune(train, features, fam, fold_col, parallelism, grid, id_col, frames=frames)
         models[fam] = model
-        s = score(model, val, id_col, fam, {"model": fam})
-        scores = s if scores is None else scores.unionByName(s)
-        m = E.metrics_at_threshold(s, 0.5).first()
-        a = E.auc(s).first()["auc"]
-        rows.append((fam, cv_f1, m["f1"], m["precision"], m["recall"], a, cv_f1 - m["f1"], time.time() - t0))
-    res = spark.createDataFrame(rows, "model string, cv_f1 double, f1 double, precision double, recall double, "
-                                      "auc double, gap double, seconds double")
-    band = F.when(F.col("gap") > 0.05, "high").when(F.col("gap") > 0.03, "moderate").otherwise("low")
-    return res.withColumn("overfit", band).orderBy(F.col("f1").desc()), scores, models
+        scores.append(cut_lineage(score(model, val, id_col, fam, {"model": fam})))
+        rows.append((fam, cv_f1, json.dumps(points[0]["params"]), len(points), len(frames.folds), time.time() - t0))
+    scores = union_all(scores)
+    cv = spark.createDataFrame(rows, "model string, cv_f1 double, params string, n_points int, n_folds int, seconds double")
+    m = E.metrics_at_threshold(scores, 0.5, ["model"]).select("model", "f1", "precision", "recall")
+    gap = F.col("cv_f1") - F.col("f1")
+    band = F.when(gap > HIGH_GAP, "high").when(gap > MODERATE_GAP, "moderate").otherwise("low")
+    res = cv.join(m, "model").join(E.auc(scores, ["model"]), "model").withColumn("gap", gap).withColumn("overfit", band)
+    return res.orderBy(F.col("f1").desc(), "model"), scores, models
 
 
 # ----------------------------------------------------------------------------------- L-8 ... L-12
@@ -170,31 +257,72 @@ def stack_no_refit(scores: DataFrame, members: list[str], by: list[str] = (), lo
     return (m.join(best, list(by)) if by else m.withColumn("threshold", F.lit(best.first()["threshold"])))
 
 
-def oof_stack(train: DataFrame, test: DataFrame, features: list[str], families: list[str], id_col: str,
-              folds: int = 5, fold_col: str = "fold"):
-    """Refit stacking (L-11, L-12): out-of-fold probabilities of every base family (model fitted
-    on the other folds), pivoted into meta-features, a logistic meta-model on them; base models
-    are then refit on all training rows to produce the test meta-features."""
-    spark = train.sparkSession
-    oof = None
-    for fam in families:
-        for k in range(folds):
-            m = pipeline(features, fam).fit(train.filter(F.col(fold_col) != k))
-            s = score(m, train.filter(F.col(fold_col) == k), id_col, fam, {"model": fam})
-            oof = s if oof is None else oof.unionByName(s)
-    tst = None
-    for fam in families:
-        m = pipeline(features, fam).fit(train)
-        s = score(m, test, id_col, fam, {"model": fam})
-        tst = s if tst is None else tst.unionByName(s)
-    meta_tr = oof.groupBy("id", "y").pivot("model", families).agg(F.first("p"))
-    meta_te = tst.groupBy("id", "y").pivot("model", families).agg(F.first("p"))
-    va = VectorAssembler(inputCols=families, outputCol="features")
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100)
-    meta = lr.fit(va.transform(meta_tr.withColumn("label", F.col("y").cast("double"))))
-    out = meta.transform(va.transform(meta_te.withColumn("label", F.col("y").cast("double"))))
-    return out.select("id", "y", r6(vector_to_array("probability")[1]).alias("p")), \
-        spark.createDataFrame([(f, float(w)) for f, w in zip(families, meta.coefficients)], "model string, weight double")
+def oof_scores(variants: dict[str, tuple[FoldFrames, list[str], DataFrame]], families=FAMILIES, id_col: str = "doc_id",
+               params: dict[str, dict] | None = None, parallelism: int = 4):
+    """Scores of every (variant, family) (L-11, L-12): out of fold for the training rows, from a
+    refit on all of them for the rest. Returns (oof, rest, status, models).
+
+    ``variants``: name -> (fold frames, features, other rows with a ``split`` column). One job per
+    (variant, family, fold) fits on a run's training rows and writes the scores of the fold it left
+    out, with the fold and the run in every row, so no row is scored by a model that saw it. A
+    failed job shows in ``status``; its member has no scores there."""
+    spark = next(iter(variants.values()))[0].rows.sparkSession
+    models: dict[tuple[str, str], PipelineModel] = {}
+
+    def fold_job(v, fam, fold):
+        frames, feats, _ = variants[v]
+        m = pipeline(feats, fam, params=(params or {}).get(fam)).fit(frames.training(fold))
+        return materialised(score(m, frames.scored(fold), id_col, fam, {"variant": v, "model": fam, "fold": fold}))
+
+    def full_job(v, fam):
+        frames, feats, rest = variants[v]
+        models[v, fam] = m = pipeline(feats, fam, params=(params or {}).get(fam)).fit(frames.training(ALL))
+        return materialised(score(m, rest, id_col, fam, {"variant": v, "model": fam, "fold": ALL}, keep=["split"]))
+
+    jobs = {f"{v}/{fam}/{k}": (lambda v=v, fam=fam, k=k: fold_job(v, fam, k))
+            for v, (frames, _, _) in variants.items() for fam in families for k in frames.folds}
+    jobs |= {f"{v}/{fam}/all": (lambda v=v, fam=fam: full_job(v, fam)) for v in variants for fam in families}
+    done = run_jobs(spark, jobs, parallelism)
+    oof = [o.value for k, o in done.items() if o.ok and not k.endswith("/all")]
+    rest = [o.value for k, o in done.items() if o.ok and k.endswith("/all")]
+    if not oof or not rest:
+        values(done)
+        raise ValueError("no fold or no family to stack")
+    return union_all(oof), union_all(rest), status_table(spark, done), models
+
+
+MISSING_MEMBER = 0.5
+
+
+def meta_features(scores: DataFrame, keys: list[str], by=()) -> DataFrame:
+    """(id, by..., y, one column per member variant_model); a member without a score counts as 0.5."""
+    s = scores.withColumn("member", F.concat_ws("_", "variant", "model"))
+    wide = s.groupBy("id", *by, "y").pivot("member", keys).agg(F.first("p"))
+    return wide.fillna(MISSING_MEMBER, keys)
+
+
+def stack(oof: DataFrame, rest: DataFrame, keys: list[str] | None = None, meta=None, lo: int = 20, hi: int = 80) -> dict:
+    """A meta-model over the members' scores (L-11, L-12): fitted on the out-of-fold ones, applied to
+    the rest, with a threshold from split ``val`` and metrics of split ``test``.
+
+    ``keys``: members as variant_model, all by default; ``meta``: any classifier estimator, logistic
+    by default. Returns meta, keys, scores (id, split, y, p), threshold, test_metrics, weights."""
+    spark = oof.sparkSession
+    if keys is None:
+        keys = sorted({f"{r[0]}_{r[1]}" for r in oof.select("variant", "model").distinct().collect()})
+    va = VectorAssembler(inputCols=keys, outputCol="features")
+    meta = meta or LogisticRegression(maxIter=100)
+    meta = meta.copy().setParams(featuresCol="features", labelCol="label")
+    table = lambda s, by=(): va.transform(meta_features(s, keys, by).withColumn("label", F.col("y").cast("double")))
+    model = meta.fit(cut_lineage(table(oof)))
+    scored = cut_lineage(model.transform(table(rest, ["split"])).select(
+        "id", "split", "y", r6(vector_to_array("probability")[1]).alias("p")))
+    best = E.grid_threshold_search(scored.filter("split = 'val'"), lo=lo, hi=hi).first()
+    threshold = float(best["threshold"]) if best and best["threshold"] is not None else 0.5
+    weights = [(k, float(w)) for k, w in zip(keys, model.coefficients)] if hasattr(model, "coefficients") else []
+    return {"meta": model, "keys": keys, "scores": scored, "threshold": threshold,
+            "test_metrics": E.metrics_at_threshold(scored.filter("split = 'test'"), threshold),
+            "weights": spark.createDataFrame(weights, "member string, weight double")}
 
 
 # ----------------------------------------------------------------------------------- L-13 ... L-18, C16
@@ -209,79 +337,98 @@ def importances(model: PipelineModel, features: list[str]) -> list[float]:
     return [1.0] * len(features)
 
 
-def rfecv(train: DataFrame, features: list[str], family: str = "randforest", step: float = 0.2,
-          min_features: int = 2, folds: int = 3, fold_col: str = "fold"):
-    """Recursive elimination with cross-validated F1 per size (L-13). Each round drops the
-    ``step`` share (at least one) of the least important features. Returns (table of
-    (n_features, mean_f1, std_f1, features), best list, ranking table)."""
+def rfecv(train: DataFrame, features: list[str], family: str = "randforest", step: float = 1,
+          min_features: int = 1, folds: int = STACK_FOLDS, fold_col: str = "fold", params: dict | None = None, parallelism: int = 4):
+    """Recursive elimination with cross-validated F1 per size (L-13). Each round drops ``step``
+    features (a number of one or more, or a share below one) of the least importance, the fits of a
+    round run together. Returns (table of (n_features, mean_f1, std_f1, features), best list,
+    ranking table of (feature, ranking, selected)); of equal scores the smaller set wins."""
     spark = train.sparkSession
-    current = list(features)
-    rows, ranking, rank_out = [], {}, len(features)
-    ev = MulticlassClassificationEvaluator(labelCol="label", metricName="fMeasureByLabel", metricLabel=1.0)
+    data = cut_lineage(train.select(fold_col, "label", *features))
+    current, rows, left = list(features), [], []
     while True:
-        scores = []
-        for k in range(folds):
-            m = pipeline(current, family).fit(train.filter(F.col(fold_col) != k))
-            scores.append(ev.evaluate(m.transform(train.filter(F.col(fold_col) == k))))
+        def fold_job(k, cols=tuple(current)):
+            m = pipeline(list(cols), family, params=params).fit(data.filter(F.col(fold_col) != k))
+            return f1_of(m.transform(data.filter(F.col(fold_col) == k)))
+
+        def all_job(cols=tuple(current)):
+            return importances(pipeline(list(cols), family, params=params).fit(data), list(cols))
+        jobs = {f"rfecv/{len(current)}/{k}": (lambda k=k: fold_job(k)) for k in range(folds)}
+        done = values(run_jobs(spark, {**jobs, "rfecv/all": all_job}, parallelism))
+        scores = [done[k] for k in jobs]
         mean = sum(scores) / len(scores)
         std = (sum((s - mean) ** 2 for s in scores) / max(len(scores) - 1, 1)) ** 0.5
         rows.append((len(current), mean, std, ",".join(current)))
         if len(current) <= min_features:
             break
-        imp = importances(pipeline(current, family).fit(train), current)
-        n_drop = max(1, int(len(current) * step))
-        order = sorted(range(len(current)), key=lambda i: (imp[i], current[i]))
-        for i in order[:n_drop]:
-            ranking[current[i]] = rank_out
-            rank_out -= 1
+        n_drop = min(max(1, int(len(current) * step) if step < 1 else int(step)), len(current) - min_features)
+        order = sorted(range(len(current)), key=lambda i: (done["rfecv/all"][i], current[i]))
+        left.append([current[i] for i in order[:n_drop]])
         current = [c for i, c in enumerate(current) if i not in set(order[:n_drop])]
-    for c in current:
-        ranking[c] = 1
+    best = max(rows, key=lambda r: (round(r[1], 12), -r[0]))[3].split(",")
+    # selected columns rank 1, the ones that went last rank 2, and so on
+    ranking, rank = dict.fromkeys(best, 1), 2
+    for gone in reversed([g for g in left if not set(g) <= set(best)]):
+        ranking.update({c: rank for c in gone if c not in best})
+        rank += 1
     tab = spark.createDataFrame(rows, "n_features int, mean_f1 double, std_f1 double, features string")
-    best = max(rows, key=lambda r: (round(r[1], 12), -r[0]))
-    rk = spark.createDataFrame(sorted(ranking.items(), key=lambda t: t[1]), "feature string, ranking int")
-    return tab, best[3].split(","), rk
+    rk = spark.createDataFrame([(c, ranking[c], c in best) for c in features], "feature string, ranking int, selected boolean")
+    return tab, best, rk
+
+
+def selection_summary(tab: DataFrame, importance: DataFrame, top: int = 5) -> DataFrame:
+    """One row (n_features, best_score, best_feature, max_importance, min_importance, top_features)
+    of an elimination table and an importance table (feature, importance) (L-17)."""
+    t = tab.agg(F.max_by("n_features", F.struct(F.round("mean_f1", 12), -F.col("n_features"))).alias("n_features"),
+                F.max("mean_f1").alias("best_score"))
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("importance")).alias("i"), "feature")))     # one row per column
+    i = importance.agg(F.max_by("feature", F.struct("importance", "feature")).alias("best_feature"),
+                       F.max("importance").alias("max_importance"), F.min("importance").alias("min_importance"),
+                       F.array_join(F.slice(ranked, 1, top)["feature"], ",").alias("top_features"))
+    return t.withColumn("_k", F.lit(1)).join(i.withColumn("_k", F.lit(1)), "_k").drop("_k")     # one row each
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str], family: str,
-                           repeats: int = 5, id_col: str = "id", seed: int = SEED) -> DataFrame:
-    """F1 drop when one feature's values are permuted across rows (L-15).
+                           repeats: int = PERMUTATIONS, id_col: str = "id", seed: int = SEED) -> DataFrame:
+    """(feature, mean_drop, std_drop): F1 drop when one feature's values are permuted across rows
+    (L-15), largest first.
 
     A permutation pairs each row's rank in one hash order with the row of equal rank in another
-    hash order (bucketed ranks of ``sampling.class_rank``: no single-partition window). It does
-    not depend on the feature, so each repeat builds it once, attaches every partner value and
-    materialises the result; each feature's score then swaps in one column."""
+    (bucketed ranks of ``sampling.class_rank``), for all repeats in one pass. The rows with one
+    column taken from their partner are scored by one job for all features and repeats, and counted
+    per (feature, repeat)."""
     from adlytics.operators.sampling import class_rank
-    from adlytics.session import cut_lineage
-    ev = MulticlassClassificationEvaluator(labelCol="label", metricName="fMeasureByLabel", metricLabel=1.0)
-    base = ev.evaluate(model.transform(df))
-    one = df.withColumn("_all", F.lit(0))
-    drops = {f: [] for f in features}
-    for r in range(repeats):
-        a = class_rank(one, id_col, "_all", seed + 2 * r).select(col(id_col), F.col("_rank").alias("_ra"))
-        b = class_rank(one, id_col, "_all", seed + 2 * r + 1).select(
-            F.col("_rank").alias("_ra"), *[col(f).alias(f"_pv_{i}") for i, f in enumerate(features)])
-        pj = cut_lineage(df.join(a, id_col).join(b, "_ra").drop("_ra"))
-        for i, f in enumerate(features):
-            perm = pj.withColumn(f, F.col(f"_pv_{i}"))
-            drops[f].append(base - ev.evaluate(model.transform(perm)))
-    rows = []
-    for f in features:
-        d = drops[f]
-        mean = sum(d) / len(d)
-        std = (sum((x - mean) ** 2 for x in d) / max(len(d) - 1, 1)) ** 0.5
-        rows.append((f, mean, std))
-    return df.sparkSession.createDataFrame(rows, "feature string, mean_drop double, std_drop double") \
-        .orderBy(F.col("mean_drop").desc(), "feature")
-
-
-def linear_attribution(df: DataFrame, features: list[str], label: str = "label", id_col: str = "id") -> DataFrame:
-    """Closed-form attribution of a logistic model: beta_j (x_j - mean_j) per row and feature,
-    averaged in absolute value per feature over the full table (L-18)."""
+    base = f1_of(model.transform(df))
+    vec = F.array(*[col(f).cast("double") for f in features])
+    every = cut_lineage(df.select(col(id_col).alias("_id"), "label", vec.alias("_x")))
+    rep = every.select("_id", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_rep"))
+    own = F.col("_rep").cast("long") * 2 + seed                 # two unrelated orders per repeat
+    a = class_rank(rep, "_id", "_rep", own).select("_id", "_rep", "_rank")
+    b = class_rank(rep, "_id", "_rep", own + 1).select(F.col("_id").alias("_with"), "_rep", "_rank")
+    partner = a.join(b, ["_rep", "_rank"]).select("_id", "_rep", "_with")
+    both = every.join(partner, "_id").join(every.select(F.col("_id").alias("_with"), F.col("_x").alias("_y")), "_with")
+    swapped = both.select("label", "_rep", "_x", "_y", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("_f"))
+    mixed = F.transform("_x", lambda x, i: F.when(i == F.col("_f"), F.get("_y", i)).otherwise(x))
+    rows = swapped.select("label", "_rep", "_f", mixed.alias("_v")).select(
+        "label", "_rep", "_f", *[F.col("_v")[i].alias(f) for i, f in enumerate(features)])
+    one, hit = F.col("label") == 1, F.col("prediction") == 1
+    counts = model.transform(rows).groupBy("_f", "_rep").agg(F.count_if(one & hit).alias("tp"), F.count_if(one != hit).alias("wrong"))
+    drop = F.lit(base) - F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("wrong")), F.lit(0.0))
+    per = counts.groupBy("_f").agg(F.avg(drop).alias("mean_drop"), F.coalesce(F.stddev_samp(drop), F.lit(0.0)).alias("std_drop"))
+    name = F.element_at(F.array(*map(F.lit, features)), F.col("_f") + 1)
+    return per.select(name.alias("feature"), "mean_drop", "std_drop").orderBy(F.col("mean_drop").desc(), "feature")
+
+
+def linear_attribution(df: DataFrame, features: list[str], label: str = "label", id_col: str = "id",
+                       train: DataFrame | None = None) -> DataFrame:
+    """Closed-form attribution of a logistic model fitted on ``train`` (``df`` by default):
+    beta_j (x_j - mean_j) per row and feature, averaged in absolute value per feature over the full
+    table ``df``; means are of the training rows (L-18). Trees: ``attribution.tree_attribution``."""
+    train = df if train is None else train
     va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    m = LogisticRegression(featuresCol="features", labelCol=label, maxIter=100, regParam=0.01).fit(va.transform(df))
+    m = LogisticRegression(featuresCol="features", labelCol=label, maxIter=100, regParam=0.01).fit(va.transform(train))
     beta = [float(x) for x in m.coefficients.toArray()]
-    means = df.agg(*[F.avg(col(f)).alias(f) for f in features]).first()
+    means = train.agg(*[F.avg(col(f)).alias(f) for f in features]).first()
     contrib = [F.abs(F.lit(b) * (col(f) - F.lit(means[f] or 0.0))) for f, b in zip(features, beta)]
     a = df.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(contrib)]).first()
     return df.sparkSession.createDataFrame([(f, beta[i], a[f"a{i}"]) for i, f in enumerate(features)],
@@ -305,77 +452,41 @@ def combined_importance(df: DataFrame, features: list[str], target: str = "label
         .orderBy(F.col("importance").desc(), "column").limit(top_n)
 
 
-def load_pipeline(registry: DataFrame, model: str, imputation: str, version: str = "full") -> PipelineModel | None:
-    """Load a fitted pipeline by (model, imputation, version) from a registry table of paths;
-    missing -> None; full falls back to reduced (L-22)."""
-    for v in (version, "reduced") if version == "full" else (version,):
-        r = registry.filter((F.col("model") == model) & (F.col("imputation") == imputation)
-                            & (F.col("version") == v)).select("path").first()
-        if r is not None:
-            return PipelineModel.load(r[0])
-    return None
-
-
 # ----------------------------------------------------------------------------------- R6
 def borderline_smote(df: DataFrame, features: list[str], id_col: str, label: str = "label", m: int = 10,
-                     k: int = 5, ratio: float = 0.8, seed: int = SEED) -> DataFrame:
-    """Borderline-SMOTE-1 (R6): minority rows whose m nearest neighbours (all classes) include a
-    majority share in [m/2, m) are "in danger"; synthetic rows x + u (nn - x) are drawn toward
-    their k nearest minority neighbours until minority = ratio x majority. Neighbours come from the
-    exact banded search; u is a portable hash of (row, copy)."""
-    from adlytics.operators.knn import nearest
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    minority = min(counts, key=counts.get)
-    n_min, n_maj = counts[minority], max(counts.values())
-    need = int(ratio * n_maj) - n_min
-    if need <= 0:
-        return df
-    mins = df.filter(col(label) == minority)
-    nb = nearest(mins, df, features, m, id_col, id_col, d_extra=[label], exclude_self=True)
-    danger = nb.groupBy(id_col).agg(F.count_if(col(label) != minority).alias("n_maj")) \
-        .filter((F.col("n_maj") >= m / 2) & (F.col("n_maj") < m)).select(id_col)
-    n_danger = danger.count()
-    if n_danger == 0:
-        return df
-    from adlytics.operators.sampling import class_rank
-    src = mins.join(danger, id_col, "left_semi")
-    # every danger row makes need / n_danger copies, floored; the first rows in hash order one more
-    order = class_rank(src.select(id_col).withColumn("_all", F.lit(0)), id_col, "_all", seed).select(col(id_col), "_rank")
-    per, more = need // n_danger, need % n_danger
-    nn = nearest(src, mins, features, k, id_col, id_col, exclude_self=True)
-    donor_id = f"{id_col}_donor"
-    # copy c goes toward neighbour (c mod the number of neighbours) + 1
-    found = nn.groupBy(id_col).agg(F.max("rank").alias("_found"))
-    number = F.lit(per) + (F.col("_rank") <= more).cast("int")
-    copies = order.join(found, id_col).filter(number > 0).select(
-        col(id_col), "_rank", "_found", F.explode(F.sequence(F.lit(0), number - 1)).alias("copy"))
-    copies = copies.withColumn("rank", F.pmod(F.col("copy"), F.col("_found")) + 1)
-    pairs = copies.join(nn.select(id_col, donor_id, "rank"), [id_col, "rank"])
-    a = mins.select(col(id_col), *[col(f).alias(f"a_{f}") for f in features])
-    b = mins.select(col(id_col).alias(donor_id), *[col(f).alias(f"b_{f}") for f in features])
-    serial = (F.col("_rank").cast("long") - 1) * (per + 1) + F.col("copy")       # unique per copy
-    u = portable_unit(serial, seed)
-    syn = pairs.join(a, id_col).join(b, donor_id).select(
-        (-serial - 1).alias(id_col), F.lit(minority).alias(label),
-        *[(F.col(f"a_{f}") + u * (F.col(f"b_{f}") - F.col(f"a_{f}"))).alias(f) for f in features])
+                     k: int = 5, ratio: float = RATIO, seed: int = SEED) -> DataFrame:
+    """``df`` (id, label, features) with its Borderline-SMOTE-1 rows (R6), see
+    ``resample.synthetic_rows``; synthetic values are rounded to the column's type."""
     keep = [id_col, label, *features]
-    return df.select(*keep).unionByName(syn.select(*[col(c).cast(dict(df.dtypes)[c]) for c in keep]))
+    types = dict(df.dtypes)
+    syn = synthetic_rows(df, features, id_col, label, None, m, k, ratio, seed)
+    return df.select(*[col(c) for c in keep]).unionByName(syn.select(*[col(c).cast(types[c]).alias(c) for c in keep]))
+
+
+# ----------------------------------------------------------------------------------- L-19
+RUN_SCHEMA = ("run string, status string, error string, n_rows long, n_cols int, reduction_rate double, n_nulls long, "
+              "seconds double")
 
 
-def timed_runs(fns: dict, spark) -> DataFrame:
-    """Per-run seconds and status for a set of named callables returning a DataFrame (L-19)."""
+def timed_runs(fns: dict, spark, n_cols_before: int | None = None) -> DataFrame:
+    """(run, status, error, n_rows, n_cols, reduction_rate, n_nulls, seconds) of named callables that
+    return a DataFrame (L-19). Each runs to its end as a job of its own; a failing one has a status."""
+    def whole(fn):
+        d = fn()
+        nulls = F.lit(0).cast("long")
+        cells = F.array(*[col(c).isNull().cast("int") for c in d.columns])
+        r = d.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.aggregate(cells, F.lit(0), lambda a, x: a + x)), nulls).alias("nulls")).first()
+        return r["n"], len(d.columns), r["nulls"]
+
+    done = run_jobs(spark, {name: (lambda fn=fn: whole(fn)) for name, fn in fns.items()}, parallelism=1)
     rows = []
-    for name, fn in fns.items():
-        t0 = time.time()
-        try:
-            d = fn()
-            n_cols = len(d.columns)
-            n = d.count()
-            rows.append((name, "ok", n, n_cols, time.time() - t0))
-        except Exception as e:  # reported
-            rows.append((name, f"failed: {type(e).__name__}", None, None, time.time() - t0))
-    return spark.createDataFrame(rows, "run string, status string, n_rows long, n_cols int, seconds double")
+    for name, o in done.items():
+        n, cols, nulls = o.value or (None, None, None)
+        rate = 1 - cols / n_cols_before if cols and n_cols_before else None
+        rows.append((name, "ok" if o.ok else "failed", o.message, n, cols, rate, nulls, o.seconds))
+    return spark.createDataFrame(rows, RUN_SCHEMA)
 
 
 def union_all(dfs):
     return reduce(lambda a, b: a.unionByName(b), dfs)
+
