@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from adlytics.session import scratch_path
 from adlytics.sources import io as S
 
 DW = T.doc_wide_sql()
+DL = T.doc_labelled_sql()
 BIN = T.doc_binary_cols()
 CONT = T.DOC_CONT
 FEATS = CONT + ["X4"] + BIN
@@ -37,7 +39,7 @@ def _dirty(spark, sf_dir):
     dw = T.doc_wide(spark, sf_dir)
     last = BIN[-1]
     cols = [F.col("doc_id").alias('"doc_id"'),
-            F.when(F.col("y") == 1, F.lit(" Ad. ")).otherwise(F.lit("noad.")).alias("outcome")]
+            F.when(F.col("y") == 1, F.lit(" Ad. ")).when(F.col("y") == 0, F.lit("noad.")).alias("outcome")]
     cols += [F.col(c).alias(f'"{c}"') for c in FEATS if c != last]
     cols += [F.col("X2").alias("X2.1"), F.col(last).alias(f"{last}.1")]
     return dw.select(*cols)
@@ -47,13 +49,14 @@ def _typed(df):
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in TYPES.items()])
 
 
-_DW_SQL = f"SELECT * FROM {DW} d"
+_DW_SQL = f"SELECT * FROM {DL} d"
 
 
 @register("s01_read_delimited_sep_fallback", _DW_SQL)
 def s01(spark, sf_dir):
     path = _fresh(spark, "s01")
-    _dirty(spark, sf_dir).write.option("header", True).option("escape", '"').option("nullValue", "?").csv(path)  # comma
+    labelled = _dirty(spark, sf_dir).filter("outcome IS NOT NULL")
+    labelled.write.option("header", True).option("escape", '"').option("nullValue", "?").csv(path)  # comma
     df = S.read_delimited(spark, path, null_value="?")          # tab tried first, then comma
     df = S.require_columns(df, ["outcome"])
     return _typed(P.encode_target(df, "outcome", "y"))
@@ -68,22 +71,40 @@ def s02(spark, sf_dir):
     return _typed(df.withColumn("y", F.lit(0))).drop("y")
 
 
-@register("s03_row_ids")
+@register("s03_row_ids", "SELECT CAST(unnest(range(1, (SELECT count(*) + 1 FROM documents))) AS BIGINT) AS \"ID\"")
 def s03(spark, sf_dir):
     path = _fresh(spark, "s03")
     _dirty(spark, sf_dir).drop("outcome").write.option("header", True).option("escape", '"').option("sep", "\t") \
         .option("nullValue", "?").csv(path)
-    return S.with_row_ids(S.read_delimited(spark, path, null_value="?"), "ID", 1).select("ID", "doc_id")
+    return S.with_row_ids(S.read_delimited(spark, path, null_value="?"), "ID", 1).select("ID")
 
 
-@register("s05_shape_report", f"""SELECT count(*) AS n_rows, {len(TYPES)} AS n_cols, count(*) = 399 AS matches
-FROM {DW} d""")
+@register("s05_shape_report", f"""WITH n AS (SELECT count(*) AS d, (SELECT count(*) FROM labels) AS l FROM documents)
+SELECT 'documents' AS expected, d AS n_rows, {len(TYPES)} AS n_cols, true AS matches FROM n
+UNION ALL SELECT 'labels', d, {len(TYPES)}, d = l FROM n UNION ALL SELECT 'columns', d, {len(TYPES)}, false FROM n""")
 def s05(spark, sf_dir):
-    return S.shape_report(T.doc_wide(spark, sf_dir), 399, len(TYPES))
-
-
-@register("s06_variant_partitions", """SELECT doc_id, toxic AS y, 'median' AS variant FROM labels
-  JOIN documents USING (doc_id)""")
+    """The shape against the documents' rows, the labels' rows, and one column too many."""
+    dw = T.doc_wide(spark, sf_dir)
+    rows = {t: T.read(spark, sf_dir, t).count() for t in ("documents", "labels")}
+    asked = [("documents", rows["documents"], len(TYPES)), ("labels", rows["labels"], len(TYPES)), ("columns", rows["documents"], len(TYPES) + 1)]
+    return reduce(lambda a, b: a.unionByName(b), [S.shape_report(dw, n, c).withColumn("expected", F.lit(e)) for e, n, c in asked])
+
+
+@register("s04_required_columns", """SELECT 'doc_id,y' AS required, CAST(NULL AS VARCHAR) AS error, (SELECT count(*) FROM documents) AS n_rows
+UNION ALL SELECT 'doc_id,outcome', 'missing required columns: [''outcome'']', NULL""")
+def s04(spark, sf_dir):
+    """A table with its required columns, and one without."""
+    rows = []
+    for need in (["doc_id", "y"], ["doc_id", "outcome"]):
+        try:
+            rows.append((",".join(need), None, S.require_columns(T.doc_wide(spark, sf_dir), need).count()))
+        except ValueError as e:
+            rows.append((",".join(need), str(e), None))
+    return spark.createDataFrame(rows, "required string, error string, n_rows long")
+
+
+@register("s06_variant_partitions", """SELECT doc_id, toxic AS y, 'median' AS variant FROM documents
+  LEFT JOIN labels USING (doc_id)""")
 def s06(spark, sf_dir):
     dw = T.doc_wide(spark, sf_dir)
     root = _fresh(spark, "s06")
@@ -105,11 +126,16 @@ def s07(spark, sf_dir):
                        *[F.col(c).cast("double") for c in CONT])
 
 
-@register("s09_export_formats")
+@register("s09_export_formats", f"""WITH d AS {DW}, f AS (SELECT * FROM (VALUES ('parquet'), ('csv')) AS f(format))
+SELECT 'wide' AS dataset, format, count(*) AS n_rows, count(X1) AS n_x1 FROM d, f GROUP BY format
+UNION ALL SELECT 'wide_median', format, count(*), count(*) FROM d, f GROUP BY format""")
 def s09(spark, sf_dir):
+    """Every dataset in every format, counted from the files."""
     dw = T.doc_wide(spark, sf_dir)
     listing = S.export_formats({"wide": dw, "wide_median": M.median_fill(dw, CONT)}, _fresh(spark, "s09"))
-    return listing.select("dataset", "format")
+    back = [S.read_table(spark, r["path"]).agg(F.count(F.lit(1)).alias("n_rows"), F.count("X1").alias("n_x1"))
+            .select(F.lit(r["dataset"]).alias("dataset"), F.lit(r["format"]).alias("format"), "n_rows", "n_x1") for r in listing.collect()]
+    return reduce(lambda a, b: a.unionByName(b), back)
 
 
 @register("s11_s12_thresholds_json")
@@ -130,7 +156,11 @@ def s11(spark, sf_dir):
     return out
 
 
-@register("s13_comparison_table")
+@register("s13_comparison_table", f"""WITH s AS {T.scores_sql()},
+m AS (SELECT split, imputation, model, count_if(p >= 0.5 AND y = 1) AS tp, count_if(p >= 0.5 AND y = 0) AS fp,
+  count_if(p < 0.5 AND y = 1) AS fn FROM s WHERE split IN ('val', 'test') GROUP BY 1, 2, 3)
+SELECT imputation, model, CASE split WHEN 'val' THEN 'validation' ELSE 'by file name' END AS label,
+  {r6('CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END')} AS score FROM m""")
 def s13(spark, sf_dir):
     from adlytics.operators import metrics as E
     s = T.scores(spark, sf_dir)
@@ -141,17 +171,23 @@ def s13(spark, sf_dir):
         p = os.path.join(base, split)
         S.write_results_json(m.withColumnRenamed("f1", f"{split}_f1"), p)
         paths.append(p)
-    details = spark.createDataFrame([("none", "no label")], "file string, label string")
-    return S.comparison_from_files(spark, paths, details).select("imputation", "model", "label", "score")
+    # a label for the validation files only: the others show their own names, the source that is known
+    files = spark.read.json(paths[0]).select(F.col("_metadata.file_name").alias("file")).distinct()
+    details = files.withColumn("label", F.lit("validation"))
+    return S.comparison_from_files(spark, paths, details).select(
+        "imputation", "model", F.when(F.col("label") == "validation", F.col("label")).otherwise("by file name").alias("label"), "score")
 
 
-@register("s15_batch_process")
+@register("s15_batch_process", """SELECT 'wide' AS dataset, 'ok' AS status, (SELECT count(*) FROM documents) AS n_rows
+UNION ALL SELECT 'no_x1', 'failed', NULL UNION ALL SELECT 'bad_cell', 'failed', NULL""")
 def s15(spark, sf_dir):
+    """Three data sets, one without a column and one whose job fails on a cell: the third is whole."""
     dw = T.doc_wide(spark, sf_dir)
-    ok = lambda d: M.median_fill(d, CONT)
-    outs, status = S.batch_process({"wide": dw, "no_x1": dw.drop("X1")},
-                                   lambda d: ok(P.strict_align(d, FEATS, ["doc_id", "y"])))
-    return status
+    bad = dw.withColumn("X2", F.when(F.col("doc_id") % 10 == 3, F.lit("x")).otherwise(F.lit("1")).cast("double"))
+    outs, status = S.batch_process({"wide": dw, "no_x1": dw.drop("X1"), "bad_cell": bad},
+                                   lambda d: M.fill_values(P.strict_align(d, FEATS, ["doc_id", "y"]), {"X1": 0.0}))
+    n = F.lit(outs["wide"].count())
+    return status.select("dataset", "status", F.when(F.col("status") == "ok", n).alias("n_rows"))
 
 
 # ------------------------------------------------------------------ P
@@ -176,10 +212,12 @@ def p05(spark, sf_dir):
     return P.decode_target(T.read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("y")), "y", "label")
 
 
-@register("p06_coerce_numeric", """SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, CAST(0.0 AS DOUBLE) AS p_name FROM part""")
+@register("p06_coerce_numeric", """SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(p_size AS DOUBLE) END AS p_size,
+  CAST(0.0 AS DOUBLE) AS p_name FROM part""")
 def p06(spark, sf_dir):
     part = T.read(spark, sf_dir, "part").select(
-        "p_partkey", F.concat(F.lit("\""), F.col("p_size").cast("string"), F.lit("'")).alias("p_size"),
+        "p_partkey", F.concat(F.lit("\""), F.when(F.col("p_partkey") % 7 == 0, F.lit("12 pieces")).otherwise(F.col("p_size").cast("string")),
+                              F.lit("'")).alias("p_size"),
         F.col("p_name"))
     return P.coerce_numeric(part, ["p_size", "p_name"], fill=0.0)
 
@@ -223,7 +261,7 @@ def p13(spark, sf_dir):
     return P.reorder_priority(T.doc_wide(spark, sf_dir).select("doc_id", "X1", "y", "X4"), ["X4"], "y")
 
 
-@register("p14_dedupe_columns")
+@register("p14_dedupe_columns", f"SELECT doc_id, X1 FROM {DW} d")
 def p14(spark, sf_dir):
     d = T.doc_wide(spark, sf_dir).select("doc_id", "X1", "X2")
     return P.dedupe_columns(d.toDF("doc_id", "X1", "X1"))
@@ -235,9 +273,13 @@ def p15(spark, sf_dir):
     return sel.transform(T.doc_wide(spark, sf_dir))
 
 
-@register("p16_sanitize_numeric", f"SELECT doc_id, {', '.join(f'coalesce({c}, 0.0) AS {c}' for c in CONT)} FROM {DW} d")
+@register("p16_sanitize_numeric", f"""SELECT doc_id, {', '.join(f'CASE WHEN doc_id % 11 IN (1, 2, 3) THEN 0.0 ELSE coalesce({c}, 0.0) END AS {c}' for c in CONT)}
+FROM {DW} d""")
 def p16(spark, sf_dir):
-    return P.sanitize_numeric(T.doc_wide(spark, sf_dir).select("doc_id", *CONT))
+    """NaN and both infinities in three of eleven rows, NULLs elsewhere."""
+    k = F.col("doc_id") % 11
+    odd = lambda c: F.when(k == 1, float("nan")).when(k == 2, float("inf")).when(k == 3, float("-inf")).otherwise(F.col(c))
+    return P.sanitize_numeric(T.doc_wide(spark, sf_dir).select("doc_id", *[odd(c).alias(c) for c in CONT]))
 
 
 @register("p17_predict_at_threshold", f"""SELECT id, imputation, model, CAST(p >= 0.5 AS INTEGER) AS pred

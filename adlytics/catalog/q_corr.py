@@ -9,10 +9,12 @@ from adlytics.catalog.registry import register
 from adlytics.catalog.sqlgen import melt_sql, r6
 from adlytics.functions.exprs import portable_hash_sql
 from adlytics.operators import corr as C
+from adlytics.operators.phi import phi_pairs
 
 LN = T.LINEITEM_NULLS_SQL
 LNF = T.LINE_FEATURES
 DW = T.doc_wide_sql()
+DL = T.doc_labelled_sql()
 BIN = T.doc_binary_cols()
 CONT = T.DOC_CONT
 FEATS = CONT + ["X4"] + BIN
@@ -74,12 +76,12 @@ _BIN_PAIRS = f"WITH dw AS {DW} SELECT * FROM {_pairs_sql('dw', BIN, 'doc_id')}"
 
 @register("c05_binary_phi_pairs", _BIN_PAIRS)
 def c05(spark, sf_dir):
-    return C.gram_corr_pairs(T.doc_wide(spark, sf_dir), BIN)
+    return phi_pairs(T.doc_wide(spark, sf_dir), BIN)
 
 
 @register("c05_binary_phi_pairs_095", f"SELECT * FROM ({_BIN_PAIRS}) WHERE abs(r) > 0.95")
 def c05b(spark, sf_dir):
-    return C.gram_corr_pairs(T.doc_wide(spark, sf_dir), BIN, threshold=0.95)
+    return phi_pairs(T.doc_wide(spark, sf_dir), BIN, 0.95)
 
 
 @register("c05_binary_phi_pairs_blocked", _BIN_PAIRS)
@@ -95,8 +97,8 @@ _RED_PAIRS = f"WITH dw AS {DW} SELECT * FROM {_pairs_sql('dw', RED, 'doc_id')}"
 e AS (SELECT var1 AS "column" FROM h UNION ALL SELECT var2 FROM h)
 SELECT "column", count(*) AS n_partners FROM e GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def c06(spark, sf_dir):
-    pairs = C.corr_pairs(T.doc_wide(spark, sf_dir), RED)
-    return C.redundancy_degree(pairs.filter(F.abs("r") > T_RED))
+    pairs = phi_pairs(T.doc_wide(spark, sf_dir), RED, T_RED)
+    return C.redundancy_degree(pairs)
 
 
 @register("c07_stratified_column_sample", f"""WITH dw AS {DW},
@@ -104,18 +106,8 @@ pos AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(B
 r AS (SELECT "column", avg(value) AS rate FROM {melt_sql('dw', BIN)} GROUP BY 1),
 b AS (SELECT r."column", rate, pos, ntile(4) OVER (ORDER BY rate, pos) AS bucket FROM r JOIN pos USING ("column")),
 k AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY {portable_hash_sql("pos", 42)}, pos) AS pick FROM b)
-SELECT "column", {r6('rate')} AS rate, bucket, pick FROM k WHERE pick <= 5""")
-def c07(spark, sf_dir):
-    return C.stratified_column_sample(T.doc_wide(spark, sf_dir), BIN, per_bucket=5)
-
-
-@register("c07_column_sample_ten", f"""WITH dw AS {DW},
-pos AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(BIN))}) AS p("column", pos)),
-r AS (SELECT "column", avg(value) AS rate FROM {melt_sql('dw', BIN)} GROUP BY 1),
-b AS (SELECT r."column", rate, pos, ntile(4) OVER (ORDER BY rate, pos) AS bucket FROM r JOIN pos USING ("column")),
-k AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY {portable_hash_sql("pos", 42)}, pos) AS pick FROM b)
 SELECT "column", {r6('rate')} AS rate, bucket, pick FROM k WHERE pick <= 10""")
-def c07_ten(spark, sf_dir):
+def c07(spark, sf_dir):
     return C.stratified_column_sample(T.doc_wide(spark, sf_dir), BIN, per_bucket=10)
 
 
@@ -132,13 +124,13 @@ m AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY member) AS no FROM u)
 SELECT CAST(row_number() OVER (ORDER BY g) - 1 AS INTEGER) AS group_id, min(member) AS head,
   string_agg(member, ',' ORDER BY member) AS members, CAST(count(*) AS INTEGER) AS size FROM m GROUP BY g""")
 def c08(spark, sf_dir):
-    return C.groups_table(C.correlated_groups(C.corr_pairs(T.doc_wide(spark, sf_dir), RED), RED, T_RED))
+    return C.groups_table(C.correlated_groups(phi_pairs(T.doc_wide(spark, sf_dir), RED, T_RED), RED, T_RED))
 
 
 @register("c09_groups_with_protection", f"""WITH p AS ({_RED_PAIRS}), {_groups_sql([c for c in RED if c != 'X4'])}
 SELECT CAST(g AS INTEGER) AS group_pos, member AS "column" FROM m WHERE no > 1""")
 def c09(spark, sf_dir):
-    pairs = C.corr_pairs(T.doc_wide(spark, sf_dir), RED)
+    pairs = phi_pairs(T.doc_wide(spark, sf_dir), RED, T_RED)
     return C.group_drops(pairs, RED, T_RED, exclude=["y"], protected=["X4"])
 
 
@@ -149,7 +141,7 @@ FROM h WHERE NOT (var1 = 'X4' AND var2 = 'X4')"""
 
 @register("c10_pairwise_drops", _DROP_SQL)
 def c10(spark, sf_dir):
-    return C.pairwise_drops(C.corr_pairs(T.doc_wide(spark, sf_dir), RED), T_RED, protected=["X4"])
+    return C.pairwise_drops(phi_pairs(T.doc_wide(spark, sf_dir), RED, T_RED), T_RED, protected=["X4"])
 
 
 _ALL = ["doc_id", "y"] + CONT + ["X4"] + BIN
@@ -163,7 +155,7 @@ o AS (SELECT section, rk, place, "column" FROM (VALUES {', '.join(f"('{n}', {k},
 SELECT CAST(row_number() OVER (ORDER BY rk, place, "column") - 1 AS INTEGER) AS pos, "column", section FROM o""")
 def c11(spark, sf_dir):
     dw = T.doc_wide(spark, sf_dir)
-    groups = C.correlated_groups(C.corr_pairs(dw, BIN), BIN, T_RED)
+    groups = C.correlated_groups(phi_pairs(dw, BIN, T_RED), BIN, T_RED)
     return C.keep_one_per_group(groups, dw.columns, "y", priority=["doc_id"], extra=CONT, protected=["X4"], binary=BIN)
 
 
@@ -172,7 +164,7 @@ a AS (SELECT * FROM (VALUES {', '.join(f"('{c}')" for c in _ALL)}) AS a("column"
 SELECT "column" FROM a WHERE "column" NOT IN (SELECT "column" FROM d)""")
 def c12(spark, sf_dir):
     dw = T.doc_wide(spark, sf_dir)
-    drops = [r[0] for r in C.pairwise_drops(C.corr_pairs(dw, RED), T_RED, protected=["X4"]).collect()]
+    drops = [r[0] for r in C.pairwise_drops(phi_pairs(dw, RED, T_RED), T_RED, protected=["X4"]).collect()]
     reduced = C.apply_drop_list(dw, drops, protected=["X4"])
     return spark.createDataFrame([(c,) for c in reduced.columns], "column string")
 
@@ -182,11 +174,11 @@ SELECT {len(_ALL)} AS cols_before, CAST({len(_ALL)} - k AS INTEGER) AS cols_afte
   {r6(f'100.0 * ({len(_ALL)} - k) / {len(_ALL)}')} AS kept_pct FROM n""")
 def c13(spark, sf_dir):
     dw = T.doc_wide(spark, sf_dir)
-    drops = [r[0] for r in C.pairwise_drops(C.corr_pairs(dw, RED), T_RED, protected=["X4"]).collect()]
+    drops = [r[0] for r in C.pairwise_drops(phi_pairs(dw, RED, T_RED), T_RED, protected=["X4"]).collect()]
     return C.reduction_impact(dw.columns, C.apply_drop_list(dw, drops, ["X4"]).columns, spark)
 
 
-_ANOVA_SQL = f"""WITH dw AS {DW}, g AS (SELECT "column", y AS k, count(*) AS n, sum(value) AS s, sum(value * value) AS ss
+_ANOVA_SQL = f"""WITH dw AS {DL}, g AS (SELECT "column", y AS k, count(*) AS n, sum(value) AS s, sum(value * value) AS ss
   FROM {melt_sql('dw', FEATS, ['y'])} WHERE value IS NOT NULL GROUP BY 1, 2),
 t AS (SELECT "column", sum(n) AS "N", sum(s) AS "S", sum(ss) AS "SS", count(*) AS "K", sum(s * s / n) AS "B" FROM g GROUP BY 1),
 f AS (SELECT "column", CASE WHEN "K" < 2 OR ("SS" - "B") = 0 THEN NULL
@@ -196,15 +188,30 @@ SELECT "column", {r6('f')} AS f, {r6('f / max(f) OVER ()')} AS f_norm FROM f"""
 
 @register("c14_anova_f", _ANOVA_SQL)
 def c14(spark, sf_dir):
-    return C.anova_f(T.doc_wide(spark, sf_dir), FEATS, "y")
+    return C.anova_f(T.doc_labelled(spark, sf_dir), FEATS, "y")
 
 
 @register("c15_k_best", f"""SELECT * FROM ({_ANOVA_SQL}) WHERE f IS NOT NULL ORDER BY f DESC, "column" LIMIT 10""")
 def c15(spark, sf_dir):
-    return C.k_best(T.doc_wide(spark, sf_dir), FEATS, "y", 10)
+    return C.k_best(T.doc_labelled(spark, sf_dir), FEATS, "y", 10)
 
 
-@register("c17_full_correlation_report")
+@register("c17_full_correlation_report", f"""WITH dw AS {DW},
+tr AS (SELECT "column", {r6(_safe('value', 'y'))} AS r FROM {melt_sql('dw', CONT + BIN, ['y'])} GROUP BY "column"),
+tt AS (SELECT *, abs(r) AS abs_r FROM tr WHERE r IS NOT NULL),
+pos AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(BIN))}) AS p("column", pos)),
+rt AS (SELECT "column", avg(value) AS rate FROM {melt_sql('dw', BIN)} GROUP BY 1),
+bk AS (SELECT rt."column", rate, pos, ntile(4) OVER (ORDER BY rate, pos) AS bucket FROM rt JOIN pos USING ("column")),
+sm AS (SELECT "column" FROM (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY {portable_hash_sql("pos", 42)}, pos) AS pick FROM bk) WHERE pick <= 10),
+pr AS (SELECT * FROM {_pairs_sql('dw', BIN, 'doc_id')}),
+hi AS (SELECT * FROM pr WHERE abs(r) > 0.95),
+dg AS (SELECT "column", count(*) AS n FROM (SELECT var1 AS "column" FROM hi UNION ALL SELECT var2 FROM hi) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)
+SELECT 'top' AS part, "column" AS var1, 'y' AS var2, r FROM (SELECT * FROM tt ORDER BY abs_r DESC, "column" LIMIT 10)
+UNION ALL SELECT 'bottom', "column", 'y', r FROM (SELECT * FROM tt ORDER BY abs_r, "column" LIMIT 10)
+UNION ALL SELECT 'target', "column", 'y', r FROM tr
+UNION ALL SELECT 'sample_pairs', var1, var2, r FROM pr WHERE abs(r) > 0.8 AND var1 IN (SELECT "column" FROM sm) AND var2 IN (SELECT "column" FROM sm)
+UNION ALL SELECT 'binary_pairs', var1, var2, r FROM hi
+UNION ALL SELECT 'degree', "column", 'partners', CAST(n AS DOUBLE) FROM dg""")
 def c17(spark, sf_dir):
     dw = T.doc_wide(spark, sf_dir)
     parts = C.full_correlation_report(dw, "y", BIN, CONT, per_bucket=10)
@@ -215,7 +222,8 @@ def c17(spark, sf_dir):
         out = p if out is None else out.unionByName(p)
     for name in ("sample_pairs", "binary_pairs"):
         out = out.unionByName(parts[name].select(F.lit(name).alias("part"), "var1", "var2", "r"))
-    return out
+    return out.unionByName(parts["degree"].select(F.lit("degree").alias("part"), F.col("column").alias("var1"),
+                                                  F.lit("partners").alias("var2"), F.col("n_partners").cast("double").alias("r")))
 
 
 @register("c19_bivariate_report", f"""WITH dw AS {DW},

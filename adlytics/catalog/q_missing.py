@@ -126,7 +126,12 @@ def m09(spark, sf_dir):
     return M.route_by_null_rate(T.lineitem_nulls(spark, sf_dir), LNF)
 
 
-@register("m09_conditional_impute")
+_M9 = " , ".join(f"avg(CAST({c} IS NULL AS DOUBLE)) AS n_{c}, avg({c}) AS a_{c}, quantile_cont({c}, 0.5) AS m_{c}" for c in LNF)
+
+
+@register("m09_conditional_impute", f"""WITH ln AS {LN}, q AS (SELECT {_M9} FROM ln)
+SELECT id, y, l_returnflag, {', '.join(f'coalesce({c}, CASE WHEN n_{c} > 0.05 THEN a_{c} ELSE m_{c} END) AS {c}' for c in LNF if c not in ('l_discount', 'price_unit'))}
+FROM ln, q WHERE n_l_discount > 0.3 AND n_price_unit > 0.3""")
 def m09c(spark, sf_dir):
     return M.conditional_impute(T.lineitem_nulls(spark, sf_dir), LNF)
 
@@ -216,7 +221,9 @@ def m11(spark, sf_dir):
     return M.ks_two_sample(v.filter(F.col("variant") == "raw"), v.filter(F.col("variant") == "median_capped"), LNF)
 
 
-@register("o04_scoring_outlier_switch")
+@register("o04_scoring_outlier_switch", f"""WITH ln AS {LN}, q AS {_q_sql(f'(SELECT * FROM ln WHERE {_TRAIN})', _KEEP_COLS)},
+n AS (SELECT *, {' AND '.join(f'coalesce({c} BETWEEN {_lo(c)} AND {_hi(c)}, false)' for c in _KEEP_COLS)} AS inside FROM ln, q WHERE NOT ({_TRAIN}))
+SELECT 'on' AS switch, count_if(inside) AS n_rows FROM n UNION ALL SELECT 'off', count(*) FROM n""")
 def o04(spark, sf_dir):
     """At scoring, rows outside fences saved from the training rows are removed only when the
     switch is on; with it off the rows pass unchanged."""

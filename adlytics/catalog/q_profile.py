@@ -14,6 +14,7 @@ from adlytics.operators import profile as P
 LN = T.LINEITEM_NULLS_SQL
 LNF = T.LINE_FEATURES
 DW = T.doc_wide_sql()
+DL = T.doc_labelled_sql()
 BIN = T.doc_binary_cols()
 CONT = T.DOC_CONT
 DW_COLS = ["doc_id", "y"] + CONT + ["X4"] + BIN
@@ -78,12 +79,12 @@ def _dist_cols(src):
   count_if(y = 1) AS n1, count_if(y IS NOT NULL AND y NOT IN (0, 1)) AS n_other FROM {src}"""
 
 
-@register("d02_validate_target", f"""WITH dw AS {DW}, a AS (SELECT {_dist_cols('dw')})
+@register("d02_validate_target", f"""WITH dw AS {DL}, a AS (SELECT {_dist_cols('dw')})
 SELECT 'y' AS target, 'int' AS dtype, true AS is_integer, n_rows, n_missing, n0, n1,
   {r6('n0 * 100.0 / n_rows')} AS pct0, {r6('n1 * 100.0 / n_rows')} AS pct1,
   (n_other = 0 AND n_missing = 0 AND n0 > 0 AND n1 > 0) AS target_valid FROM a""")
 def d02(spark, sf_dir):
-    return P.validate_target(T.doc_wide(spark, sf_dir), "y")
+    return P.validate_target(T.doc_labelled(spark, sf_dir), "y")
 
 
 _DIST_SQL = f"""WITH ln AS {LN}, a AS (SELECT {_dist_cols('ln')}),
@@ -174,12 +175,12 @@ def d07(spark, sf_dir):
     return P.summarize_dataset(T.lineitem_nulls(spark, sf_dir).drop("id"))
 
 
-@register("d29_summary_statistics", f"""WITH dw AS {DW}
+@register("d29_summary_statistics", f"""WITH dw AS {DL}
 SELECT count(*) AS n_rows, {r6('avg(CAST(y = 0 AS DOUBLE))')} AS share0, {r6('avg(CAST(y = 1 AS DOUBLE))')} AS share1,
   {r6('(' + ' + '.join(f'avg(CAST({c} IS NULL AS DOUBLE))' for c in DW_COLS) + f') / {len(DW_COLS)} * 100.0')}
   AS mean_null_pct, {len(DW_COLS)} AS n_cols, {len(DW_COLS)} AS n_numeric FROM dw""")
 def d29(spark, sf_dir):
-    return P.summary_statistics(T.doc_wide(spark, sf_dir), "y")
+    return P.summary_statistics(T.doc_labelled(spark, sf_dir), "y")
 
 
 # ------------------------------------------------------------------ D8

@@ -14,10 +14,14 @@ from adlytics.catalog import tables as T
 from adlytics.catalog.q_metrics import F_SQL, P_SQL, R_SQL
 from adlytics.catalog.registry import register
 from adlytics.catalog.sqlgen import r6
+from adlytics.operators import attribution as A
+from adlytics.operators import jobs as J
 from adlytics.operators import metrics as E
 from adlytics.operators import train as L
+from adlytics.operators.resample import FoldFrames
 from adlytics.operators.sampling import stratified_folds, stratified_split
 from adlytics.plans import prep as PP
+from adlytics.plans.registry import Registry
 from adlytics.session import cut_lineage, scratch_path
 
 CONT = T.DOC_CONT
@@ -26,19 +30,30 @@ S = T.scores_sql()
 MEMBERS = ["gradboost", "randforest", "svm", "mlp", "xgboost"]
 
 
-def _prepared(spark, sf_dir):
-    """Prepared wide table with a split and training folds; features exclude id, target, split."""
-    dw = T.doc_wide(spark, sf_dir)
-    out, prep = PP.fit_prep(dw, "doc_id", "y", CONT, BIN, protected="X4", impute="median", poly=True)
-    feats = [c for c in out.columns if c not in ("doc_id", "y")]
-    sp = stratified_split(out, "doc_id", "y").withColumn("label", F.col("y").cast("double"))
-    sp = stratified_folds(sp, "doc_id", "y", 3)
+FOLDS = 10               # stratified folds of the tuning queries
+
+
+def _labelled(spark, sf_dir):
+    return T.doc_wide(spark, sf_dir).filter(F.col("y").isNotNull())
+
+
+def _prepared(spark, sf_dir, impute="median", folds=FOLDS):
+    """(rows, features): the labelled documents split first, everything fitted on the training rows
+    and applied to the others; ``fold`` is for training rows. Features exclude id, target, split."""
+    rows = cut_lineage(stratified_split(_labelled(spark, sf_dir), "doc_id", "y"))
+    train = rows.filter("split = 'train'").drop("split")
+    out, prep = PP.fit_prep(train, "doc_id", "y", CONT, BIN, protected="X4", impute=impute, poly=True)
+    feats = [c for c in prep.columns if c not in ("doc_id", "y")]
+    train = stratified_folds(out, "doc_id", "y", folds).withColumn("split", F.lit("train"))
+    rest = rows.filter("split <> 'train'")
+    rest = prep.transform(rest.drop("split")).join(rest.select("doc_id", "split"), "doc_id").withColumn("fold", F.lit(None).cast("int"))
+    both = train.unionByName(rest).withColumn("label", F.col("y").cast("double"))
     # model fitting passes over the data many times: materialise the prepared table once
-    return cut_lineage(sp), feats
+    return cut_lineage(both), feats
 
 
-def _parts(spark, sf_dir):
-    sp, feats = _prepared(spark, sf_dir)
+def _parts(spark, sf_dir, impute="median", folds=FOLDS):
+    sp, feats = _prepared(spark, sf_dir, impute, folds)
     return (sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "val"),
             sp.filter(F.col("split") == "test"), feats)
 
@@ -46,41 +61,59 @@ def _parts(spark, sf_dir):
 @register("l01_model_families_scores")
 def l01(spark, sf_dir):
     train, _, test, feats = _parts(spark, sf_dir)
-    out = []
-    for fam in MEMBERS + ["lr"]:
-        m = L.pipeline(feats, fam).fit(train)
-        out.append(L.score(m, test, "doc_id", fam, {"model": fam}))
-    return L.union_all(out)
+    points = {f: {} for f in [*MEMBERS, "lr"]} | {"svm": {"kernel": "rbf"}}
+
+    def job(fam):
+        return cut_lineage(L.score(L.pipeline(feats, fam, params=points[fam]).fit(train), test, "doc_id", fam, {"model": fam}))
+    return L.union_all(list(J.values(J.run_jobs(spark, {f: (lambda f=f: job(f)) for f in points})).values()))
 
 
 @register("l05_tune_evaluate")
 def l05(spark, sf_dir):
+    """The SVM family's whole grid, linear and RBF, over ten folds resampled in the loop."""
     train, val, _, feats = _parts(spark, sf_dir)
-    model, cv_f1 = L.tune(train, feats, "lr")
-    s = L.score(model, val, "doc_id", "lr", {"model": "lr"})
+    model, cv_f1, points = L.tune(train, feats, "svm")
+    s = L.score(model, val, "doc_id", "svm", {"model": "svm"})
     m = E.metrics_at_threshold(s, 0.5, ["model"])
     return m.join(E.auc(s, ["model"]), "model").withColumn("cv_f1", F.lit(cv_f1)) \
-        .withColumn("gap", F.col("cv_f1") - F.col("f1"))
+        .withColumn("gap", F.col("cv_f1") - F.col("f1")).withColumn("n_points", F.lit(len(points))) \
+        .withColumn("n_folds", F.lit(points[0]["folds"])).withColumn("params", F.lit(str(points[0]["params"])))
 
 
 @register("l06_evaluate_all_families")
 def l06(spark, sf_dir):
     train, val, _, feats = _parts(spark, sf_dir)
-    res, _, _ = L.evaluate_all(train, val, feats, ["lr", "svm", "randforest", "gradboost", "mlp"], "doc_id")
+    res, _, _ = L.evaluate_all(train, val, feats, L.FAMILIES, "doc_id", grid="brief")
     return res.drop("seconds")
 
 
+@register("l03_resampled_folds")
+def l03(spark, sf_dir):
+    """Real and synthetic training rows per run and class."""
+    train, _, _, feats = _parts(spark, sf_dir)
+    return FoldFrames(train, feats, "doc_id").summary()
+
+
+@register("l04_grid_points")
+def l04(spark, sf_dir):
+    """(family, points, folds, training rows): the work a full tuning does on the training table."""
+    train, _, _, _ = _parts(spark, sf_dir)
+    sizes = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(len(L.grid_points(f))).alias("n_points")) for f in L.GRIDS])
+    per_fold = train.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    return per_fold.agg(F.count(F.lit(1)).alias("n_folds"), F.sum("n").alias("n_rows")).select(
+        F.explode(sizes).alias("g"), "n_folds", "n_rows").select("g.family", "g.n_points", "n_folds", "n_rows")
+
+
 @register("l07_clean_params")
 def l07(spark, sf_dir):
-    best = {"clf__maxDepth": 5, "clf__stepSize": 0.1, "clf__min_samples_leaf": 3, "maxIter": 20}
-    cleaned = L.clean_params(best, {"maxDepth", "stepSize", "maxIter"})
-    est = L.make_estimator("gradboost", 10).setParams(**cleaned)
+    """Stored parameters of a tuned family, found by the ladder, cleaned and fitted with."""
     train, _, _, feats = _parts(spark, sf_dir)
-    m = L.pipeline(feats, "gradboost")
-    m.getStages()[-1].setParams(**cleaned)
-    fitted = m.fit(train)
-    return spark.createDataFrame([(k, str(v)) for k, v in cleaned.items()], "param string, value string") \
-        .withColumn("n_trees", F.lit(fitted.stages[-1].getNumTrees)).withColumn("max_depth", F.lit(est.getMaxDepth()))
+    reg = Registry(spark, scratch_path(spark, f"registry-{uuid.uuid4().hex[:8]}"))
+    reg.put_params("gradboost", "knn", "reduced", {"clf__maxDepth": 3, "clf__stepSize": 0.1, "clf__maxIter": 10, "clf__min_samples_leaf": 3})
+    params = reg.params("gradboost", "knn")
+    fitted = L.pipeline(feats, "gradboost", params=params).fit(train).stages[-1]
+    return spark.createDataFrame([(k, str(v)) for k, v in params.items()], "param string, value string") \
+        .withColumn("n_trees", F.lit(fitted.getNumTrees)).withColumn("max_depth", F.lit(fitted.getMaxDepth()))
 
 
 _MP_SQL = f"""SELECT id, imputation, max(y) AS y, {r6('avg(p)')} AS p FROM {S} s
@@ -118,41 +151,60 @@ def l10(spark, sf_dir):
     return L.stack_no_refit(T.scores(spark, sf_dir), MEMBERS, ["imputation"])
 
 
+# A small point per family for the stacking queries, which fit each of them once per
+# fold and variant.
+STACK_POINTS = {"gradboost": {"maxIter": 10, "maxDepth": 3}, "randforest": {"numTrees": 20, "maxDepth": 6},
+                "svm": {"kernel": "rbf"}, "mlp": {"hidden": [8], "maxIter": 30}, "xgboost": {"maxIter": 10, "maxDepth": 2}}
+
+
+def _variant(spark, sf_dir, impute):
+    sp, feats = _prepared(spark, sf_dir, impute, L.STACK_FOLDS)
+    return FoldFrames(sp.filter("split = 'train'"), feats, "doc_id"), feats, sp.filter("split <> 'train'")
+
+
+def _stack_scores(stacked):
+    return stacked["scores"].withColumn("threshold", F.lit(stacked["threshold"])) \
+        .withColumn("prediction", (F.col("p") >= F.col("threshold")).cast("int"))
+
+
 @register("l11_oof_stacking")
 def l11(spark, sf_dir):
-    train, _, test, feats = _parts(spark, sf_dir)
-    scored, weights = L.oof_stack(train, test, feats, ["lr", "randforest"], "doc_id", folds=3)
-    return scored
+    """Five families, five folds, logistic meta-model, threshold from validation."""
+    oof, rest, _, _ = L.oof_scores({"median": _variant(spark, sf_dir, "median")}, params=STACK_POINTS)
+    return _stack_scores(L.stack(oof, rest))
+
+
+CROSS_FAMILIES = ("gradboost", "randforest", "svm", "mlp")
 
 
 @register("l12_cross_variant_stacking")
 def l12(spark, sf_dir):
-    """Meta-model over every (model, imputation) score column, fitted on val, scored on test."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    s = T.scores(spark, sf_dir).withColumn("key", F.concat_ws("_", "model", "imputation"))
-    keys = [f"{m}_{i}" for i, m, *_ in T.SCORE_MODELS]
-    wide = s.groupBy("id", "split", "y").pivot("key", keys).agg(F.first("p"))
-    va = VectorAssembler(inputCols=keys, outputCol="features")
-    tr = va.transform(wide.filter(F.col("split") == "val")).withColumn("label", F.col("y").cast("double"))
-    meta = LogisticRegression(maxIter=50).fit(tr)
-    te = meta.transform(va.transform(wide.filter(F.col("split") == "test")).withColumn("label", F.col("y").cast("double")))
-    return te.select("id", "y", F.round(vector_to_array("probability")[1], 6).alias("p"))
+    """Four families over two fitted variants: eight out-of-fold columns, one meta-model."""
+    variants = {v: _variant(spark, sf_dir, v) for v in ("knn", "mice")}
+    oof, rest, _, _ = L.oof_scores(variants, CROSS_FAMILIES, params=STACK_POINTS)
+    return _stack_scores(L.stack(oof, rest))
+
+
+@register("l12_cross_variant_weights")
+def l12_generated(spark, sf_dir):
+    """Weights of a meta-model over every (model, imputation) column of the score table, fitted on
+    its validation rows."""
+    s = T.scores(spark, sf_dir).withColumnRenamed("imputation", "variant")
+    return L.stack(s.filter("split = 'val'"), s.filter("split <> 'train'"))["weights"]
 
 
 @register("l13_rfecv")
 def l13(spark, sf_dir):
-    train, _, _, feats = _parts(spark, sf_dir)
-    tab, best, _ = L.rfecv(train, feats, "randforest", step=0.3, min_features=4, folds=3)
+    train, _, _, feats = _parts(spark, sf_dir, folds=L.STACK_FOLDS)
+    tab, best, _ = L.rfecv(train, feats, "lr", params={"maxIter": 20})
     return tab.withColumn("selected", F.col("n_features") == len(best))
 
 
 @register("l14_apply_selected_columns")
 def l14(spark, sf_dir):
-    sp, feats = _prepared(spark, sf_dir)
+    sp, feats = _prepared(spark, sf_dir, folds=3)
     train = sp.filter(F.col("split") == "train")
-    _, best, _ = L.rfecv(train, feats, "lr", step=0.5, min_features=4, folds=3)
+    _, best, _ = L.rfecv(train, feats, "lr", step=0.2, folds=3, params={"maxIter": 20})
     return sp.select("doc_id", "split", "label", *best)
 
 
@@ -160,60 +212,65 @@ def l14(spark, sf_dir):
 def l15(spark, sf_dir):
     train, val, _, feats = _parts(spark, sf_dir)
     m = L.pipeline(feats, "lr").fit(train)
-    return L.permutation_importance(m, val, feats, "lr", repeats=2, id_col="doc_id").limit(10)
+    return L.permutation_importance(m, val, feats, "lr", id_col="doc_id").limit(20)
 
 
 @register("l16_l17_importance_summary")
 def l16(spark, sf_dir):
-    train, _, _, feats = _parts(spark, sf_dir)
+    train, _, _, feats = _parts(spark, sf_dir, folds=3)
     imp = L.importances(L.pipeline(feats, "randforest").fit(train), feats)
     t = spark.createDataFrame(list(zip(feats, imp)), "feature string, importance double")
-    return t.agg(F.count(F.lit(1)).alias("n"), F.max("importance").alias("max_importance"),
-                 F.min("importance").alias("min_importance"),
-                 F.max_by("feature", "importance").alias("best"))
+    tab, _, _ = L.rfecv(train, feats, "randforest", step=0.5, folds=3, params={"numTrees": 20})
+    return L.selection_summary(tab, t)
 
 
 @register("l18_linear_attribution")
 def l18(spark, sf_dir):
     sp, feats = _prepared(spark, sf_dir)
-    return L.linear_attribution(sp, feats, "label", "doc_id")
+    return L.linear_attribution(sp, feats, "label", "doc_id", train=sp.filter("split = 'train'"))
+
+
+@register("l18_tree_attribution")
+def l18_trees(spark, sf_dir):
+    """Mean absolute attribution per feature of boosted trees, over all documents with a label."""
+    sp, feats = _prepared(spark, sf_dir)
+    model = L.pipeline(feats, "gradboost", params={"maxIter": 10}).fit(sp.filter("split = 'train'"))
+    attributed, _ = A.tree_attribution(model, sp, "doc_id")
+    return A.mean_attribution(attributed, feats)
 
 
 @register("l19_timed_runs")
 def l19(spark, sf_dir):
-    dw = T.doc_wide(spark, sf_dir)
-    runs = {f"t={t}": (lambda t=t: PP.fit_prep(dw, "doc_id", "y", CONT, BIN, protected="X4", corr_threshold=t)[0])
-            for t in (0.85, 0.9, 0.95)}
-    return L.timed_runs(runs, spark).drop("seconds")
+    dw = cut_lineage(T.doc_wide(spark, sf_dir))
+    runs = {f"{m}, t={t}": (lambda m=m, t=t: PP.fit_prep(dw, "doc_id", "y", CONT, BIN, protected="X4", impute=m, corr_threshold=t)[0])
+            for m in ("median", "knn") for t in (0.85, 0.9, 0.95)}
+    return L.timed_runs(runs, spark, len(dw.columns)).drop("seconds")
 
 
 @register("l20_two_variants_thresholds")
 def l20(spark, sf_dir):
-    dw = T.doc_wide(spark, sf_dir)
+    """A stack per variant (kNN, MICE) and its threshold on validation rows."""
     out = []
-    for imp in ("median", "mice"):
-        prepared, _ = PP.fit_prep(dw, "doc_id", "y", CONT, BIN, protected="X4", impute=imp)
-        feats = [c for c in prepared.columns if c not in ("doc_id", "y")]
-        sp = stratified_split(prepared, "doc_id", "y").withColumn("label", F.col("y").cast("double"))
-        m = L.pipeline(feats, "lr").fit(sp.filter(F.col("split") == "train"))
-        out.append(L.score(m, sp.filter(F.col("split") == "val"), "doc_id", "lr", {"model": "lr", "variant": imp}))
-    return E.exact_threshold_search(L.union_all(out), ["variant", "model"])
+    for imp in ("knn", "mice"):
+        oof, rest, _, _ = L.oof_scores({imp: _variant(spark, sf_dir, imp)}, CROSS_FAMILIES, params=STACK_POINTS)
+        out.append(L.stack(oof, rest)["scores"].withColumn("variant", F.lit(imp)))
+    return E.exact_threshold_search(L.union_all(out).filter("split = 'val'"), ["variant"])
 
 
 @register("l22_load_pipeline")
 def l22(spark, sf_dir):
+    """A reduced pipeline found where no full one is stored."""
     train, _, test, feats = _parts(spark, sf_dir)
-    path = scratch_path(spark, f"model-{uuid.uuid4().hex[:8]}")
-    L.pipeline(feats, "lr").fit(train).write().overwrite().save(path)
-    reg = spark.createDataFrame([("lr", "median", "reduced", path)], "model string, imputation string, version string, path string")
-    m = L.load_pipeline(reg, "lr", "median", "full")
-    return L.score(m, test, "doc_id", "lr", {"model": "lr"})
+    reg = Registry(spark, scratch_path(spark, f"registry-{uuid.uuid4().hex[:8]}"))
+    reg.put_pipeline("lr", "knn", "reduced", L.pipeline(feats, "lr").fit(train), columns=feats)
+    found = reg.pipeline("lr", "knn")
+    return L.score(found.model, test, "doc_id", "lr", {"model": "lr", "version": found.version})
 
 
 @register("c16_combined_importance")
 def c16(spark, sf_dir):
     sp, feats = _prepared(spark, sf_dir)
-    return L.combined_importance(sp, feats, "label", 20)
+    return L.combined_importance(sp.filter("split = 'train'"), feats, "label", 20)
 
 
 @register("r06_borderline_smote")

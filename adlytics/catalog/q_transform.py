@@ -98,14 +98,7 @@ def t06(spark, sf_dir):
     return out.select("doc_id", *[sr6(c).alias(c) for c in CONT])
 
 
-@register("t07_scale_without_centering", f"""WITH d AS {DW}, s AS (SELECT {', '.join(f'stddev_pop({c}) AS s_{c}' for c in BIN[:5])} FROM d)
-SELECT doc_id, {', '.join(r6(f'{c} / s_{c}') + f' AS {c}' for c in BIN[:5])} FROM d, s""")
-def t07(spark, sf_dir):
-    out = TR.standardize(_dw(spark, sf_dir).select("doc_id", *BIN[:5]), BIN[:5], with_mean=False)
-    return out.select("doc_id", *[sr6(c).alias(c) for c in BIN[:5]])
-
-
-@register("t07_scale_all_flags", f"""WITH d AS {DW}, s AS (SELECT {', '.join(f'stddev_pop({c}) AS s_{c}' for c in BIN)} FROM d)
+@register("t07_scale_without_centering", f"""WITH d AS {DW}, s AS (SELECT {', '.join(f'stddev_pop({c}) AS s_{c}' for c in BIN)} FROM d)
 SELECT doc_id, {', '.join(r6(f'CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE {c} END') + f' AS {c}' for c in BIN)} FROM d, s""")
 def t07_all(spark, sf_dir):
     out = TR.standardize(_dw(spark, sf_dir).select("doc_id", *BIN), BIN, with_mean=False)
@@ -162,12 +155,32 @@ def m04(spark, sf_dir):
     return out
 
 
+@register("m04_mice_boosted")
+def m04_boosted(spark, sf_dir):
+    """A chain of boosted-tree regressors, saved, loaded and replayed on the same table."""
+    import uuid
+    from adlytics.operators import chain as CH
+    from adlytics.session import scratch_path
+    d = _dw(spark, sf_dir).select("doc_id", *CONT)
+    fitted = CH.fit_chain(d, CONT, "doc_id", CH.boosted(maxIter=5, maxDepth=3), max_iter=2)
+    path = fitted.save(spark, scratch_path(spark, f"chain-{uuid.uuid4().hex[:8]}"))
+    return CH.FittedChain.load(spark, path).transform(d, "doc_id")
+
+
 @register("m02_m05_mixed_with_fallback")
 def m02(spark, sf_dir):
+    """kNN and chained equations on the continuous columns, median on the flag; a table whose values
+    cannot be read makes the imputation's job fail and falls back to the median."""
     d = _dw(spark, sf_dir).select("doc_id", "X4", *CONT)
-    out, status = M.impute_with_fallback(d, CONT, "doc_id", "knn", 5)
-    out = M.median_fill(out, ["X4"])
-    return out.withColumn("status", F.lit(status))
+    # no row of it is complete, so the chain has nothing to start from
+    poor = d.withColumn("X1", F.when(F.col("doc_id") % 3 != 0, F.col("X1"))).withColumn("X2", F.when(F.col("doc_id") % 3 == 0, F.col("X2")))
+    runs = [("knn", d, "knn"), ("mice", d, "mice"), ("mice, no complete row", poor, "mice")]
+    out = None
+    for name, table, method in runs:
+        filled, status = M.impute_with_fallback(table, CONT, "doc_id", method, 5)
+        filled = M.median_fill(filled, ["X4"]).withColumn("run", F.lit(name)).withColumn("status", F.lit(status))
+        out = filled if out is None else out.unionByName(filled)
+    return out
 
 
 @register("m06_knn_k_search")
@@ -177,8 +190,9 @@ def m06(spark, sf_dir):
 
 @register("m07_m08_quick_k")
 def m07(spark, sf_dir):
-    k = K.quick_k(_dw(spark, sf_dir).select("doc_id", *CONT), CONT, "doc_id")
-    return spark.createDataFrame([(k,)], "k int")
+    """The 70/30 table, and the k that imputation takes from it."""
+    d = _dw(spark, sf_dir).select("doc_id", *CONT)
+    return K.quick_k_table(d, CONT, "doc_id").withColumn("chosen", F.lit(K.quick_k(d, CONT, "doc_id")))
 
 
 @register("m15_imputation_comparison")
@@ -201,8 +215,9 @@ def m15(spark, sf_dir):
 def _split_dw(spark, sf_dir):
     from adlytics.operators.sampling import stratified_split
     d = _dw(spark, sf_dir)
-    s = stratified_split(d, "doc_id", "y", (0.8, 0.2), ("train", "test"))
-    return s.filter(F.col("split") == "train").drop("split"), s.filter(F.col("split") == "test").drop("split")
+    s = stratified_split(d.filter(F.col("y").isNotNull()), "doc_id", "y", (0.8, 0.2), ("train", "test"))
+    test = s.filter(F.col("split") == "test").drop("split")
+    return s.filter(F.col("split") == "train").drop("split"), test.unionByName(d.filter(F.col("y").isNull()))
 
 
 @register("t12_t13_fit_on_train_apply_to_test")
@@ -212,6 +227,18 @@ def t12(spark, sf_dir):
     return prep.transform(test)
 
 
+@register("t13_library_order_with_outliers")
+def t13(spark, sf_dir):
+    """Power before imputation and an outlier step: training rows beyond the fences go, new rows only
+    where the switch is on (O4)."""
+    train, test = _split_dw(spark, sf_dir)
+    out, prep = PP.fit_prep(train, "doc_id", "y", CONT, BIN, protected="X4", impute="median", cap=False, steps=PP.LIBRARY_STEPS)
+    sizes = {"train before": train, "train after": out, "new, switch off": prep.transform(test),
+             "new, switch on": prep.transform(test, remove_outliers=True)}
+    parts = [d.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table", F.lit(k)) for k, d in sizes.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @register("t14_prepare_existing_table")
 def t14(spark, sf_dir):
     out, _ = PP.fit_prep(_dw(spark, sf_dir), "doc_id", "y", CONT, BIN, protected="X4", impute="mice")

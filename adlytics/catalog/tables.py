@@ -76,9 +76,9 @@ EVENTS_TARGET_SQL = """(SELECT event_id AS id, user_id,
 
 
 # --------------------------------------------------------------------------------------------
-# Wide sparse table like the reference's training file: documents joined with labels
+# Wide sparse table like the reference's training file: documents, with labels where there are any
 # X1 = n_chars, X2 = word count, X3 = X1/X2, X4 = (lang='en'), X5.. = top-token presence,
-# y = toxic. Nulls induced on X1..X4 by key rules.
+# y = toxic, NULL for an unlabelled document. Nulls induced on X1..X4 by key rules.
 # --------------------------------------------------------------------------------------------
 N_TOKENS = 40
 TOKEN_RE = r"\p{L}+"
@@ -97,7 +97,7 @@ def top_tokens(tok_docs: DataFrame, n: int) -> list[str]:
 
 
 def doc_wide(spark: SparkSession, sf_dir: str, n_tokens: int = N_TOKENS) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id")
+    docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
     docs = doc_tokens(docs)
     toks = top_tokens(docs, n_tokens)
     k = F.col("doc_id")
@@ -124,7 +124,7 @@ def doc_wide_sql(n_tokens: int = N_TOKENS) -> str:
     return f"""(WITH dl AS (
   SELECT d.doc_id, d.n_chars, d.lang, l.toxic,
          regexp_extract_all(lower(d.text), '{TOKEN_RE}') AS tokens
-  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 tok AS (SELECT DISTINCT doc_id, unnest(tokens) AS t FROM dl),
 top_tok AS (SELECT t, row_number() OVER (ORDER BY count(*) DESC, t) AS rk FROM tok GROUP BY t)
 SELECT d.doc_id, d.toxic AS y,
@@ -137,6 +137,15 @@ SELECT d.doc_id, d.toxic AS y,
 FROM dl d)"""
 
 
+def doc_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with a label, for training and for statistics of the target."""
+    return doc_wide(spark, sf_dir).filter(F.col("y").isNotNull())
+
+
+def doc_labelled_sql() -> str:
+    return f"(SELECT * FROM {doc_wide_sql()} dl WHERE y IS NOT NULL)"
+
+
 DOC_CONT = ["X1", "X2", "X3"]
 
 
@@ -172,11 +181,12 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.lit(s).cast("long").alias("seed"))
                        for i, m, a, b, c, s in SCORE_MODELS])
     u = portable_hash("id", F.col("m.seed")) / float(HASH_MOD)
+    # the split is hashed once per row, before the models
     su = portable_hash("id", 7) / float(HASH_MOD)
+    split = F.when(su < 0.6, "train").when(su < 0.8, "val").otherwise("test")
     z = F.col("m.a") + F.col("m.b") * (F.col("y") - 0.5) + F.col("m.c") * (u - 0.5)
-    return (li.select("id", "y", F.explode(models).alias("m"))
-            .select("id",
-                    F.when(su < 0.6, "train").when(su < 0.8, "val").otherwise("test").alias("split"),
+    return (li.select("id", "y", split.alias("split"), F.explode(models).alias("m"))
+            .select("id", "split",
                     F.col("m.imputation").alias("imputation"), F.lit("full").alias("version"),
                     F.col("m.model").alias("model"), "y",
                     F.round(1.0 / (1.0 + F.exp(-z)), 4).alias("p")))

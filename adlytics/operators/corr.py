@@ -4,7 +4,7 @@
 * correlation between columns: for a few continuous columns one aggregate of pairwise
   covariances; for many binary columns the Gram matrix X'X accumulated by Spark's
   ``ml.stat.Correlation`` (a tree aggregate of d x d partial sums, no pair rows emitted),
-  in column blocks so the per-task buffer stays bounded;
+  in column blocks so the per-task buffer stays bounded; sparse flags go through ``phi``;
 * redundancy decisions (groups, drop lists) are joins and windows over the pair table.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from adlytics.functions.exprs import col, portable_hash, r6, safe_corr
 from adlytics.operators.common import chunks, melt
+from adlytics.operators.phi import phi_pairs
 
 PAIR_SCHEMA = "var1 string, var2 string, r double"
 
@@ -81,6 +82,7 @@ def gram_corr_pairs(df: DataFrame, cols: list[str], threshold: float | None = No
     from pyspark.ml.stat import Correlation
 
     import numpy as np
+    import pyarrow as pa
 
     spark = df.sparkSession
     blocks = list(chunks(cols, block))
@@ -99,10 +101,12 @@ def gram_corr_pairs(df: DataFrame, cols: list[str], threshold: float | None = No
                 ii, jj = ii.ravel(), jj.ravel()
             vals = m[ii, jj]
             keep = np.ones(len(vals), bool) if threshold is None else (np.abs(np.nan_to_num(vals)) > threshold)
-            for i, j, r in zip(ii[keep], jj[keep], vals[keep]):
-                a, b = names[i], names[j]
-                rows.append((min(a, b), max(a, b), None if np.isnan(r) else float(r)))
-    return spark.createDataFrame(rows, PAIR_SCHEMA).withColumn("r", r6("r"))
+            label = np.array(names, dtype=object)
+            a, b = label[ii[keep]], label[jj[keep]]
+            first = a < b
+            rows.append(pa.table({"var1": pa.array(np.where(first, a, b), pa.string()), "var2": pa.array(np.where(first, b, a), pa.string()),
+                                  "r": pa.array(vals[keep], from_pandas=True)}))
+    return spark.createDataFrame(pa.concat_tables(rows)).withColumn("r", r6("r"))
 
 
 def redundancy_degree(pairs: DataFrame, n: int = 10) -> DataFrame:
@@ -248,7 +252,7 @@ def bivariate_report(df: DataFrame, target: str, continuous: list[str], binary:
     tc = target_correlations(df, continuous + binary, target).select(
         F.lit("target").alias("kind"), F.col("column").alias("var1"), F.lit(target).alias("var2"), "r")
     cp = high_pairs(corr_pairs(df, continuous), t_cont).select(F.lit("continuous").alias("kind"), "var1", "var2", "r")
-    bp = high_pairs(corr_pairs(df, binary), t_bin).select(
+    bp = phi_pairs(df, binary, t_bin).select(
         F.lit("binary").alias("kind"), "var1", "var2", "r")
     return tc.unionByName(cp).unionByName(bp)
 
@@ -259,13 +263,12 @@ def full_correlation_report(df: DataFrame, target: str, binary: list[str], conti
     correlations, binary pairs > .95 -> redundancy degree. Returns named DataFrames."""
     sample = [r[0] for r in stratified_column_sample(df, binary, per_bucket).select("column").collect()]
     feats = continuous + binary
-    bin_pairs = high_pairs(corr_pairs(df, binary), t_bin)
+    bin_pairs = phi_pairs(df, binary, t_bin)
     return {
         "sample": stratified_column_sample(df, binary, per_bucket),
         "top": top_target_correlations(df, feats, target, 10),
         "bottom": top_target_correlations(df, feats, target, 10, bottom=True),
-        "sample_pairs": high_pairs(corr_pairs(df, sample), t_sample) if sample
-        else df.sparkSession.createDataFrame([], PAIR_SCHEMA),
+        "sample_pairs": phi_pairs(df, sample, t_sample),
         "target": target_correlations(df, feats, target),
         "binary_pairs": bin_pairs,
         "degree": redundancy_degree(bin_pairs),

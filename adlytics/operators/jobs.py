@@ -63,7 +63,7 @@ def run_jobs(spark: SparkSession, jobs: dict[str, Callable[[], Any]], parallelis
         return {}
     pool = ThreadPool(processes=max(1, min(parallelism, len(jobs))))
     try:
-        done = pool.map(inheritable_thread_target(run), list(jobs.items()), chunksize=1)
+        done = pool.map(inheritable_thread_target(spark)(run), list(jobs.items()), chunksize=1)
     finally:
         pool.close()
         pool.join()

@@ -269,16 +269,15 @@ def impute_with_fallback(df: DataFrame, cols: list[str], id_col: str, method: st
                          backup: str = "median"):
     """Model-based imputation of MAR columns with a reported median fallback (M2, M5).
 
-    Returns (DataFrame, status) where status names the method actually used; only a failure of
-    the imputation itself switches to the backup, and the switch is reported, never silent."""
+    The imputation runs as a job of its own, so a failure while planning or while running is caught;
+    (DataFrame, status) names the method used, and for a fallback what failed. An unknown method is
+    an error."""
+    from adlytics.operators.jobs import materialised, run_jobs
     from adlytics.operators.knn import knn_impute
-    try:
-        if method == "knn":
-            return knn_impute(df, cols, id_col, k), f"knn_k{k}"
-        if method == "mice":
-            return mice_fit_transform(df, cols, id_col)[0], "mice"
+    if method not in ("knn", "mice"):
         raise ValueError(f"unknown method {method!r}")
-    except ValueError as e:
-        if "unknown method" in str(e):
-            raise
-        return median_fill(df, cols), f"{backup}_backup"
+    how = {"knn": lambda: knn_impute(df, cols, id_col, k), "mice": lambda: mice_fit_transform(df, cols, id_col)[0]}[method]
+    done = run_jobs(df.sparkSession, {f"impute/{method}": lambda: materialised(how())})[f"impute/{method}"]
+    if done.ok:
+        return done.value, f"knn_k{k}" if method == "knn" else method
+    return median_fill(df, cols), f"{backup}_backup ({done.message})"

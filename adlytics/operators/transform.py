@@ -3,22 +3,22 @@
 Lambda search is distributed: the log-likelihood of a power transform is
     l(lambda) = -n/2 log var_pop(f(x, lambda)) + (lambda - 1) S
 with S = sum sign(x) log1p|x| (Yeo-Johnson) or sum log x (Box-Cox), which does not depend on
-lambda. One aggregate over the melted columns evaluates var_pop for a whole lambda grid of every
-column at once, and again on wider grids further out while the best point lies on the edge;
-refinement passes around the best point give lambda to ~1e-4. The fitted
+lambda. One aggregate over the melted columns, a row per value and grid point, evaluates var_pop for
+a whole lambda grid of every column at once, and again on wider grids further out while the best
+point lies on the edge; refinement passes around the best point give lambda to ~1e-4. The fitted
 lambdas (a few numbers) are applied as column expressions.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlytics.functions.exprs import box_cox, col, r6, skew_adjusted, yeo_johnson
-from adlytics.operators.common import melt
+from adlytics.operators.common import lit_map, melt
 
 LAMBDA_RANGE = (-2.0, 2.0)   # first grid of the lambda search; it moves outward while the best point is on its edge
 
@@ -39,46 +39,36 @@ class PowerFit:
 
 
 def _loglik_grid(df: DataFrame, cols: list[str], method: str, grids: dict, shifts: dict) -> dict:
-    """{column: [(lambda, loglik)]} for each column's own grid, in one aggregate."""
-    v = F.col("value")
-    long = melt(df, cols).filter(v.isNotNull())
-    aggs = [F.count(v).alias("n")]
+    """{column: [(lambda, loglik)]} for each column's own grid, in one aggregate: a row per value and
+    grid point, one variance per (column, point)."""
+    v, lam = F.col("value"), F.col("lam")
+    points = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(float(g)) for g in grids[c]]))])
+    long = melt(df, cols).filter(v.isNotNull()).withColumn("value", v + F.element_at(lit_map(shifts), F.col("column")))
+    rows = long.select("column", "value", F.posexplode(F.element_at(points, F.col("column"))).alias("k", "lam"))
     if method == "yeo-johnson":
-        aggs.append(F.sum(F.signum(v) * F.log1p(F.abs(v))).alias("S"))
+        jacobian = F.signum(v) * F.log1p(F.abs(v))
+        side, power = F.when(v >= 0, 1.0).otherwise(-1.0), F.when(v >= 0, lam).otherwise(2.0 - lam)
+        base = F.abs(v) + 1.0
     else:
-        aggs.append(F.sum(F.log(v + F.col("_shift"))).alias("S"))
-    n_grid = len(next(iter(grids.values())))
-    # per-column grids: the k-th grid point of each column comes from a literal map column -> lambda
-    from adlytics.operators.common import lit_map
-    for k in range(n_grid):
-        lam = F.element_at(lit_map({c: grids[c][k] for c in cols}), F.col("column"))
-        if method == "yeo-johnson":
-            pos = F.when(F.abs(lam) < 1e-12, F.log1p(v)).otherwise((F.pow(v + 1.0, lam) - 1.0) / lam)
-            neg = F.when(F.abs(lam - 2.0) < 1e-12, -F.log1p(-v)).otherwise(
-                -(F.pow(1.0 - v, 2.0 - lam) - 1.0) / (2.0 - lam))
-            t = F.when(v >= 0, pos).otherwise(neg)
-        else:
-            x = v + F.col("_shift")
-            t = F.when(F.abs(lam) < 1e-12, F.log(x)).otherwise((F.pow(x, lam) - 1.0) / lam)
-        aggs.append(F.var_pop(t).alias(f"v{k}"))
-    src = long.withColumn("_shift", F.element_at(lit_map(shifts), F.col("column"))) if method == "box-cox" else long
-    rows = src.groupBy("column").agg(*aggs).collect()
-    out = {}
-    for r in rows:
-        n, s = r["n"], r["S"]
-        pts = []
-        for k in range(n_grid):
-            var = r[f"v{k}"]
-            ll = -np.inf if (var is None or not 0 < var < np.inf) else -n / 2.0 * np.log(var) + (grids[r["column"]][k] - 1) * s
-            pts.append((grids[r["column"]][k], ll))
-        out[r["column"]] = pts
+        jacobian, side, power, base = F.log(v), F.lit(1.0), lam, v
+    t = side * F.when(F.abs(power) < 1e-12, F.log(base)).otherwise((F.pow(base, power) - 1.0) / power)
+    got = rows.groupBy("column", "k").agg(F.count(v).alias("n"), F.sum(jacobian).alias("S"), F.var_pop(t).alias("var")).collect()
+    out = {c: [(g, -np.inf) for g in grids[c]] for c in cols}
+    for r in got:
+        g, var = grids[r["column"]][r["k"]], r["var"]
+        if var is not None and 0 < var < np.inf:
+            out[r["column"]][r["k"]] = (g, -r["n"] / 2.0 * np.log(var) + (g - 1) * r["S"])
     return out
 
 
+FINEST = 2.5e-4          # last step of the lambda search
+
+
 def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson", standardize: bool = True,
-              grid: int = 41, refine: int = 2) -> dict[str, PowerFit]:
-    """Maximum-likelihood lambda per column, 1 + ``refine`` aggregate passes, more where
-    lambda lies outside ``LAMBDA_RANGE`` (T1, T2)."""
+              grid: int = 17, refine: int = 9) -> dict[str, PowerFit]:
+    """Maximum-likelihood lambda per column to ``FINEST`` (T1, T2): one pass over a grid of ``grid``
+    points in ``LAMBDA_RANGE``, more further out while the best point is on its edge, then passes
+    over ``refine`` points around the best one."""
     from adlytics.session import cut_lineage
     # several passes read the same columns: materialise just those once
     df = cut_lineage(df.select(*[col(c).cast("double").alias(c) for c in cols]))
@@ -89,7 +79,6 @@ def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson", stand
     lo, hi = LAMBDA_RANGE
     grids = {c: list(np.linspace(lo, hi, grid)) for c in cols}
     best, steps = {}, {c: (hi - lo) / (grid - 1) for c in cols}
-    finest = (hi - lo) / (grid - 1) * (2 / (grid - 1)) ** refine
     todo = cols
     while todo:                       # until the best point of each column lies inside its grid
         ll = _loglik_grid(df, todo, method, {c: grids[c] for c in todo}, shifts)
@@ -103,10 +92,10 @@ def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson", stand
                 grids[c] = sorted(best[c] + out * j for j in range(-1, grid - 1))
                 moved.append(c)
         todo = moved
-    while todo := [c for c in cols if grid > 3 and steps[c] > finest * 1.000001]:
+    while todo := [c for c in cols if steps[c] > FINEST]:
         for c in todo:
-            grids[c] = list(np.linspace(best[c] - steps[c], best[c] + steps[c], grid))
-            steps[c] *= 2 / (grid - 1)
+            grids[c] = list(np.linspace(best[c] - steps[c], best[c] + steps[c], refine))
+            steps[c] *= 2 / (refine - 1)
         ll = _loglik_grid(df, todo, method, {c: grids[c] for c in todo}, shifts)
         for c in todo:
             best[c] = max(ll[c], key=lambda t: t[1])[0]
@@ -206,8 +195,3 @@ def pca(df: DataFrame, cols: list[str], k: int = 2, out: str = "pca") -> tuple[D
     c = sc.transform(v)
     model = PCA(k=k, inputCol="_c", outputCol=out).fit(c)
     return model.transform(c).drop("_v", "_c"), [float(x) for x in model.explainedVariance]
-
-
-@dataclass
-class QuadraticSpec:
-    cols: list[str] = field(default_factory=list)

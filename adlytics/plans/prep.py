@@ -12,9 +12,8 @@ projection plus, for kNN, the banded donor join.
 from __future__ import annotations
 
 import json
-import os
 import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,8 +24,10 @@ from adlytics.operators import missing as M
 from adlytics.operators import outliers as O
 from adlytics.operators import transform as TR
 from adlytics.operators.knn import knn_impute
+from adlytics.operators.phi import phi_pairs
 from adlytics.session import cut_lineage, scratch_path
 
+LIBRARY_STEPS = ("protected", "power", "impute", "outliers", "reduce", "poly")
 DEFAULT_STEPS = ("protected", "impute", "power", "cap", "reduce", "poly")
 
 
@@ -44,7 +45,8 @@ class FittedPrep:
     mice: dict | None = None
     donors_path: str | None = None
     power: dict = field(default_factory=dict)          # column -> PowerFit as dict
-    bounds: dict = field(default_factory=dict)         # column -> [lo, hi]
+    bounds: dict = field(default_factory=dict)         # column -> [lo, hi], capping
+    fences: dict = field(default_factory=dict)         # column -> [lo, hi], removal
     drop: list = field(default_factory=list)
     poly: list = field(default_factory=list)
     steps: list = field(default_factory=lambda: list(DEFAULT_STEPS))
@@ -71,8 +73,12 @@ class FittedPrep:
     def _power(self) -> dict:
         return {c: TR.PowerFit(**v) for c, v in self.power.items()}
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Frozen preprocessing of new rows (B1, T12): no statistic is recomputed."""
+    def transform(self, df: DataFrame, remove_outliers: bool = False, strict: bool = False) -> DataFrame:
+        """Frozen preprocessing of new rows (B1, T12): no statistic is recomputed.
+
+        Rows outside the saved fences of an "outliers" step leave only with ``remove_outliers``
+        (O4); at scoring every row stays by default. A prepared column that new rows cannot give is
+        0, or with ``strict`` an error; the target may always be absent."""
         out = df
         for step in self.steps:
             if step == "protected" and self.protected and self.protected in out.columns:
@@ -81,6 +87,8 @@ class FittedPrep:
                 out = self._impute(out)
             elif step == "power" and self.power:
                 out = TR.apply_power(out, self._power(), self.suffix, keep=False)
+            elif step == "outliers" and remove_outliers and self.fences:
+                out = O.remove_outliers(out, list(self.fences), bounds={c: tuple(b) for c, b in self.fences.items()})
             elif step == "cap" and self.bounds:
                 out = O.cap(out, {c: tuple(b) for c, b in self.bounds.items()})
             elif step == "reduce" and self.drop:
@@ -89,6 +97,9 @@ class FittedPrep:
                 out = TR.quadratic_features(out, self.poly)
         if self.columns:
             present = set(out.columns)
+            absent = [c for c in self.columns if c not in present and c != self.target]
+            if strict and absent:
+                raise ValueError(f"missing columns: {absent}")
             out = out.select(*[col(c) if c in present else F.lit(0).alias(c) for c in self.columns])
         return out
 
@@ -144,12 +155,16 @@ def fit_prep(df: DataFrame, id_col: str, target: str | None, continuous: list[st
                     fits.update(TR.fit_power(out, [c for c, m in power.items() if m == meth], meth, True))
             prep.power = {c: asdict(f) for c, f in fits.items()}
             out = TR.apply_power(out, fits, prep.suffix, keep=False)
+        elif step == "outliers":
+            cols = [f"{c}{prep.suffix}" if prep.power else c for c in continuous]
+            prep.fences = {c: list(b) for c, b in O.iqr_bounds(out, cols).items()}
+            out = cut_lineage(O.remove_outliers(out, cols, bounds={c: tuple(b) for c, b in prep.fences.items()}))
         elif step == "cap" and cap:
             cols = [f"{c}{prep.suffix}" if prep.power else c for c in continuous]
             prep.bounds = {c: list(b) for c, b in O.iqr_bounds(out, cols).items()}
             out = O.cap(out, {c: tuple(b) for c, b in prep.bounds.items()})
         elif step == "reduce" and corr_threshold is not None and corr_threshold < 1.0 and binary:
-            pairs = C.corr_pairs(out, [b for b in binary if b in out.columns])
+            pairs = phi_pairs(out, [b for b in binary if b in out.columns], corr_threshold)
             drops = C.group_drops(pairs, [b for b in binary if b in out.columns], corr_threshold,
                                   protected=[protected] if protected else [])
             prep.drop = sorted(r["column"] for r in drops.select("column").distinct().collect())
@@ -161,6 +176,11 @@ def fit_prep(df: DataFrame, id_col: str, target: str | None, continuous: list[st
     return out, prep
 
 
+def without_id(prep: FittedPrep, id_col: str) -> FittedPrep:
+    """The same fitted plan for tables whose key is called ``id_col``."""
+    return replace(prep, id_col=id_col, columns=[id_col if c == prep.id_col else c for c in prep.columns])
+
+
 # The preset of the safe preparation and its fallback ladder (threshold 0.95, then
 # 1.0 = no reduction).
 SAFE_PRESET = {"impute": "median", "power": "yeo-johnson", "cap": True, "corr_threshold": 0.9, "poly": True}
@@ -203,17 +223,3 @@ def smoke_report(df: DataFrame, id_col: str, target: str, continuous: list[str],
     rep = spark.createDataFrame(rows, "impute string, corr_threshold double, cap boolean, passed boolean, "
                                       "n_rows long, n_cols int, error string")
     return rep.withColumn("share_passed", F.avg(F.col("passed").cast("double")).over(Window.partitionBy()))
-
-
-def write_variants(variants: dict[str, DataFrame], root: str) -> str:
-    """Write named prepared variants as one ``variant=``-partitioned Parquet dataset."""
-    parts = None
-    for name, d in variants.items():
-        t = d.withColumn("variant", F.lit(name))
-        parts = t if parts is None else parts.unionByName(t, allowMissingColumns=True)
-    parts.write.mode("overwrite").partitionBy("variant").parquet(root)
-    return root
-
-
-def variant_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(scratch_path(spark, "variants"), name)

@@ -161,15 +161,10 @@ def comparison_from_files(spark: SparkSession, paths: list[str], details: DataFr
 def batch_process(datasets: dict[str, DataFrame], step) -> tuple[dict[str, DataFrame | None], DataFrame]:
     """Apply ``step`` to each dataset; a failing one yields None and a status row.
 
-    Plans are lazy: the status records plan-building errors, and ``step`` may act to force work."""
-    out, rows = {}, []
-    spark = None
-    for name, df in datasets.items():
-        spark = df.sparkSession
-        try:
-            out[name] = step(df)
-            rows.append((name, "ok", None))
-        except Exception as e:  # isolated per dataset, and reported
-            out[name] = None
-            rows.append((name, "failed", f"{type(e).__name__}: {e}"[:500]))
-    return out, spark.createDataFrame(rows, "dataset string, status string, error string")
+    Each dataset is a job of its own that computes its result, so what fails while running is
+    isolated like what fails while planning."""
+    from adlytics.operators.jobs import materialised, run_jobs, status_table
+    spark = next(iter(datasets.values())).sparkSession
+    done = run_jobs(spark, {n: (lambda d=d: materialised(step(d))) for n, d in datasets.items()})
+    status = status_table(spark, done).select(F.col("job").alias("dataset"), "status", "error")
+    return {n: o.value for n, o in done.items()}, status
