@@ -172,7 +172,7 @@ def f1_of(scored: DataFrame) -> float:
 
 
 # ----------------------------------------------------------------------------------- L-5, L-6
-def cross_validate(frames: FoldFrames, features: list[str], family: str, grid="full", parallelism: int = 4) -> list[dict]:
+def cross_validate(frames: FoldFrames, features: list[str], family: str, grid="full", parallelism: int = 8) -> list[dict]:
     """One row (point, params, mean_f1, std_f1, folds) per point of the grid, best first (L-5):
     positive-class F1 on each fold's own rows, after training on the run's rows. Ties keep the
     grid's order."""
@@ -194,7 +194,7 @@ def cross_validate(frames: FoldFrames, features: list[str], family: str, grid="f
     return sorted(rows, key=lambda r: (-round(r["mean_f1"], 12), r["point"]))
 
 
-def tune(train: DataFrame, features: list[str], family: str, fold_col: str = "fold", parallelism: int = 4, grid="full",
+def tune(train: DataFrame, features: list[str], family: str, fold_col: str = "fold", parallelism: int = 8, grid="full",
          id_col: str = "doc_id", resample: bool = True, frames: FoldFrames | None = None):
     """(model refitted on all training rows at the best point, its mean F1 over the folds, all
     points) (L-5). Training rows of every fit get their own synthetic minority rows."""
@@ -209,7 +209,7 @@ HIGH_GAP, MODERATE_GAP = 0.05, 0.03
 
 
 def evaluate_all(train: DataFrame, val: DataFrame, features: list[str], families=FAMILIES, id_col: str = "doc_id",
-                 fold_col: str = "fold", grid="full", resample: bool = True, parallelism: int = 4):
+                 fold_col: str = "fold", grid="full", resample: bool = True, parallelism: int = 8):
     """Tune every family, score val, and report F1/precision/recall/AUC, CV F1 and the gap with an
     overfit band (> .05 high, > .03 moderate) (L-6). Returns (results, val scores, models)."""
     spark = train.sparkSession
@@ -258,7 +258,7 @@ def stack_no_refit(scores: DataFrame, members: list[str], by: list[str] = (), lo
 
 
 def oof_scores(variants: dict[str, tuple[FoldFrames, list[str], DataFrame]], families=FAMILIES, id_col: str = "doc_id",
-               params: dict[str, dict] | None = None, parallelism: int = 4):
+               params: dict[str, dict] | None = None, parallelism: int = 8):
     """Scores of every (variant, family) (L-11, L-12): out of fold for the training rows, from a
     refit on all of them for the rest. Returns (oof, rest, status, models).
 
@@ -338,7 +338,7 @@ def importances(model: PipelineModel, features: list[str]) -> list[float]:
 
 
 def rfecv(train: DataFrame, features: list[str], family: str = "randforest", step: float = 1,
-          min_features: int = 1, folds: int = STACK_FOLDS, fold_col: str = "fold", params: dict | None = None, parallelism: int = 4):
+          min_features: int = 1, folds: int = STACK_FOLDS, fold_col: str = "fold", params: dict | None = None, parallelism: int = 8):
     """Recursive elimination with cross-validated F1 per size (L-13). Each round drops ``step``
     features (a number of one or more, or a share below one) of the least importance, the fits of a
     round run together. Returns (table of (n_features, mean_f1, std_f1, features), best list,

@@ -103,14 +103,20 @@ class FittedPrep:
             out = out.select(*[col(c) if c in present else F.lit(0).alias(c) for c in self.columns])
         return out
 
+    def names_at(self, step: str) -> list[str]:
+        """The continuous columns' names when ``step`` runs: transformed once the power step is past."""
+        past = self.power and "power" in self.steps and self.steps.index("power") < self.steps.index(step)
+        return [f"{c}{self.suffix}" if past and c in self.power else c for c in self.continuous]
+
     def _impute(self, df: DataFrame) -> DataFrame:
+        cols = self.names_at("impute")
         if self.impute == "median":
-            return M.median_fill(df, self.continuous, self.medians)
+            return M.median_fill(df, cols, self.medians)
         if self.impute == "mice":
             return M.mice_transform(df, self.mice)
         if self.impute == "knn":
             donors = df.sparkSession.read.parquet(self.donors_path)
-            return knn_impute(df, self.continuous, self.id_col, self.k, donors=donors)
+            return knn_impute(df, cols, self.id_col, self.k, donors=donors)
         raise ValueError(f"unknown imputation {self.impute!r}")
 
 
@@ -133,16 +139,17 @@ def fit_prep(df: DataFrame, id_col: str, target: str | None, continuous: list[st
             prep.protected_median = M.fit_medians(out, [protected]).get(protected)
             out = M.median_fill_int(out, protected, prep.protected_median)
         elif step == "impute":
+            cols = prep.names_at("impute")
             if impute == "median":
-                prep.medians = M.fit_medians(out, continuous)
-                out = M.median_fill(out, continuous, prep.medians)
+                prep.medians = M.fit_medians(out, cols)
+                out = M.median_fill(out, cols, prep.medians)
             elif impute == "mice":
-                out, prep.mice = M.mice_fit_transform(out, continuous, id_col)
+                out, prep.mice = M.mice_fit_transform(out, cols, id_col)
             elif impute == "knn":
                 path = scratch_path(spark, f"donors-{uuid.uuid4().hex[:10]}")
-                out.select(id_col, *continuous).write.mode("overwrite").parquet(path)
+                out.select(id_col, *cols).write.mode("overwrite").parquet(path)
                 prep.donors_path = path
-                out = knn_impute(out, continuous, id_col, k, donors=spark.read.parquet(path))
+                out = knn_impute(out, cols, id_col, k, donors=spark.read.parquet(path))
             else:
                 raise ValueError(f"unknown imputation {impute!r}")
             out = cut_lineage(out)
@@ -156,11 +163,11 @@ def fit_prep(df: DataFrame, id_col: str, target: str | None, continuous: list[st
             prep.power = {c: asdict(f) for c, f in fits.items()}
             out = TR.apply_power(out, fits, prep.suffix, keep=False)
         elif step == "outliers":
-            cols = [f"{c}{prep.suffix}" if prep.power else c for c in continuous]
+            cols = prep.names_at("outliers")
             prep.fences = {c: list(b) for c, b in O.iqr_bounds(out, cols).items()}
             out = cut_lineage(O.remove_outliers(out, cols, bounds={c: tuple(b) for c, b in prep.fences.items()}))
         elif step == "cap" and cap:
-            cols = [f"{c}{prep.suffix}" if prep.power else c for c in continuous]
+            cols = prep.names_at("cap")
             prep.bounds = {c: list(b) for c, b in O.iqr_bounds(out, cols).items()}
             out = O.cap(out, {c: tuple(b) for c, b in prep.bounds.items()})
         elif step == "reduce" and corr_threshold is not None and corr_threshold < 1.0 and binary:
@@ -170,7 +177,7 @@ def fit_prep(df: DataFrame, id_col: str, target: str | None, continuous: list[st
             prep.drop = sorted(r["column"] for r in drops.select("column").distinct().collect())
             out = C.apply_drop_list(out, prep.drop, [protected] if protected else [])
         elif step == "poly" and poly:
-            prep.poly = [f"{c}{prep.suffix}" if prep.power else c for c in continuous]
+            prep.poly = prep.names_at("poly")
             out = TR.quadratic_features(out, prep.poly)
     prep.columns = list(out.columns)
     return out, prep
