@@ -7,8 +7,10 @@ as literal expressions, so the transform of new data is one projection.
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from adlytics.functions.exprs import col, r6, significant
 from adlytics.operators.common import melt, null_counts, numeric_columns
 from adlytics.operators.quantiles import column_quantiles
 
+# tasks get the functions themselves, not an import of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # ----------------------------------------------------------------------------------- M1
 def fit_medians(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 10000) -> dict:
@@ -154,6 +158,27 @@ def variant_balance(variants: DataFrame, target: str = "y", variant_col: str = "
 
 KS_TERMS = 20
 KS_SMALL = 0.27
+KS_EXACT = 10_000          # up to this product of the sample sizes the p-value is exact
+
+
+def ks_exact_p(n_a: int, n_b: int, gap: int) -> float:
+    """P(D >= gap / (n_a n_b)) of the two-sample statistic without ties.
+
+    Orders of the pooled sample are lattice paths from (0, 0) to (n_a, n_b); ``inside`` is the share
+    of the paths to (i, j) whose points all have |i n_b - j n_a| < gap. The last step to (i, j) comes
+    from the left with probability i / (i + j)."""
+    inside = [0.0] * (n_b + 1)
+    for i in range(n_a + 1):
+        for j in range(n_b + 1):
+            if abs(i * n_b - j * n_a) >= gap:
+                inside[j] = 0.0
+            elif i + j == 0:
+                inside[j] = 1.0
+            else:
+                left = i * inside[j] if i else 0.0
+                below = j * inside[j - 1] if j else 0.0
+                inside[j] = (left + below) / (i + j)
+    return 1.0 - inside[n_b]
 
 
 def ks_two_sample(a: DataFrame, b: DataFrame, cols: list[str], alpha: float = 0.05,
@@ -162,7 +187,8 @@ def ks_two_sample(a: DataFrame, b: DataFrame, cols: list[str], alpha: float = 0.
 
     Both samples are melted and counted per (column, value); the two empirical CDFs come from
     one bucketed prefix sum (no single-partition window); D = max |F_a - F_b|. The p-value is
-    the asymptotic Kolmogorov series at sqrt(n_a n_b/(n_a+n_b)) D."""
+    the asymptotic Kolmogorov series at sqrt(n_a n_b/(n_a+n_b)) D, and for small samples, of sizes
+    whose product is at most ``KS_EXACT``, the exact one (``ks_exact_p``)."""
     from adlytics.operators.prefix import prefix_sums
     la = melt(a, cols).filter(F.col("value").isNotNull()).select("column", "value", F.lit(1).alias("ca"), F.lit(0).alias("cb"))
     lb = melt(b, cols).filter(F.col("value").isNotNull()).select("column", "value", F.lit(0).alias("ca"), F.lit(1).alias("cb"))
@@ -170,7 +196,9 @@ def ks_two_sample(a: DataFrame, b: DataFrame, cols: list[str], alpha: float = 0.
     cum = prefix_sums(g, "value", ["ca", "cb"], by=["column"], buckets=buckets)
     tot = g.groupBy("column").agg(F.sum("ca").alias("na"), F.sum("cb").alias("nb"))
     d = cum.join(tot, "column").groupBy("column", "na", "nb").agg(
-        F.max(F.abs(F.col("cum_ca") / F.col("na") - F.col("cum_cb") / F.col("nb"))).alias("d"))
+        F.max(F.abs(F.col("cum_ca") / F.col("na") - F.col("cum_cb") / F.col("nb"))).alias("d"),
+        F.max(F.when(F.col("na") * F.col("nb") <= KS_EXACT,
+                     F.abs(F.col("cum_ca") * F.col("nb") - F.col("cum_cb") * F.col("na")))).alias("gap"))
     en = F.sqrt(F.col("na") * F.col("nb") / (F.col("na") + F.col("nb")))
     lam = en * F.col("d")
     # Kolmogorov tail 2 sum (-1)^(j-1) exp(-2 j^2 lam^2): 20 terms converge for lam >= 0.27,
@@ -178,6 +206,17 @@ def ks_two_sample(a: DataFrame, b: DataFrame, cols: list[str], alpha: float = 0.
     series = reduce(lambda x, y: x + y, [F.lit(2.0 * (-1) ** (j - 1)) * F.exp(F.lit(-2.0 * j * j) * lam * lam)
                                          for j in range(1, KS_TERMS + 1)])
     p = F.when(lam < KS_SMALL, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+
+    def exact(batches):
+        for b in batches:
+            small = b["gap"].notna()
+            b["p"] = b["p"].where(~small, [ks_exact_p(int(x), int(y), int(g)) if ok else 0.0 for x, y, g, ok in
+                                          zip(b["na"], b["nb"], b["gap"].fillna(0), small)])
+            yield b.drop(columns="gap")
+
+    # one row per column
+    d = d.select("column", "na", "nb", "d", "gap", p.alias("p")).mapInPandas(exact, "column string, na long, nb long, d double, p double")
+    p = F.col("p")
     return d.select("column", F.col("na").alias("n_a"), F.col("nb").alias("n_b"), r6("d").alias("d"),
                     r6(p).alias("p_value"), (p < alpha).alias("different"))
 
