@@ -101,12 +101,16 @@ def c06(spark, sf_dir):
     return C.redundancy_degree(pairs)
 
 
-@register("c07_stratified_column_sample", f"""WITH dw AS {DW},
+_C07_SQL = f"""WITH dw AS {DW},
 pos AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(BIN))}) AS p("column", pos)),
 r AS (SELECT "column", avg(value) AS rate FROM {melt_sql('dw', BIN)} GROUP BY 1),
 b AS (SELECT r."column", rate, pos, ntile(4) OVER (ORDER BY rate, pos) AS bucket FROM r JOIN pos USING ("column")),
 k AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY {portable_hash_sql("pos", 42)}, pos) AS pick FROM b)
-SELECT "column", {r6('rate')} AS rate, bucket, pick FROM k WHERE pick <= 10""")
+SELECT "column", {r6('rate')} AS rate, bucket, pick FROM k WHERE pick <= 10"""
+
+
+@register("c07_column_sample_ten", _C07_SQL)
+@register("c07_stratified_column_sample", _C07_SQL)
 def c07(spark, sf_dir):
     return C.stratified_column_sample(T.doc_wide(spark, sf_dir), BIN, per_bucket=10)
 

@@ -75,6 +75,13 @@ def b04(spark, sf_dir):
     return out
 
 
+@register("b04_b08_single_model_saved_threshold")
+def b04_single(spark, sf_dir):
+    """One stored model at its saved threshold."""
+    reg, prep, new = _registry(spark, sf_dir, ["randforest", "xgboost"])
+    return B.run_prediction(reg, new, prep, "doc_id", "xgboost", "knn").predictions
+
+
 @register("b08_challenge_run")
 def b08(spark, sf_dir):
     reg, prep, new = _registry(spark, sf_dir)

@@ -98,8 +98,12 @@ def t06(spark, sf_dir):
     return out.select("doc_id", *[sr6(c).alias(c) for c in CONT])
 
 
-@register("t07_scale_without_centering", f"""WITH d AS {DW}, s AS (SELECT {', '.join(f'stddev_pop({c}) AS s_{c}' for c in BIN)} FROM d)
-SELECT doc_id, {', '.join(r6(f'CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE {c} END') + f' AS {c}' for c in BIN)} FROM d, s""")
+_T07_SQL = f"""WITH d AS {DW}, s AS (SELECT {', '.join(f'stddev_pop({c}) AS s_{c}' for c in BIN)} FROM d)
+SELECT doc_id, {', '.join(r6(f'CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE {c} END') + f' AS {c}' for c in BIN)} FROM d, s"""
+
+
+@register("t07_scale_all_flags", _T07_SQL)
+@register("t07_scale_without_centering", _T07_SQL)
 def t07_all(spark, sf_dir):
     out = TR.standardize(_dw(spark, sf_dir).select("doc_id", *BIN), BIN, with_mean=False)
     return out.select("doc_id", *[sr6(c).alias(c) for c in BIN])
