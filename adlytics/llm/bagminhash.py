@@ -100,7 +100,8 @@ def one_per_class(docs: DataFrame, **kwargs) -> DataFrame:
     best = classes.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("id")).alias("of")) \
         .agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("class_id")), F.col("id"))).alias("_id")) \
         .select(F.col("class_id").alias("_doc"), "_id")
-    body = docs.withColumn("_text_id", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    kept = body.join(best, F.col("_text_id").eqNullSafe(F.col("_id"))
-                     & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")), "left_semi")
-    return kept.dropDuplicates(["_text_id", "doc_id"]).drop("_text_id")
+    # the row travels as one struct: its columns may have any names
+    body = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_own"),
+                       F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("_text_id"))
+    kept = body.join(best, F.col("_text_id").eqNullSafe(F.col("_id")) & F.col("_own").eqNullSafe(F.col("_doc")), "left_semi")
+    return kept.dropDuplicates(["_text_id", "_own"]).select("row.*")
