@@ -62,23 +62,11 @@ def portable_unit(key, seed: int = 42) -> Column:
     return portable_hash(key, seed) / F.lit(float(HASH_MOD))
 
 
-def clean_text(c) -> Column:
-    """Strip surrounding blanks and remove double quotes."""
-    return F.regexp_replace(F.trim(col(c)), '"', "")
-
-
 def clean_name(name: str) -> str:
     """Column-name cleaning: strip surrounding blanks and remove double quotes."""
     return name.strip().replace('"', "")
 
 
-def to_numeric(c, fill=None) -> Column:
-    """Coerce text to double after removing quote characters; unparseable -> NULL (or fill)."""
-    v = F.expr(f"try_cast(regexp_replace(`{c}`, '[\"\\']', '') AS DOUBLE)") if isinstance(c, str) \
-        else F.try_to_number(c, F.lit("9"))
-    return v if fill is None else F.coalesce(v, F.lit(float(fill)))
-
-
 def encode_label(c, positive: str = "ad.", negative: str = "noad.") -> Column:
     """Label text -> 1/0 after trim+lower; other values give NULL (callers check and fail)."""
     v = F.lower(F.trim(col(c)))
@@ -98,6 +86,7 @@ def finite_or(c, value: float = 0.0) -> Column:
 
 
 def nan_to_null(c) -> Column:
+    """NaN -> NULL; other values as they are."""
     x = col(c)
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 

@@ -275,11 +275,15 @@ def missing_thresholds(scores: DataFrame, thresholds: DataFrame, by: list[str])
     return scores.select(*by).distinct().join(thresholds.select(*by), by, "left_anti")
 
 
+# Gaps between validation and test below which a model is stable, or to be watched.
+STABLE_GAP, WATCH_GAP = 0.03, 0.05
+
+
 def val_test_gap(val: DataFrame, test: DataFrame, by: list[str], metric: str = "f1") -> DataFrame:
     """(by..., val_f1, test_f1, gap, band) with bands < .03 stable, .03-.05 watch, > .05 overfit."""
     j = val.select(*by, F.col(metric).alias("val_f1")).join(test.select(*by, F.col(metric).alias("test_f1")), by)
     gap = F.col("val_f1") - F.col("test_f1")
-    band = F.when(F.abs(gap) < 0.03, "stable").when(F.abs(gap) <= 0.05, "watch").otherwise("overfit")
+    band = F.when(F.abs(gap) < STABLE_GAP, "stable").when(F.abs(gap) <= WATCH_GAP, "watch").otherwise("overfit")
     return j.select(*by, "val_f1", "test_f1", r6(gap).alias("gap"), band.alias("band"))
 
 

@@ -100,14 +100,19 @@ def validate_target(df: DataFrame, target: str = "y") -> DataFrame:
         "n_rows", "n_missing", "n0", "n1", "pct0", "pct1", "target_valid")
 
 
+# Imbalance ratios at which the next band begins, and from which a strategy is advised.
+MODERATE_RATIO, SEVERE_RATIO, CRITICAL_RATIO = 2, 5, 10
+RESAMPLING_RATIO, ENSEMBLES_RATIO = 3, 6
+
+
 def imbalance_severity(dist: DataFrame) -> DataFrame:
     """Band of the imbalance ratio (<2, <5, <10, else) and strategy flags (>=3, >=6)."""
     r = F.col("imbalance_ratio")
     return dist.select(
         "imbalance_ratio",
-        F.when(r < 2, "light").when(r < 5, "moderate").when(r < 10, "severe").otherwise("critical")
-        .alias("severity"),
-        (r >= 3).alias("use_resampling"), (r >= 6).alias("use_ensembles"))
+        F.when(r < MODERATE_RATIO, "light").when(r < SEVERE_RATIO, "moderate").when(r < CRITICAL_RATIO, "severe")
+        .otherwise("critical").alias("severity"),
+        (r >= RESAMPLING_RATIO).alias("use_resampling"), (r >= ENSEMBLES_RATIO).alias("use_ensembles"))
 
 
 # ----------------------------------------------------------------------------------- D3, D5, D6
@@ -278,6 +283,10 @@ def split_overlap(df: DataFrame, id_col: str, split_col: str = "split",
 
 
 # ----------------------------------------------------------------------------------- D14, D15, D16
+# Percentages of missing cells above which a column is critical, high, medium.
+CRITICAL_PCT, HIGH_PCT, MEDIUM_PCT = 50, 30, 10
+
+
 def missing_by_column(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(column, n_missing, pct_missing, band) for columns with at least one NULL.
 
@@ -285,7 +294,7 @@ def missing_by_column(df: DataFrame, cols: list[str] | None = None) -> DataFrame
     cols = cols or df.columns
     long = null_counts(df, cols)
     pct = F.col("n_missing") * 100.0 / F.col("n_rows")
-    band = (F.when(pct > 50, "critical").when(pct > 30, "high").when(pct > 10, "medium").otherwise("low"))
+    band = F.when(pct > CRITICAL_PCT, "critical").when(pct > HIGH_PCT, "high").when(pct > MEDIUM_PCT, "medium").otherwise("low")
     return long.filter(F.col("n_missing") > 0).select(
         "column", "n_missing", r6(pct).alias("pct_missing"), band.alias("band"))
 

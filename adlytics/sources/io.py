@@ -13,6 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from adlytics.functions.exprs import col, nan_to_null
 from adlytics.operators.clean import clean_column_names, clean_string_values, dedupe_columns, promote_suffixed
 from adlytics.session import cut_lineage
 
@@ -33,7 +34,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, null_
     """Delimited text with header; tab then comma fallback; optional '?' as NULL.
 
     With ``clean`` the names and text values are stripped of blanks and quotes and duplicated
-    ``.1`` columns are resolved (P1-P3, P14)."""
+    ``.1`` columns are resolved (P1-P3, P14). NaN is read as NULL."""
     sep = sep or sniff_separator(spark, path)
     r = (spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
          .option("encoding", encoding).option("mode", malformed))
@@ -46,7 +47,9 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, null_
     df = r.csv(path)
     if clean:
         df = promote_suffixed(dedupe_columns(clean_string_values(clean_column_names(df))))
-    return df
+    # a number read as NaN is a missing value everywhere in the library
+    return df.select(*[nan_to_null(f.name).alias(f.name) if f.dataType.typeName() in ("double", "float") else col(f.name)
+                       for f in df.schema.fields])
 
 
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
