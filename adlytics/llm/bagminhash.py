@@ -97,11 +97,17 @@ def one_per_class(docs: DataFrame, **kwargs) -> DataFrame:
     """The rows of ``docs`` with all their columns, one for each class of near copies: the one
     with the class's smallest doc_id (of repeated rows one; null doc_ids count as largest)."""
     classes = near_duplicates(docs, **kwargs)
+    own, node, doc = (_unused(name, docs.columns) for name in ("text_id", "node", "doc"))
     best = classes.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("id")).alias("of")) \
-        .agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("class_id")), F.col("id"))).alias("_id")) \
-        .select(F.col("class_id").alias("_doc"), "_id")
-    # the row travels as one struct: its columns may have any names
-    body = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_own"),
-                       F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("_text_id"))
-    kept = body.join(best, F.col("_text_id").eqNullSafe(F.col("_id")) & F.col("_own").eqNullSafe(F.col("_doc")), "left_semi")
-    return kept.dropDuplicates(["_text_id", "_own"]).select("row.*")
+        .agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("class_id")), F.col("id"))).alias(node)) \
+        .select(F.col("class_id").alias(doc), node)
+    body = docs.withColumn(own, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    kept = body.join(best, F.col(own).eqNullSafe(F.col(node)) & F.col("doc_id").cast("long").eqNullSafe(F.col(doc)), "left_semi")
+    return kept.dropDuplicates([own, "doc_id"]).drop(own)
+
+
+def _unused(name: str, taken: list[str]) -> str:
+    """``name`` with as many underscores before it as no column of ``taken`` needs."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name

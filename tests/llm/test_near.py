@@ -95,7 +95,7 @@ def test_one_per_class_and_empty(spark):
     assert kept.columns == df.columns
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
         [(1, "a b c d e f g"), (3, "other words here"), (None, None)], key=str)
-    names = ["doc_id", "text", "_id", "_text_id", "_doc", "_own", "row", "class_id", "of", "id", "label", "bands"]
+    names = ["doc_id", "text", "_id", "_text_id", "_doc", "text_id", "node", "doc", "row", "class_id", "of", "id", "label", "bands"]
     clash = spark.createDataFrame([(d, t, *range(len(names) - 2)) for d, t in rows],
                                   "doc_id long, text string, " + ", ".join(f"`{c}` int" for c in names[2:]))
     again = bagminhash.one_per_class(clash)
