@@ -8,6 +8,7 @@ from adlytics.catalog import tables as T
 from adlytics.catalog.registry import register
 from adlytics.catalog.sqlgen import r6
 from adlytics.operators import metrics as E
+from adlytics.session import cut_lineage
 
 BY = ["imputation", "version", "model"]
 BYS = ", ".join(BY)
@@ -257,7 +258,7 @@ FROM (SELECT * FROM m WHERE split = 'val') v JOIN (SELECT * FROM m WHERE split =
 def e14(spark, sf_dir):
     s = _scores(spark, sf_dir)
     th = E.exact_threshold_search(s.filter(F.col("split") == "val"), BY)
-    j = s.join(th.select(*BY, "threshold"), BY)
+    j = E.with_thresholds(s, cut_lineage(th.select(*BY, "threshold")), BY)
     val = E.metrics_at_threshold(j.filter(F.col("split") == "val"), "threshold", BY)
     test = E.metrics_at_threshold(j.filter(F.col("split") == "test"), "threshold", BY)
     return E.val_test_gap(val, test, BY)
