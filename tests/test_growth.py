@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from adlytics.catalog import q_metrics
 from adlytics.operators import metrics as E
 
 
@@ -35,3 +36,16 @@ def test_saved_thresholds_go_to_the_scores(spark):
     found = E.evaluate_at_thresholds(_scores(spark), th, ["model"])
     assert "BuildLeft" not in plan(found)
     assert {r["model"]: r["threshold"] for r in found.collect()} == {"a": 0.4, "b": 0.3}
+
+
+def _line(spark, folder):
+    spark.range(600).select(F.col("id").alias("l_orderkey"), (F.col("id") % 50).alias("l_partkey"), (F.col("id") % 7).alias("l_suppkey"),
+                            F.lit(1).alias("l_linenumber"), F.when(F.col("id") % 3 == 0, "R").otherwise("N").alias("l_returnflag")) \
+        .write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_best_of_two_evaluates_once(spark, tmp_path):
+    found = q_metrics.e16(spark, _line(spark, tmp_path / "t"))
+    assert "FileScan" not in plan(found)          # both variants read one table of results
+    assert found.collect()[0]["choice"] in ("knn", "mice")
