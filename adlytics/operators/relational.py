@@ -17,8 +17,9 @@ from adlytics.functions.exprs import col, r6
 def wide_by_key(long: DataFrame, id_col: str, key: str, value: str, keys: list[str]) -> DataFrame:
     """Column-wise join of several models' outputs on the row id: one column per key.
 
-    A grouped pivot over the long table (one shuffle on id) rather than k-1 joins."""
-    return long.groupBy(id_col).pivot(key, keys).agg(F.first(value))
+    One conditional aggregate over the long table (one shuffle on id) rather than k-1 joins: unlike
+    a pivot, which groups by id and key first, it makes one row of an id's rows before the shuffle."""
+    return long.groupBy(id_col).agg(*[F.first(F.when(col(key) == k, col(value)), ignorenulls=True).alias(k) for k in keys])
 
 
 def lookup_with_default(df: DataFrame, lookup: DataFrame, on: str, value: str, default: str) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from adlytics.catalog import q_metrics
 from adlytics.operators import metrics as E
+from adlytics.operators.relational import wide_by_key
 
 
 def plan(df):
@@ -49,3 +50,11 @@ def test_best_of_two_evaluates_once(spark, tmp_path):
     found = q_metrics.e16(spark, _line(spark, tmp_path / "t"))
     assert "FileScan" not in plan(found)          # both variants read one table of results
     assert found.collect()[0]["choice"] in ("knn", "mice")
+
+
+def test_wide_by_key_shuffles_ids(spark):
+    long = spark.createDataFrame([(1, "a", 0.1), (1, "b", 0.2), (2, "b", None), (3, "z", 0.4), (None, "a", 0.5)], "id int, k string, p double")
+    found = wide_by_key(long, "id", "k", "p", ["a", "b"])
+    assert plan(found).count("Exchange hashpartitioning") == 1
+    assert found.columns == ["id", "a", "b"]
+    assert {r["id"]: (r["a"], r["b"]) for r in found.collect()} == {1: (0.1, 0.2), 2: (None, None), 3: (None, None), None: (0.5, None)}
