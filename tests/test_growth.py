@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from adlytics.catalog import q_metrics
+from adlytics.catalog import q_metrics, tables as T
 from adlytics.operators import metrics as E
+from adlytics.operators.phi import phi_pairs
 from adlytics.operators.relational import wide_by_key
 
 
@@ -58,3 +59,24 @@ def test_wide_by_key_shuffles_ids(spark):
     assert plan(found).count("Exchange hashpartitioning") == 1
     assert found.columns == ["id", "a", "b"]
     assert {r["id"]: (r["a"], r["b"]) for r in found.collect()} == {1: (0.1, 0.2), 2: (None, None), 3: (None, None), None: (0.5, None)}
+
+
+def test_phi_reads_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def flag(i):
+        seen.add(1)
+        return i % 2
+    df = spark.range(90).select(flag("id").alias("f"), (F.col("id") % 3 == 0).cast("int").alias("g"))
+    assert phi_pairs(df, ["f", "g"]).count() == 1
+    assert seen.value == 90
+
+
+def test_wide_table_is_written_once(spark, tmp_path):
+    spark.createDataFrame([(i, "one two two" if i % 2 else "one", "en", "s", 11) for i in range(20)],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    dw = T.doc_wide(spark, str(tmp_path), n_tokens=2)
+    assert "regexp_extract_all" not in plan(dw)
+    assert dw.agg(F.sum("X5"), F.sum("X6"), F.count("y")).first()[:] == (20, 10, 1)
