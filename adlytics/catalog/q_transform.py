@@ -17,6 +17,7 @@ from adlytics.operators import knn as K
 from adlytics.operators import missing as M
 from adlytics.operators import transform as TR
 from adlytics.plans import prep as PP
+from adlytics.session import cut_lineage
 
 DW = T.doc_wide_sql()
 CONT = T.DOC_CONT
@@ -203,12 +204,13 @@ def m07(spark, sf_dir):
 def m15(spark, sf_dir):
     """Median, kNN and chained-equation variants compared: stats, quality score, KS test."""
     d = _dw(spark, sf_dir).select("doc_id", "y", *CONT)
-    knn = K.knn_impute(d, CONT, "doc_id", 5)
+    # each variant, and the scores, are read by several aggregates
+    knn = cut_lineage(K.knn_impute(d, CONT, "doc_id", 5))
     mice, _ = M.mice_fit_transform(d, CONT, "doc_id")
     med = M.median_fill(d, CONT)
     v = knn.withColumn("variant", F.lit("knn")).unionByName(mice.withColumn("variant", F.lit("mice"))) \
         .unionByName(med.withColumn("variant", F.lit("median")))
-    q = M.variant_quality(v, CONT, "y")
+    q = cut_lineage(M.variant_quality(v, CONT, "y"))
     ks = M.ks_two_sample(knn, mice, CONT).select("column", "d", "p_value")
     return q.join(M.recommend_variant(q), how="left").select("variant", "score", "rank", "best") \
         .unionByName(ks.select(F.col("column").alias("variant"), F.col("d").alias("score"),
