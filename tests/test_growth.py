@@ -80,3 +80,16 @@ def test_wide_table_is_written_once(spark, tmp_path):
     dw = T.doc_wide(spark, str(tmp_path), n_tokens=2)
     assert "regexp_extract_all" not in plan(dw)
     assert dw.agg(F.sum("X5"), F.sum("X6"), F.count("y")).first()[:] == (20, 10, 1)
+
+
+def test_ks_reads_its_samples_once(spark):
+    from adlytics.operators.missing import ks_two_sample
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def value(i):
+        seen.add(1)
+        return float(i % 7)
+    a, b = (spark.range(n).select(value("id").alias("x")) for n in (60, 40))
+    r = ks_two_sample(a, b, ["x"]).collect()[0]
+    assert (r["n_a"], r["n_b"]) == (60, 40) and seen.value == 100
