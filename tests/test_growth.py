@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 from adlytics.catalog import q_metrics, tables as T
 from adlytics.operators import metrics as E
+from adlytics.operators import train as L
 from adlytics.operators.phi import phi_pairs
+from adlytics.operators.prefix import prefix_sums
 from adlytics.operators.relational import wide_by_key
+from adlytics.operators.resample import FoldFrames
 
 
 def plan(df):
@@ -93,3 +96,49 @@ def test_ks_reads_its_samples_once(spark):
     a, b = (spark.range(n).select(value("id").alias("x")) for n in (60, 40))
     r = ks_two_sample(a, b, ["x"]).collect()[0]
     assert (r["n_a"], r["n_b"]) == (60, 40) and seen.value == 100
+
+
+def test_prefix_sums_broadcast_no_rows(spark):
+    df = spark.createDataFrame([("a", 0.1, 1), ("a", 0.9, 2), ("b", 0.5, 4), (None, 0.2, 8)], "g string, s double, n int")
+    found = prefix_sums(df, "s", ["n"], by=["g"], unit_buckets=8)
+    assert "BroadcastHashJoin" not in plan(found) and "SortMergeJoin" in plan(found)
+    assert {(r.g, r.s): r.cum_n for r in found.collect()} == {("a", 0.1): 1, ("a", 0.9): 3, ("b", 0.5): 4}
+
+
+def _labelled(spark):
+    return spark.range(240).select(F.col("id"), (F.col("id") % 3 == 0).cast("double").alias("label"), (F.col("id") % 4).cast("int").alias("fold"),
+                                   (F.col("id") % 3 + F.col("id") % 7 * 0.3).alias("a"), (F.col("id") % 5).cast("int").alias("b"),
+                                   F.when(F.col("id") % 2 == 0, 1.0).otherwise(0.0).alias("c"))
+
+
+def _count_scalers(monkeypatch):
+    fits, fit = [], L.StandardScaler._fit
+    monkeypatch.setattr(L.StandardScaler, "_fit", lambda self, rows: (fits.append(1), fit(self, rows))[1])
+    return fits
+
+
+def test_a_grid_scales_a_fold_once(spark, monkeypatch):
+    feats = ["a", "b", "c"]
+    frames = FoldFrames(_labelled(spark), feats, "id")
+    points = [{"regParam": 0.01}, {"regParam": 0.5}]
+    want = []
+    for p in points:
+        want.append(sum(L.f1_of(L.pipeline(feats, "lr", params=p).fit(frames.training(k)).transform(frames.scored(k))) for k in frames.folds) / 4)
+    fits = _count_scalers(monkeypatch)
+    got = {r["point"]: r["mean_f1"] for r in L.cross_validate(frames, feats, "lr", points)}
+    svm = L.cross_validate(frames, feats, "svm", [{"kernel": "rbf", "maxIter": 3}])
+    assert len(fits) == 4 and len(svm) == 1
+    assert all(abs(got[i] - w) < 1e-9 for i, w in enumerate(want)) and min(want) > 0
+
+
+def test_elimination_scales_a_fold_once(spark, monkeypatch):
+    feats, rows = ["a", "b", "c"], _labelled(spark)
+    fits = _count_scalers(monkeypatch)
+    tab, best, _ = L.rfecv(rows, feats, "lr", folds=4, params={"maxIter": 10})
+    assert len(fits) == 5                             # four folds and all rows
+    for r in tab.collect():
+        cols = r.features.split(",")
+        f1 = [L.f1_of(L.pipeline(cols, "lr", params={"maxIter": 10}).fit(rows.filter(F.col("fold") != k)).transform(rows.filter(F.col("fold") == k)))
+              for k in range(4)]
+        assert abs(r.mean_f1 - sum(f1) / 4) < 1e-9
+    assert "a" in best
