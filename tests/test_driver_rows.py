@@ -34,6 +34,7 @@ def broadcast_rows(node):
 @pytest.mark.parametrize("name", [
     "a02_pivot_improvement",
     "a04_default_vs_optimised_by_dataset",
+    "e04_default_vs_optimised",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
