@@ -36,6 +36,7 @@ def broadcast_rows(node):
     "a04_default_vs_optimised_by_dataset",
     "e04_default_vs_optimised",
     "e07_tune_val_report_test",
+    "e14_val_test_gap",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
