@@ -37,6 +37,7 @@ def broadcast_rows(node):
     "e04_default_vs_optimised",
     "e07_tune_val_report_test",
     "e14_val_test_gap",
+    "e15_champion",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
