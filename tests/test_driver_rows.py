@@ -38,6 +38,7 @@ def broadcast_rows(node):
     "e07_tune_val_report_test",
     "e14_val_test_gap",
     "e15_champion",
+    "e19_optimisation_analysis",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
