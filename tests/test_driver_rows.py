@@ -39,6 +39,7 @@ def broadcast_rows(node):
     "e14_val_test_gap",
     "e15_champion",
     "e19_optimisation_analysis",
+    "e21_best_method",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
