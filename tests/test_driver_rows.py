@@ -40,6 +40,7 @@ def broadcast_rows(node):
     "e15_champion",
     "e19_optimisation_analysis",
     "e21_best_method",
+    "j02_lookup_with_default",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
