@@ -41,6 +41,7 @@ def broadcast_rows(node):
     "e19_optimisation_analysis",
     "e21_best_method",
     "j02_lookup_with_default",
+    "l01_top_n",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
