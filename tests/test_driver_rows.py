@@ -42,6 +42,7 @@ def broadcast_rows(node):
     "e21_best_method",
     "j02_lookup_with_default",
     "l01_top_n",
+    "l02_sort_by_absolute",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
