@@ -43,6 +43,7 @@ def broadcast_rows(node):
     "j02_lookup_with_default",
     "l01_top_n",
     "l02_sort_by_absolute",
+    "q01_quick_stats",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
