@@ -44,6 +44,7 @@ def broadcast_rows(node):
     "l01_top_n",
     "l02_sort_by_absolute",
     "q01_quick_stats",
+    "w02_argmax_by",
 ])
 def test_broadcasts_hold_no_score_rows(spark, folder, monkeypatch, name):
     ran = []
