@@ -39,6 +39,7 @@ def test_ids_stay_apart_and_as_the_sql_where_it_fits(spark, folder):
 QUERIES = {
     "l01_top_n": 5,
     "w04_cumulative_counts": None,
+    "e13_evaluate_at_saved_thresholds": 10,
 }
 
 
