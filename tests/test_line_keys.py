@@ -40,6 +40,7 @@ QUERIES = {
     "l01_top_n": 5,
     "w04_cumulative_counts": None,
     "e13_evaluate_at_saved_thresholds": 10,
+    "j03_missing_thresholds": 5,
 }
 
 
