@@ -41,6 +41,7 @@ QUERIES = {
     "w04_cumulative_counts": None,
     "e13_evaluate_at_saved_thresholds": 10,
     "j03_missing_thresholds": 5,
+    "e21_best_method": 1,
 }
 
 
