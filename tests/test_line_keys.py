@@ -42,6 +42,7 @@ QUERIES = {
     "e13_evaluate_at_saved_thresholds": 10,
     "j03_missing_thresholds": 5,
     "e21_best_method": 1,
+    "l12_cross_variant_weights": 10,
 }
 
 
