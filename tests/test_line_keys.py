@@ -43,6 +43,7 @@ QUERIES = {
     "j03_missing_thresholds": 5,
     "e21_best_method": 1,
     "l12_cross_variant_weights": 10,
+    "a01_group_stats_by_model": 5,
 }
 
 
