@@ -44,6 +44,7 @@ QUERIES = {
     "e21_best_method": 1,
     "l12_cross_variant_weights": 10,
     "a01_group_stats_by_model": 5,
+    "e16_best_of_two": 1,
 }
 
 
