@@ -45,6 +45,7 @@ QUERIES = {
     "l12_cross_variant_weights": 10,
     "a01_group_stats_by_model": 5,
     "e16_best_of_two": 1,
+    "a02_pivot_improvement": 5,
 }
 
 
