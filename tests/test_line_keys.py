@@ -46,6 +46,7 @@ QUERIES = {
     "a01_group_stats_by_model": 5,
     "e16_best_of_two": 1,
     "a02_pivot_improvement": 5,
+    "a05_threshold_histogram": None,
 }
 
 
