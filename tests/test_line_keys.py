@@ -47,6 +47,7 @@ QUERIES = {
     "e16_best_of_two": 1,
     "a02_pivot_improvement": 5,
     "a05_threshold_histogram": None,
+    "b06_prediction_stats": 2,
 }
 
 
