@@ -48,6 +48,7 @@ QUERIES = {
     "a02_pivot_improvement": 5,
     "a05_threshold_histogram": None,
     "b06_prediction_stats": 2,
+    "l02_sort_by_absolute": 5,
 }
 
 
