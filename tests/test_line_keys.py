@@ -49,6 +49,7 @@ QUERIES = {
     "a05_threshold_histogram": None,
     "b06_prediction_stats": 2,
     "l02_sort_by_absolute": 5,
+    "e04_default_vs_optimised": 10,
 }
 
 
