@@ -1,9 +1,11 @@
-"""Stored models are of the variant they are stored under."""
+"""Stacks without a member that failed, and stored models of the variant they are stored under."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from adlytics.catalog import q_score
+from adlytics.catalog import q_score, q_train
+from adlytics.operators.jobs import JobsFailed
+from adlytics.operators.resample import FoldFrames
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,19 @@ def sf(spark, tmp_path_factory):
     return folder
 
 
+@pytest.mark.parametrize("query", [q_train.l12], ids=["l12"])
+def test_a_failed_member_is_no_result(spark, monkeypatch, query):
+    rows = spark.createDataFrame([(i, float(i % 3 == 0), i % 2, i % 7 + i % 3 / 2, float(i % 5)) for i in range(80)],
+                                 "doc_id long, label double, fold int, a double, b double")
+    frames = FoldFrames(rows.filter("doc_id < 50"), ["a", "b"], "doc_id", resample=False)
+    rest = rows.filter("doc_id >= 50").withColumn("split", F.when(F.col("doc_id") % 2 == 0, "val").otherwise("test"))
+    monkeypatch.setattr(q_train, "_variant", lambda *a: (frames, ["a", "b"], rest))
+    monkeypatch.setattr(q_train, "CROSS_FAMILIES", ("gradboost", "lr"))
+    monkeypatch.setitem(q_train.STACK_POINTS, "gradboost", {"maxDepth": 99})
+    with pytest.raises(JobsFailed, match="gradboost"):
+        query(spark, "")
+
+
 @pytest.mark.parametrize("impute", ["knn", "mice"])
 def test_models_are_stored_under_their_own_imputation(spark, sf, impute):
     reg, prep, _ = q_score._registry(spark, sf, ["lr"], impute)
