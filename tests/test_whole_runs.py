@@ -20,7 +20,7 @@ def sf(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("query", [q_train.l12], ids=["l12"])
+@pytest.mark.parametrize("query", [q_train.l12, q_train.l20], ids=["l12", "l20"])
 def test_a_failed_member_is_no_result(spark, monkeypatch, query):
     rows = spark.createDataFrame([(i, float(i % 3 == 0), i % 2, i % 7 + i % 3 / 2, float(i % 5)) for i in range(80)],
                                  "doc_id long, label double, fold int, a double, b double")
